@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratiform.functions.checks import all_not_null
+from stratiform.session import materialize
 
 
 def _nullable(t: T.DataType) -> T.DataType:
@@ -51,18 +52,25 @@ def without_match(source: DataFrame, target: DataFrame, keys: Sequence[str]) ->
     return source.join(known, list(keys), "left_anti")
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], unique: bool = False, stage: bool = False
+) -> DataFrame:
     """Target after a keyed merge: matched rows take the source's columns, new rows are added.
 
     Columns the source lacks keep their value on a match and are NULL on an insert; columns the
     target lacks are ignored. The same source applied twice changes nothing more.
+
+    ``unique`` skips the key check for a source that is unique and non-NULL by construction.
+    ``stage`` writes the source first: it is then computed once and broadcast by its true size.
     """
     keys = list(keys)
     absent = [k for k in keys if k not in source.columns]
     if absent:
         raise ValueError(f"key columns missing from upsert source: {absent}")
     incoming = align(source, target.schema)
-    checked = require_unique_keys(incoming, keys)
+    checked = incoming if unique else require_unique_keys(incoming, keys)
+    if stage:
+        incoming = checked = materialize(checked, "upsert-source")
     if set(incoming.columns) == set(target.columns):
         kept = target.join(incoming.select(*keys), keys, "left_anti")
         return kept.unionByName(checked)

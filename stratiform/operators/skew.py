@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratiform.session import materialize
+
 # A key with more rows than this is cut into time slices.
 HOT_ROWS = 1_000_000
 
@@ -13,7 +15,7 @@ _BEFORE_ALL = "0001-01-01 00:00:00"
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys above ``hot_rows``. At most total rows / hot_rows keys exist, so the list may be broadcast."""
+    """Keys above ``hot_rows``; at most total rows / hot_rows of them exist."""
     return df.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows).select(key)
 
 
@@ -28,15 +30,20 @@ def next_in_key(
 ) -> DataFrame:
     """``lead(time)`` per key ordered by (time, tiebreak), as column ``out``.
 
-    Ordinary keys are one window group each. A hot key is cut into slices of ``width`` by time;
-    the last row of a slice takes the head of the key's next slice, found on one row per slice.
-    The result equals the plain window.
+    The keys are counted first, which reads the key column alone. Without a hot key this is one
+    plain window. A hot key is cut into slices of ``width`` by time; the last row of a slice
+    takes the head of the key's next slice, found on one row per slice. The result equals the
+    plain window.
     """
+    found = materialize(hot_keys(df, key, hot_rows), "hot-keys")
+    if found.isEmpty():
+        return df.withColumn(out, F.lead(time).over(Window.partitionBy(key).orderBy(F.col(time), F.col(tiebreak))))
+
     dtype = df.schema[time].dataType.simpleString()
-    hot = hot_keys(df, key, hot_rows).withColumn("_hot", F.lit(True))
     first_slice: Column = F.lit(_BEFORE_ALL).cast(dtype)
     in_slice = F.coalesce(F.date_trunc(width, time).cast(dtype), first_slice)
-    sliced = df.join(F.broadcast(hot), key, "left").withColumn("_slice", F.when(F.col("_hot"), in_slice))
+    marked = df.join(found.withColumn("_hot", F.lit(True)), key, "left")
+    sliced = marked.withColumn("_slice", F.when(F.col("_hot"), in_slice))
 
     inner = Window.partitionBy(key, "_slice").orderBy(F.col(time), F.col(tiebreak))
     rows = sliced.withColumn("_inner", F.lead(time).over(inner))

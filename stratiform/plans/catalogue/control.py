@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from stratiform.functions import lineage, values
 from stratiform.operators import control, dedupe, keyed
 from stratiform.plans.catalogue.registry import AS_OF, as_of, query, table
+from stratiform.session import scratch_dir
+from stratiform.sources import tables
 
 _NOW = f"TIMESTAMP '{AS_OF}'"
 
@@ -116,7 +118,7 @@ def keyed_upsert(spark, d):
     target = lineage.with_provenance(orders.filter(F.col("o_orderdate") < _CUT), {"applied_by": "a"}, as_of=earlier)
     changed = orders.filter(F.col("o_orderdate") >= _FROM).withColumn("o_totalprice", F.col("o_totalprice") * 1.1)
     source = lineage.with_provenance(changed, {"applied_by": "b"}, as_of=as_of())
-    return keyed.upsert(target, source, ["o_orderkey"])
+    return keyed.upsert(target, source, ["o_orderkey"], stage=True)
 
 
 @query(
@@ -135,7 +137,25 @@ def keyed_upsert_partial(spark, d):
     source = orders.filter(F.col("o_orderdate") >= _FROM).select(
         "o_orderkey", "o_custkey", F.lit("X").alias("o_orderstatus"), F.lit(1).alias("not_in_target")
     )
-    return keyed.upsert(orders.filter(F.col("o_orderdate") < _CUT), source, ["o_orderkey", "o_custkey"])
+    return keyed.upsert(orders.filter(F.col("o_orderdate") < _CUT), source, ["o_orderkey", "o_custkey"], stage=True)
+
+
+@query(
+    "keyed_upsert_partitions",
+    f"""WITH t AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '{_CUT}'),
+            s AS (SELECT * REPLACE (0.5::DOUBLE AS o_totalprice) FROM orders
+                  WHERE o_orderdate >= TIMESTAMP '{_FROM}' AND o_orderstatus = 'F')
+       SELECT * FROM t WHERE o_orderkey NOT IN (SELECT o_orderkey FROM s) UNION ALL SELECT * FROM s""",
+)
+def keyed_upsert_partitions(spark, d):
+    """A table partitioned by order year; only the years the source touches are rewritten."""
+    orders = table(spark, d, "orders").withColumn("o_year", F.year("o_orderdate"))
+    path = scratch_dir(spark, "silver-orders")
+    orders.filter(F.col("o_orderdate") < _CUT).write.partitionBy("o_year").parquet(path)
+    changed = orders.filter((F.col("o_orderdate") >= _FROM) & (F.col("o_orderstatus") == "F"))
+    source = changed.withColumn("o_totalprice", F.lit(0.5))
+    tables.upsert_partitions(spark, path, source, ["o_orderkey"], "o_year")
+    return spark.read.parquet(path).drop("o_year")
 
 
 @query(

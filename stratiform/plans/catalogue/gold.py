@@ -206,10 +206,10 @@ _BATCH = "1999-07-01"
 def scd2_apply(spark, d):
     """Latest priorities since a day applied to the dimension as it was before."""
     orders = table(spark, d, "orders")
-    before = _priorities(orders.filter(F.col("o_orderdate") < f"{_BATCH} 00:00:00"))
+    before = materialize(_priorities(orders.filter(F.col("o_orderdate") < f"{_BATCH} 00:00:00")), "dim")
     recent = orders.filter(F.col("o_orderdate") >= f"{_BATCH} 00:00:00")
     batch = dedupe.latest_per_key(recent, ["o_custkey"], ["o_orderdate", "o_orderkey"])
-    return dimensions.scd2_apply(before, batch, "o_custkey", ["o_orderpriority"], "o_orderdate")
+    return dimensions.scd2_apply(before, batch, "o_custkey", ["o_orderpriority"], "o_orderdate", stage=True)
 
 
 @query(

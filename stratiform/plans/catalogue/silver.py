@@ -8,7 +8,9 @@ from pyspark.sql import types as T
 from stratiform.functions import values
 from stratiform.operators import contract, dedupe, slices
 from stratiform.plans.catalogue.registry import AS_OF, as_of, lineitem, query, table
-from stratiform.plans.silver import silver_refresh
+from stratiform.plans.silver import run_silver, silver_refresh
+from stratiform.session import scratch_dir
+from stratiform.sources import tables
 from stratiform.spec import Column_, Contract, Entity, Policy, Request, Rule
 
 _MARK = "2024-01-20T00:00:00Z"
@@ -245,9 +247,7 @@ _ITEM = Entity(
 _OLD_MARK = "1998-01-01T00:00:00Z"
 
 
-@query(
-    "silver_refresh",
-    f"""WITH items AS ({_ITEMS}),
+_REFRESHED = f"""WITH items AS ({_ITEMS}),
         cut AS (SELECT TIMESTAMP '1998-01-01 00:00:00' AS mark),
         old_rows AS ({_latest("SELECT * FROM items WHERE l_shipdate <= (SELECT mark FROM cut)")}),
         new_rows AS ({_latest("SELECT * FROM items WHERE l_shipdate > (SELECT mark FROM cut)")}),
@@ -259,8 +259,10 @@ _OLD_MARK = "1998-01-01T00:00:00Z"
                    SELECT o.* FROM clean_old o ANTI JOIN clean_new n
                    ON o.l_orderkey = n.l_orderkey AND o.l_linenumber = n.l_linenumber)
         SELECT * REPLACE (sha256(l_returnflag) AS l_returnflag,
-                          repeat('*', length(l_linestatus)) AS l_linestatus) FROM merged""",
-)
+                          repeat('*', length(l_linestatus)) AS l_linestatus) FROM merged"""
+
+
+@query("silver_refresh", _REFRESHED)
 def silver_refresh_query(spark, d):
     """An incremental refresh merged into the silver table of an earlier run."""
     bronze = lineitem(spark, d)
@@ -271,6 +273,17 @@ def silver_refresh_query(spark, d):
     return silver_refresh(bronze, _ITEM, first.silver, _OLD_MARK, as_of=as_of()).silver
 
 
+@query("silver_job", _REFRESHED)
+def silver_job(spark, d):
+    """The same refresh as two runs of the job, read back from the published table."""
+    bronze = lineitem(spark, d)
+    base, rejected = scratch_dir(spark, "silver-lineitem"), scratch_dir(spark, "quarantine-lineitem")
+    old = slices.window(bronze, "l_shipdate", None, _OLD_MARK)
+    run_silver(spark, old, _ITEM, base, rejected, as_of=F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    run_silver(spark, bronze, _ITEM, base, rejected, _OLD_MARK, as_of=as_of())
+    return tables.current(spark, base)
+
+
 @query(
     "silver_refresh_quarantine",
     f"""SELECT * REPLACE (sha256(l_returnflag) AS l_returnflag, repeat('*', length(l_linestatus)) AS l_linestatus),

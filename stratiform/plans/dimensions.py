@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stratiform.functions.values import change_hash
 from stratiform.operators.dedupe import latest_per_key
 from stratiform.operators.keyed import require_unique_keys, without_match
+from stratiform.session import materialize
 
 SCD2_COLUMNS = ("effective_from", "effective_to", "is_current", "version", "change_hash")
 
@@ -65,17 +66,22 @@ def scd2_late(dim: DataFrame, incoming: DataFrame, key: str, effective: str) ->
     )
 
 
-def scd2_apply(dim: DataFrame, incoming: DataFrame, key: str, tracked: Sequence[str], effective: str) -> DataFrame:
+def scd2_apply(
+    dim: DataFrame, incoming: DataFrame, key: str, tracked: Sequence[str], effective: str, stage: bool = False
+) -> DataFrame:
     """Dimension after one batch with at most one row per key.
 
     Unchanged keys stay, changed keys close the day before and open the next version, a second
     change on the day a version began replaces it, new keys start at version 1, rows older than
     the current version are left out, and keys absent from the batch stay open. Closed versions
     pass through without a shuffle; so do current ones while the batch is small enough to broadcast.
+    ``stage`` writes the batch first, so that it is computed once and its size is known.
     """
     batch = require_unique_keys(
         incoming.select(key, *tracked, F.col(effective).cast("date").alias("effective_from")), [key]
     ).withColumn("change_hash", change_hash(tracked))
+    if stage:
+        batch = materialize(batch, "scd2-batch")
     names = [key, *tracked, *SCD2_COLUMNS]
     closed = dim.filter(~F.col("is_current")).select(*names)
     live = dim.filter("is_current").select(*names)

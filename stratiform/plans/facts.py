@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratiform.operators.skew import HOT_ROWS, next_in_key
+from stratiform.session import materialize
 
 
 def project(df: DataFrame, columns: dict[str, str], day: dict[str, str] | None = None) -> DataFrame:
@@ -38,52 +39,49 @@ def monthly_snapshot(activity: DataFrame, group: str, member: str, time: str, am
     A member joins in the month of its first activity and leaves after the month of its last.
     ``headcount`` is the members present in the month, ``active_headcount`` those with activity,
     ``avg_amount`` the mean amount of the month and ``turnover_rate`` the share of the headcount
-    that leaves. Everything is counted per (group, month) first, so the running totals go over a
-    few rows per group.
+    that leaves. The activity is read once into a table of members by month; the running totals
+    go over one row per group and month.
     """
-    monthly = activity.select(
-        group, member, F.trunc(time, "month").alias("snapshot_month"), F.col(amount).cast("decimal(18,2)").alias("_a")
+    month, cents = "snapshot_month", F.col(amount).cast("decimal(18,2)")
+    monthly = materialize(
+        activity.select(group, member, F.trunc(time, "month").alias(month), cents.alias("_a"))
+        .groupBy(group, member, month)
+        .agg(F.sum("_a").alias("_sum"), F.count("_a").alias("_n")),
+        "member-months",
     )
-    per_member_month = monthly.groupBy(group, member, "snapshot_month").agg(
-        F.sum("_a").alias("_sum"), F.count("_a").alias("_n")
+    acting = monthly.select(
+        group, month, "_sum", "_n", F.lit(1).alias("_active"), F.lit(0).alias("_in"), F.lit(0).alias("_out")
     )
-    months = per_member_month.groupBy(group, "snapshot_month").agg(
-        F.count("*").alias("active_headcount"), F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n")
+    none = F.lit(None)
+    joined_in = F.struct(F.col("_first").alias(month), F.lit(1).alias("_in"), F.lit(0).alias("_out"))
+    left_in = F.struct(F.col("_last").alias(month), F.lit(0).alias("_in"), F.lit(1).alias("_out"))
+    moving = (
+        monthly.groupBy(group, member)
+        .agg(F.min(month).alias("_first"), F.max(month).alias("_last"))
+        .select(group, F.inline(F.array(joined_in, left_in)))
+        .select(group, month, none.alias("_sum"), F.lit(0).alias("_n"), F.lit(0).alias("_active"), "_in", "_out")
     )
-    lives = monthly.groupBy(group, member).agg(
-        F.min("snapshot_month").alias("_first"), F.max("snapshot_month").alias("_last")
-    )
-    moves = (
-        lives.select(
-            group,
-            F.inline(
-                F.array(
-                    F.struct(F.col("_first").alias("snapshot_month"), F.lit(1).alias("_in"), F.lit(0).alias("_out")),
-                    F.struct(F.col("_last").alias("snapshot_month"), F.lit(0).alias("_in"), F.lit(1).alias("_out")),
-                )
-            ),
-        )
-        .groupBy(group, "snapshot_month")
-        .agg(F.sum("_in").alias("_in"), F.sum("_out").alias("_out"))
+    counts = acting.unionByName(moving).groupBy(group, month).agg(
+        *[F.sum(c).alias(c) for c in ("_sum", "_n", "_active", "_in", "_out")]
     )
     spine = (
-        months.groupBy(group)
-        .agg(F.min("snapshot_month").alias("_a"), F.max("snapshot_month").alias("_b"))
-        .select(group, F.explode(F.sequence("_a", "_b", F.expr("INTERVAL 1 MONTH"))).alias("snapshot_month"))
+        monthly.groupBy(group)
+        .agg(F.min(month).alias("_a"), F.max(month).alias("_b"))
+        .select(group, F.explode(F.sequence("_a", "_b", F.expr("INTERVAL 1 MONTH"))).alias(month))
     )
-    on = [group, "snapshot_month"]
-    running = Window.partitionBy(group).orderBy("snapshot_month").rowsBetween(Window.unboundedPreceding, 0)
-    joined = spine.join(months, on, "left").join(moves, on, "left")
     zero = F.lit(0).cast("bigint")
-    leavers = F.coalesce("_out", zero)
-    headcount = F.sum(F.coalesce("_in", zero)).over(running) - F.sum(leavers).over(running) + leavers
-    counted = joined.select(*on, headcount.alias("headcount"), F.coalesce("active_headcount", zero).alias("active_headcount"), "_sum", "_n", leavers.alias("_leavers"))
-    return counted.select(
-        *on,
+    filled = spine.join(counts, [group, month], "left").select(
+        group, month, "_sum", "_n", *[F.coalesce(c, zero).alias(c) for c in ("_active", "_in", "_out")]
+    )
+    running = Window.partitionBy(group).orderBy(month).rowsBetween(Window.unboundedPreceding, 0)
+    present = F.sum(F.col("_in") - F.col("_out")).over(running) + F.col("_out")
+    return filled.withColumn("headcount", present).select(
+        group,
+        month,
         "headcount",
-        "active_headcount",
+        F.col("_active").alias("active_headcount"),
         (F.col("_sum").cast("double") / F.col("_n")).alias("avg_amount"),
-        (F.col("_leavers") / F.col("headcount")).alias("turnover_rate"),
+        (F.col("_out") / F.col("headcount")).alias("turnover_rate"),
     )
 
 

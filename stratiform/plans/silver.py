@@ -66,7 +66,7 @@ def silver_refresh(
     changed = _finished(outcome.clean, entity, encryption_keys, as_of)
     mark = F.max(entity.watermark_column) if entity.watermark_column in piece.columns else F.lit(None)
     return Refresh(
-        silver=changed if silver is None else upsert(silver, changed, keys),
+        silver=changed if silver is None else upsert(silver, changed, keys, unique=True),
         changed=changed,
         quarantine=_finished(outcome.quarantine, entity, encryption_keys, as_of),
         metrics=outcome.metrics,
@@ -92,26 +92,26 @@ def run_silver(
 ) -> dict[str, Any]:
     """Run a refresh as a job: stage the evaluated rows once, gate, publish, report.
 
-    The staged table is written while violations are counted, so the slice is read once and
-    every later step starts from files that survive lost executors. The returned counts add up:
-    rows read = key missing + duplicates + quarantined + dropped + published.
+    Violations are counted in the tasks that write the staged table, so the slice is evaluated
+    once and every later step starts from files that survive lost executors. What was read is
+    counted by a scan of key and watermark columns: counters ahead of a shuffle could count a
+    recomputed task twice. The returned counts add up: rows read = key missing + duplicates +
+    quarantined + dropped + published.
     """
     keys = list(entity.primary_key)
     piece = slices.for_run(bronze, entity.watermark_column, last, request, key_set, keys)
     has_mark = entity.watermark_column in piece.columns
-    read = Observation()
-    seen = piece.observe(
-        read,
-        F.count(F.lit(1)).alias("n_read"),
+    read = piece.agg(
+        F.count("*").alias("n_read"),
         F.count_if(~all_not_null(keys)).alias("n_key_missing"),
         (F.max(entity.watermark_column) if has_mark else F.max(F.lit(None).cast("string"))).alias("mark"),
-    )
-    rows, violations = quality.observe(refined(seen, entity), entity.rules, keys, as_of)
+    ).first()
+    rows, violations = quality.observe(refined(piece, entity), entity.rules, keys, as_of)
     stage = scratch_dir(spark, "silver-stage")
     staged_rows = quality.with_results(rows, entity.rules, keys, as_of).withColumn(
         "_clean", F.size(quality.FAILED) == 0
     )
-    # Encrypted policies and stamps come after the rules, so clear values stay in memory only.
+    # Protected before it is staged: clear values never reach the disk.
     protected = _finished(staged_rows, entity, encryption_keys, as_of)
     outcomes = Observation()
     protected.observe(
@@ -129,10 +129,10 @@ def run_silver(
     staged = spark.read.parquet(stage)
     clean = staged.filter("_clean").drop("_clean", quality.FAILED, "_dropped")
     before = tables.current(spark, base)
-    tables.publish(clean if before is None else upsert(before, clean, keys), base)
+    tables.publish(clean if before is None else upsert(before, clean, keys, unique=True), base)
     rejected = staged.filter("NOT _clean AND NOT _dropped").drop("_clean", "_dropped")
     tables.publish(rejected, quarantine_base)
-    counts = {**read.get, **outcomes.get}
+    counts = {**read.asDict(), **outcomes.get}
     counts["n_duplicates"] = counts["n_read"] - counts["n_key_missing"] - sum(
         counts[k] for k in ("n_published", "n_dropped", "n_quarantined")
     )

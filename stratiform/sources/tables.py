@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from typing import Callable, Mapping, Sequence
+from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from stratiform.operators.keyed import require_unique_keys, upsert
+from stratiform.session import materialize
 
 _VERSION = "version="
 
@@ -58,14 +57,14 @@ def upsert_partitions(
     """Merge into a partitioned table and rewrite only the partitions the source touches.
 
     ``partition`` must be a function of the key, such as ``key_bucket`` or the date in the key.
-    The touched partitions of the target are selected by a semi join on the partition column,
-    which Spark turns into partition pruning, and replaced by dynamic partition overwrite when
-    the new files are complete.
+    The touched partition values, at most as many as the table has partitions, become a static
+    partition filter; the merged partitions replace the old ones by dynamic partition overwrite
+    once the new files are complete.
     """
+    staged = materialize(require_unique_keys(source, keys), "upsert-source")
+    touched = [row[0] for row in staged.select(partition).distinct().collect()]
     target = spark.read.parquet(path)
-    touched = source.select(partition).distinct()
-    part = target.join(touched, partition, "left_semi")
-    merged = upsert(part, source, keys)
+    merged = upsert(target.filter(F.col(partition).isin(touched)), staged, keys, unique=True)
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 

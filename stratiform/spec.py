@@ -74,13 +74,21 @@ class Column_:
     allowed_values: tuple = ()
 
 
-# Contract type names that are not already Spark type names.
-CONTRACT_TYPES = {
-    "integer": "int",
-    "long": "bigint",
-    "decimal": "decimal(18,2)",
-    "text": "string",
-    "datetime": "timestamp",
+# Contract type names. Others are read as Spark type text.
+CONTRACT_TYPES: dict[str, T.DataType] = {
+    "string": T.StringType(),
+    "text": T.StringType(),
+    "int": T.IntegerType(),
+    "integer": T.IntegerType(),
+    "long": T.LongType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+    "datetime": T.TimestampType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+    "decimal": T.DecimalType(18, 2),
 }
 
 
@@ -101,7 +109,7 @@ class Contract:
             columns.append(
                 Column_(
                     item["name"],
-                    T.DataType.fromDDL(CONTRACT_TYPES.get(name, name)),
+                    CONTRACT_TYPES[name] if name in CONTRACT_TYPES else T.DataType.fromDDL(name),
                     bool(item.get("nullable", True)),
                     bool(item.get("primary_key", False)),
                     tuple(item.get("allowed_values") or ()),

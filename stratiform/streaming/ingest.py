@@ -84,14 +84,17 @@ def ingest_evolving(
     entity: str,
     fmt: str = "json",
     sample: float = 1.0,
+    since: str | None = None,
     **kwargs,
 ) -> tuple[T.StructType, list[str]]:
     """Widen the stored schema by columns found in the landing folder, then ingest with it.
 
-    Returns the schema to store for the next run and the columns whose type conflicts. Rows
+    Only files modified after ``since`` are looked at, if given, and only a ``sample`` of their
+    rows. Returns the schema to store for the next run and the columns whose type conflicts. Rows
     written before keep NULL in added columns; read the table with ``read_bronze``.
     """
-    found = infer_schema(spark, landing, fmt, sample, kwargs.get("extra"))
+    newer = {"modifiedAfter": since} if since else {}
+    found = infer_schema(spark, landing, fmt, sample, {**(kwargs.get("extra") or {}), **newer})
     schema, conflicts = widen(stored, found)
     ingest(spark, landing, table, checkpoint, schema, source, entity, fmt, **kwargs)
     return schema, conflicts

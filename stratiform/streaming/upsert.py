@@ -7,6 +7,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from stratiform.functions.checks import all_not_null
 from stratiform.operators.dedupe import latest_per_key
 from stratiform.operators.keyed import upsert
 from stratiform.sources import tables
@@ -15,7 +16,7 @@ from stratiform.sources import tables
 def upsert_available(
     stream: DataFrame, base: str, checkpoint: str, keys: Sequence[str], by: Sequence[str]
 ) -> StreamingQuery:
-    """Merge each micro-batch, newest row per key, into the versioned table at ``base``.
+    """Merge each micro-batch, newest row per key and none without a key, into the versioned table at ``base``.
 
     The batch id is the version number: a replayed batch starts from the version before it and
     overwrites its own, so a restart after a lost driver does not merge twice. The table and
@@ -23,9 +24,10 @@ def upsert_available(
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        newest = latest_per_key(batch, keys, by)
+        newest = latest_per_key(batch.filter(all_not_null(keys)), keys, by).persist()
         before = tables.current(batch.sparkSession, base, below=batch_id)
-        tables.publish(newest if before is None else upsert(before, newest, keys), base, batch_id)
+        tables.publish(newest if before is None else upsert(before, newest, keys, unique=True), base, batch_id)
+        newest.unpersist()
 
     query = (
         stream.writeStream.foreachBatch(merge)
