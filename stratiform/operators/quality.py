@@ -13,7 +13,7 @@ from stratiform.functions import checks
 from stratiform.spec import Rule
 
 FAILED = "failed_rules"
-_DROPPED = "_dropped"
+DROPPED = "_dropped"
 
 
 @dataclass(frozen=True)
@@ -41,15 +41,15 @@ def with_results(
     blocking = [r for r in rules if r.effect in ("drop", "quarantine")]
     dropping = [r for r in rules if r.effect == "drop"]
     dropped = reduce(lambda a, b: a | b, [~checks.predicate(r, keys, as_of) for r in dropping], F.lit(False))
-    return df.withColumns({FAILED: _failing(blocking, keys, as_of), _DROPPED: dropped})
+    return df.withColumns({FAILED: _failing(blocking, keys, as_of), DROPPED: dropped})
 
 
 def clean_rows(results: DataFrame) -> DataFrame:
-    return results.filter(F.size(FAILED) == 0).drop(FAILED, _DROPPED)
+    return results.filter(F.size(FAILED) == 0).drop(FAILED, DROPPED)
 
 
 def quarantined_rows(results: DataFrame) -> DataFrame:
-    return results.filter((F.size(FAILED) > 0) & ~F.col(_DROPPED)).drop(_DROPPED)
+    return results.filter((F.size(FAILED) > 0) & ~F.col(DROPPED)).drop(DROPPED)
 
 
 def gate(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str] = (), as_of: Column | None = None) -> DataFrame:

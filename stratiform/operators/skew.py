@@ -4,52 +4,64 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratiform.session import materialize
 
-# A key with more rows than this is cut into time slices.
+# A key with more rows than this is cut into time slices of about this many rows.
 HOT_ROWS = 1_000_000
 
-# Slice of rows without a time: they sort before all others.
-_BEFORE_ALL = "0001-01-01 00:00:00"
+_DAY = 86_400_000_000
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys above ``hot_rows``; at most total rows / hot_rows of them exist."""
-    return df.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows).select(key)
+def micros(time: str, dtype: T.DataType) -> Column:
+    """Position in time in microseconds, in the order of the column whatever the session zone."""
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(time)
+    days = F.datediff(F.col(time), F.lit("1970-01-01").cast("date")).cast("bigint") * _DAY
+    if isinstance(dtype, T.DateType):
+        return days
+    minutes = (F.hour(time) * 60 + F.minute(time)).cast("bigint")
+    seconds = F.expr(f"extract(SECOND FROM `{time}`)")
+    return days + minutes * 60_000_000 + (seconds * 1_000_000).cast("bigint")
 
 
-def next_in_key(
-    df: DataFrame,
-    key: str,
-    time: str,
-    tiebreak: str,
-    out: str,
-    hot_rows: int = HOT_ROWS,
-    width: str = "hour",
-) -> DataFrame:
+def hot_keys(df: DataFrame, key: str, time: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys above ``hot_rows`` with their first time and the slice width that cuts them to size.
+
+    At most total rows / hot_rows keys are hot.
+    """
+    at = micros(time, df.schema[time].dataType)
+    counted = df.groupBy(key).agg(F.count("*").alias("_n"), F.min(at).alias("_first"), F.max(at).alias("_last"))
+    slices = F.ceil(F.col("_n") / hot_rows)
+    width = F.greatest(F.lit(1).cast("bigint"), F.ceil((F.col("_last") - F.col("_first") + 1) / slices))
+    return counted.filter(F.col("_n") > hot_rows).select(key, "_first", width.cast("bigint").alias("_width"))
+
+
+def next_in_key(df: DataFrame, key: str, time: str, tiebreak: str, out: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``lead(time)`` per key ordered by (time, tiebreak), as column ``out``.
 
-    The keys are counted first, which reads the key column alone. Without a hot key this is one
-    plain window. A hot key is cut into slices of ``width`` by time; the last row of a slice
-    takes the head of the key's next slice, found on one row per slice. The result equals the
-    plain window.
+    The keys are counted first, which reads two columns. Without a hot key this is one plain
+    window. A hot key is cut into slices of time, as many as its rows ask for; the last row of a
+    slice takes the head of the key's next slice, found on one row per slice. The result equals
+    the plain window.
     """
-    found = materialize(hot_keys(df, key, hot_rows), "hot-keys")
+    found = materialize(hot_keys(df, key, time, max(1, hot_rows)), "hot-keys")
     if found.isEmpty():
         return df.withColumn(out, F.lead(time).over(Window.partitionBy(key).orderBy(F.col(time), F.col(tiebreak))))
 
-    dtype = df.schema[time].dataType.simpleString()
-    first_slice: Column = F.lit(_BEFORE_ALL).cast(dtype)
-    in_slice = F.coalesce(F.date_trunc(width, time).cast(dtype), first_slice)
-    marked = df.join(found.withColumn("_hot", F.lit(True)), key, "left")
-    sliced = marked.withColumn("_slice", F.when(F.col("_hot"), in_slice))
+    at = micros(time, df.schema[time].dataType)
+    number = F.floor((at - F.col("_first")) / F.col("_width"))
+    before_all = F.lit(-1).cast("bigint")  # rows without a time sort first
+    sliced = df.join(found, key, "left").withColumn(
+        "_slice", F.when(F.col("_width").isNotNull(), F.coalesce(number, before_all))
+    )
 
     inner = Window.partitionBy(key, "_slice").orderBy(F.col(time), F.col(tiebreak))
-    rows = sliced.withColumn("_inner", F.lead(time).over(inner))
+    rows = sliced.withColumns({"_inner": F.lead(time).over(inner), "_follows": F.lead(F.lit(True)).over(inner)})
 
     heads = (
-        sliced.filter("_hot")
+        sliced.filter("_slice IS NOT NULL")
         .groupBy(key, "_slice")
         .agg(F.min(time).alias("_head"))
         .withColumn("_next_head", F.lead("_head").over(Window.partitionBy(key).orderBy("_slice")))
@@ -57,6 +69,6 @@ def next_in_key(
     )
     return (
         rows.join(heads, [key, "_slice"], "left")
-        .withColumn(out, F.coalesce("_inner", "_next_head"))
-        .drop("_hot", "_slice", "_inner", "_next_head")
+        .withColumn(out, F.when(F.col("_follows"), F.col("_inner")).otherwise(F.col("_next_head")))
+        .drop("_first", "_width", "_slice", "_inner", "_follows", "_next_head")
     )

@@ -113,6 +113,26 @@ def missing_source_empty_shell(spark, d):
     return present.unionByName(absent)
 
 
+@query(
+    "bronze_rescue_stream",
+    """SELECT event_id, user_id, CASE WHEN event_type = 'error' THEN NULL ELSE value END AS value,
+              CASE WHEN event_type = 'error' THEN '{"value":"n/a","unplanned":"' || user_id || '"}' END AS _rescued_data
+       FROM events""",
+)
+def bronze_rescue_stream(spark, d):
+    """A stream of JSON lines; errors carry an unplanned field and text where a number should be."""
+    events = table(spark, d, "events").select("event_id", "user_id", "value", "event_type")
+    planned = events.drop("event_type")
+    landed = land(events.filter("event_type <> 'error'").drop("event_type"), "events")
+    odd = events.filter("event_type = 'error'").drop("event_type").withColumns(
+        {"value": F.lit("n/a"), "unplanned": F.col("user_id").cast("string")}
+    )
+    land(odd, "events", path=landed)
+    target, checkpoint = ingest.full_refresh_paths(scratch_dir(spark, "bronze-rescue"), 0)
+    ingest.ingest(spark, landed, target, checkpoint, planned.schema, "app", "events", rescue=True)
+    return ingest.read_bronze(spark, target).select("event_id", "user_id", "value", "_rescued_data")
+
+
 @query(
     "bronze_rescued_data",
     """SELECT event_id, CASE WHEN event_type = 'signup' THEN NULL

@@ -212,6 +212,23 @@ def scd2_apply(spark, d):
     return dimensions.scd2_apply(before, batch, "o_custkey", ["o_orderpriority"], "o_orderdate", stage=True)
 
 
+@query(
+    "scd2_late",
+    f"""WITH dim AS ({_scd2_sql()}),
+            inc AS (SELECT o_custkey, o_orderpriority, CAST(o_orderdate AS DATE) AS day FROM (
+              SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders
+              WHERE o_orderstatus = 'F') WHERE rn = 1)
+       SELECT inc.o_custkey, inc.o_orderpriority, day, 'older than current version' AS reason
+       FROM inc JOIN dim ON inc.o_custkey = dim.o_custkey AND is_current AND day < effective_from""",
+)
+def scd2_late(spark, d):
+    """Changes that come after a newer version is known are reported, not applied."""
+    orders = table(spark, d, "orders")
+    finished = dedupe.latest_per_key(orders.filter("o_orderstatus = 'F'"), ["o_custkey"], ["o_orderdate", "o_orderkey"])
+    batch = finished.select("o_custkey", "o_orderpriority", F.to_date("o_orderdate").alias("day"))
+    return dimensions.scd2_late(_priorities(orders), batch, "o_custkey", "day")
+
+
 @query(
     "scd2_point_in_time_join",
     f"""SELECT o.o_orderkey, o.o_custkey, o.o_orderdate, v.version, v.o_orderpriority AS valid_priority FROM orders o

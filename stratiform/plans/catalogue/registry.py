@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.session import scratch_dir, tune
+from stratiform.session import scratch_dir, size_shuffles, stored_bytes, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,7 +27,9 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(tune(spark), sf_dir)
+            tune(spark)
+            size_shuffles(spark, stored_bytes(spark, sf_dir))
+            return fn(spark, sf_dir)
 
         run.__name__, run.__doc__ = fn.__name__, fn.__doc__
         QUERIES[name] = run

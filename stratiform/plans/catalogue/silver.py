@@ -270,7 +270,7 @@ def silver_refresh_query(spark, d):
         slices.window(bronze, "l_shipdate", None, _OLD_MARK), _ITEM,
         as_of=F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"),
     )
-    return silver_refresh(bronze, _ITEM, first.silver, _OLD_MARK, as_of=as_of()).silver
+    return silver_refresh(bronze, _ITEM, first.silver, _OLD_MARK, as_of=as_of(), stage=True).silver
 
 
 @query("silver_job", _REFRESHED)

@@ -14,7 +14,7 @@ from stratiform.functions.protect import protect
 from stratiform.operators import contract, quality, slices
 from stratiform.operators.dedupe import latest_per_key
 from stratiform.operators.keyed import upsert
-from stratiform.session import scratch_dir
+from stratiform.session import discard, materialize, scratch_dir
 from stratiform.sources import tables
 from stratiform.spec import Entity, Request
 
@@ -41,8 +41,12 @@ def refined(piece: DataFrame, entity: Entity) -> DataFrame:
     return contract.conform(latest, entity.contract) if entity.contract else latest
 
 
-def _finished(df: DataFrame, entity: Entity, keys: Mapping[str, str] | None, as_of: Column | None) -> DataFrame:
-    return lineage.stamp(protect(df, entity.policies, "silver", keys), lineage.SILVER_TS, as_of)
+def _evaluated(
+    rows: DataFrame, entity: Entity, keys: Mapping[str, str] | None, as_of: Column | None
+) -> DataFrame:
+    """Rows with their rule results. Rules see clear values; everything kept is protected."""
+    results = quality.with_results(rows, entity.rules, entity.primary_key, as_of)
+    return lineage.stamp(protect(results, entity.policies, "silver", keys), lineage.SILVER_TS, as_of)
 
 
 def silver_refresh(
@@ -54,22 +58,25 @@ def silver_refresh(
     key_set: DataFrame | None = None,
     encryption_keys: Mapping[str, str] | None = None,
     as_of: Column | None = None,
+    stage: bool = False,
 ) -> Refresh:
-    """Rules see clear values; both the clean and the quarantined rows are protected afterwards.
+    """The new watermark is that of the slice, not of the clean rows, so rejected rows are not read again.
 
-    The new watermark is that of the slice, not of the clean rows, so rejected rows are not read again.
+    ``stage`` writes the evaluated slice first; clean rows, quarantine and upsert then share it.
     """
     keys = list(entity.primary_key)
     piece = slices.for_run(bronze, entity.watermark_column, last, request, key_set, keys)
     rows = refined(piece, entity)
-    outcome = quality.apply_rules(rows, entity.rules, keys, as_of)
-    changed = _finished(outcome.clean, entity, encryption_keys, as_of)
+    results = _evaluated(quality.gate(rows, entity.rules, keys, as_of), entity, encryption_keys, as_of)
+    if stage:
+        results = materialize(results, "silver-stage")
+    changed = quality.clean_rows(results)
     mark = F.max(entity.watermark_column) if entity.watermark_column in piece.columns else F.lit(None)
     return Refresh(
         silver=changed if silver is None else upsert(silver, changed, keys, unique=True),
         changed=changed,
-        quarantine=_finished(outcome.quarantine, entity, encryption_keys, as_of),
-        metrics=outcome.metrics,
+        quarantine=quality.quarantined_rows(results),
+        metrics=quality.metrics(rows, entity.rules, keys, as_of),
         watermark=piece.agg(mark.alias("current_watermark"), F.count("*").alias("last_row_count")),
     )
 
@@ -107,18 +114,14 @@ def run_silver(
         (F.max(entity.watermark_column) if has_mark else F.max(F.lit(None).cast("string"))).alias("mark"),
     ).first()
     rows, violations = quality.observe(refined(piece, entity), entity.rules, keys, as_of)
-    stage = scratch_dir(spark, "silver-stage")
-    staged_rows = quality.with_results(rows, entity.rules, keys, as_of).withColumn(
-        "_clean", F.size(quality.FAILED) == 0
-    )
-    # Protected before it is staged: clear values never reach the disk.
-    protected = _finished(staged_rows, entity, encryption_keys, as_of)
     outcomes = Observation()
-    protected.observe(
+    clean, dropped = F.size(quality.FAILED) == 0, F.col(quality.DROPPED)
+    stage = scratch_dir(spark, "silver-stage")
+    _evaluated(rows, entity, encryption_keys, as_of).observe(
         outcomes,
-        F.count_if("_clean").alias("n_published"),
-        F.count_if("_dropped").alias("n_dropped"),
-        F.count_if(~F.col("_clean") & ~F.col("_dropped")).alias("n_quarantined"),
+        F.count_if(clean).alias("n_published"),
+        F.count_if(dropped).alias("n_dropped"),
+        F.count_if(~clean & ~dropped).alias("n_quarantined"),
     ).write.parquet(stage)
 
     failed = quality.observed_failures(entity.rules, violations)
@@ -127,11 +130,11 @@ def run_silver(
         raise QualityFailure(f"{entity.key}: {blocked}")
 
     staged = spark.read.parquet(stage)
-    clean = staged.filter("_clean").drop("_clean", quality.FAILED, "_dropped")
+    changed = quality.clean_rows(staged)
     before = tables.current(spark, base)
-    tables.publish(clean if before is None else upsert(before, clean, keys, unique=True), base)
-    rejected = staged.filter("NOT _clean AND NOT _dropped").drop("_clean", "_dropped")
-    tables.publish(rejected, quarantine_base)
+    tables.publish(changed if before is None else upsert(before, changed, keys, unique=True), base)
+    tables.publish(quality.quarantined_rows(staged), quarantine_base)
+    discard(spark, stage)
     counts = {**read.asDict(), **outcomes.get}
     counts["n_duplicates"] = counts["n_read"] - counts["n_key_missing"] - sum(
         counts[k] for k in ("n_published", "n_dropped", "n_quarantined")

@@ -38,6 +38,33 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Stored bytes behind one shuffle partition; AQE joins partitions that turn out small.
+BYTES_PER_SHUFFLE_PARTITION = 512 * 1024 * 1024
+
+
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all files under a path."""
+    fs, root = _file_system(spark, path)
+    return int(fs.getContentSummary(root).getLength())
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Raise ``spark.sql.shuffle.partitions`` so that partitions of a large input fit in memory.
+
+    The setting is never lowered: AQE coalesces small partitions but does not split the
+    partitions of an ordinary aggregation.
+    """
+    wanted = -(-input_bytes // BYTES_PER_SHUFFLE_PARTITION)
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return partitions
+
+
 @lru_cache(maxsize=None)
 def _local_scratch(application_id: str) -> str:
     return tempfile.mkdtemp(prefix="stratiform-")
@@ -62,6 +89,14 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table nobody reads any more."""
+    if not path.startswith(scratch_root(spark) + "/"):
+        raise ValueError(f"not a scratch path: {path}")
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write once and read back.
 

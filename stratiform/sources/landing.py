@@ -14,6 +14,7 @@ FORMAT_OPTIONS: dict[str, dict[str, str]] = {
     "json": {},
     "csv": {"header": "true", "comment": "#"},
     "parquet": {},
+    "text": {},
 }
 CORRUPT = "_corrupt_record"
 

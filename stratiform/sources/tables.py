@@ -46,6 +46,11 @@ def publish(df: DataFrame, base: str, version: int | None = None, partition_by:
     return version
 
 
+def rebalanced(df: DataFrame, *by: str) -> DataFrame:
+    """Let AQE even out output files by size, splitting large and joining small partitions."""
+    return df.hint("rebalance", *by)
+
+
 def key_bucket(keys: Sequence[str], buckets: int) -> Column:
     """A partition number that depends on the key alone."""
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")

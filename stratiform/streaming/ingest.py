@@ -11,7 +11,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stratiform.functions import lineage
 from stratiform.sources.evolve import widen
-from stratiform.sources.landing import infer_schema, options
+from stratiform.sources.landing import infer_schema, options, with_rescued
+
+
+_LINE = "_line"
 
 
 def file_stream(
@@ -67,11 +70,25 @@ def ingest(
     max_files: int | None = None,
     archive: str | None = None,
     extra: Mapping[str, str] | None = None,
+    rescue: bool = False,
+    partition_by: tuple[str, ...] = (),
 ) -> StreamingQuery:
-    """One triggered run: new files, lineage columns, append."""
-    stream = file_stream(spark, landing, schema, fmt, max_files, archive, extra)
+    """One triggered run: new files, lineage columns, append.
+
+    ``rescue`` reads JSON line by line and keeps what does not fit the schema in
+    ``_rescued_data`` instead of losing it.
+    """
+    if rescue and fmt != "json":
+        raise ValueError("only JSON lines can be rescued")
+    line = T.StructType([T.StructField("value", T.StringType())])
+    stream = file_stream(
+        spark, landing, line if rescue else schema, "text" if rescue else fmt, max_files, archive, extra
+    )
     rows = lineage.from_files(stream, source, entity, run_id=run_id, as_of=as_of)
-    return append_available(rows, table, checkpoint)
+    if rescue:
+        lines = rows.withColumnRenamed("value", _LINE).filter(F.trim(_LINE) != "")
+        rows = with_rescued(lines, _LINE, schema).drop(_LINE)
+    return append_available(rows, table, checkpoint, partition_by)
 
 
 def ingest_evolving(

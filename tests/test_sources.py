@@ -163,3 +163,44 @@ def test_materialize_keeps_schema_and_rows(spark, rows_of):
     df = spark.range(3).withColumn("v", F.col("id") + 1)
     again = session.materialize(df, "m")
     assert rows_of(again) == [(0, 1), (1, 2), (2, 3)] and again.dtypes == df.dtypes
+
+
+def test_rescue_stream_keeps_what_does_not_fit(spark, folder, rows_of):
+    drop_file(f"{folder}/in", "1.json", {"id": 1, "v": "a"}, {"id": "x", "v": "b", "w": 1}, "{broken", "")
+    df = run(spark, folder, rescue=True)
+    assert rows_of(df, "id", "v", "_rescued_data") == [
+        (1, "a", None), (None, "b", '{"id":"x","w":"1"}'), (None, None, '{"_corrupt_record":"{broken"}')
+    ]
+    assert "_file_path" in df.columns and "value" not in df.columns
+
+
+def test_bronze_can_be_partitioned(spark, folder):
+    drop_file(f"{folder}/in", "1.json", {"id": 1, "v": "a"}, {"id": 2, "v": "b"})
+    assert run(spark, folder, partition_by=("v",)).count() == 2
+    assert {p.name for p in Path(f"{folder}/bronze").glob("v=*")} == {"v=a", "v=b"}
+
+
+def test_shuffles_grow_with_the_input_and_never_shrink(spark, folder):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert session.size_shuffles(spark, 10) == int(before)
+        assert session.size_shuffles(spark, 100 * session.BYTES_PER_SHUFFLE_PARTITION + 1) == 101
+        assert session.size_shuffles(spark, 10) == 101
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    (Path(folder) / "f").write_text("12345")
+    assert session.stored_bytes(spark, folder) == 5
+
+
+def test_only_scratch_is_discarded(spark, folder):
+    path = session.scratch_dir(spark, "gone")
+    spark.range(1).write.parquet(path)
+    session.discard(spark, path)
+    assert not Path(path).exists()
+    with pytest.raises(ValueError, match="not a scratch path"):
+        session.discard(spark, folder)
+
+
+def test_rebalanced_output_is_one_small_file(spark, folder):
+    tables.rebalanced(spark.range(100).repartition(4)).write.parquet(f"{folder}/r")
+    assert len(list(Path(f"{folder}/r").glob("*.parquet"))) == 1
