@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import datetime
 from typing import Iterable, Mapping
 
 from pyspark.sql import Column
@@ -61,7 +62,10 @@ def watermark(value: object, dtype: str = "timestamp") -> Column:
     """A watermark given as a Column, datetime or ISO text (``Z`` allowed) as a typed column.
 
     A zone-less target takes the instant in the session zone, so ISO text with ``Z`` and
-    ``timestamp_ntz`` data agree when the session runs in UTC.
+    ``timestamp_ntz`` data agree when the session runs in UTC. A zone-less datetime, as read
+    from such data, stays what it is.
     """
+    if isinstance(value, datetime) and value.tzinfo is None and dtype == "timestamp_ntz":
+        return F.lit(value.isoformat()).cast(dtype)
     c = value if isinstance(value, Column) else F.lit(value)
     return c.cast("timestamp").cast(dtype)

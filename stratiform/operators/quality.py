@@ -83,7 +83,9 @@ def metrics(
         )
         for i, r in enumerate(rules)
     ]
-    return df.agg(*_counters(rules, keys, as_of)).select(F.inline(F.array(*per_rule)))
+    none = F.array().cast("array<struct<rule_name:string,action:string,n_rows:bigint,n_failed:bigint>>")
+    listed = F.array(*per_rule) if per_rule else none
+    return df.agg(*_counters(rules, keys, as_of)).select(F.inline(listed))
 
 
 def observe(

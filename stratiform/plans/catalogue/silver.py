@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratiform.functions import values
-from stratiform.operators import contract, dedupe, slices
+from stratiform.operators import contract, dedupe, keyed, slices
 from stratiform.plans.catalogue.registry import AS_OF, as_of, lineitem, query, table
+from stratiform.plans.refresh import REQUEST_SCHEMA, Lake, refresh_entity
 from stratiform.plans.silver import run_silver, silver_refresh
 from stratiform.session import scratch_dir
 from stratiform.sources import tables
@@ -284,6 +287,27 @@ def silver_job(spark, d):
     return tables.current(spark, base)
 
 
+@query(
+    "reprocess_job",
+    """SELECT event_id, ts, user_id, event_type, value + CASE WHEN ts > TIMESTAMP '2024-01-05 12:00:00'
+              AND ts <= TIMESTAMP '2024-01-20 00:00:00' THEN 1 ELSE 0 END AS value, props FROM events""",
+)
+def reprocess_job(spark, d):
+    """Silver after a first load, a correction of all bronze rows, and an approved request for a window of them."""
+    events = table(spark, d, "events")
+    entity = Entity("events", ("event_id",), "ts")
+    lake = Lake(scratch_dir(spark, "lake"))
+    refresh_entity(spark, lake, entity, events, "run-1", as_of=as_of())
+    corrected = events.withColumn("value", F.col("value") + 1)
+    refresh_entity(spark, lake, entity, corrected, "run-2", as_of=as_of())
+    asked = [("r-1", ["events"], "window", datetime(2024, 1, 5, 12), datetime(2024, 1, 20), "approved")]
+    columns = "request_id string, requested_entities array<string>, reprocess_mode string, from_watermark timestamp_ntz, to_watermark timestamp_ntz, status string"
+    known = spark.createDataFrame([], REQUEST_SCHEMA)
+    tables.publish(keyed.append(known, spark.createDataFrame(asked, columns)), lake.requests)
+    refresh_entity(spark, lake, entity, corrected, "run-3", as_of=as_of())
+    return tables.current(spark, lake.table(entity, "silver")).drop("_silver_processed_ts")
+
+
 @query(
     "silver_refresh_quarantine",
     f"""SELECT * REPLACE (sha256(l_returnflag) AS l_returnflag, repeat('*', length(l_linestatus)) AS l_linestatus),

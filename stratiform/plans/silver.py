@@ -71,7 +71,7 @@ def silver_refresh(
     if stage:
         results = materialize(results, "silver-stage")
     changed = quality.clean_rows(results)
-    mark = F.max(entity.watermark_column) if entity.watermark_column in piece.columns else F.lit(None)
+    mark = F.max(entity.watermark_column) if entity.watermark_column in piece.columns else F.lit(None).cast("string")
     return Refresh(
         silver=changed if silver is None else upsert(silver, changed, keys, unique=True),
         changed=changed,
