@@ -28,6 +28,13 @@ def align(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(_nullable(f.dataType)).alias(f.name) for f in schema if f.name in df.columns])
 
 
+def widened(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The rows with the columns they lack as typed NULLs."""
+    return df.withColumns(
+        {f.name: F.lit(None).cast(_nullable(f.dataType)) for f in schema if f.name not in df.columns}
+    )
+
+
 def require_unique_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The same rows, but the job fails on a NULL or repeated key.
 
@@ -53,13 +60,19 @@ def without_match(source: DataFrame, target: DataFrame, keys: Sequence[str]) ->
 
 
 def upsert(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], unique: bool = False, stage: bool = False
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    unique: bool = False,
+    stage: bool = False,
+    widen: bool = False,
 ) -> DataFrame:
     """Target after a keyed merge: matched rows take the source's columns, new rows are added.
 
     Columns the source lacks keep their value on a match and are NULL on an insert; columns the
     target lacks are ignored. The same source applied twice changes nothing more.
 
+    ``widen`` adds the source's new columns to the target instead, NULL in older rows.
     ``unique`` skips the key check for a source that is unique and non-NULL by construction.
     ``stage`` writes the source first: it is then computed once and broadcast by its true size.
     """
@@ -67,6 +80,8 @@ def upsert(
     absent = [k for k in keys if k not in source.columns]
     if absent:
         raise ValueError(f"key columns missing from upsert source: {absent}")
+    if widen:
+        target = widened(target, source.schema)
     incoming = align(source, target.schema)
     checked = incoming if unique else require_unique_keys(incoming, keys)
     if stage:

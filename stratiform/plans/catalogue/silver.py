@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from stratiform.functions import values
 from stratiform.operators import contract, dedupe, keyed, slices
 from stratiform.plans.catalogue.registry import AS_OF, as_of, lineitem, query, table
 from stratiform.plans.refresh import REQUEST_SCHEMA, Lake, refresh_entity
-from stratiform.plans.silver import run_silver, silver_refresh
+from stratiform.plans.silver import read_silver, run_silver, silver_refresh
 from stratiform.session import scratch_dir
 from stratiform.sources import tables
 from stratiform.spec import Column_, Contract, Entity, Policy, Request, Rule
@@ -287,6 +288,18 @@ def silver_job(spark, d):
     return tables.current(spark, base)
 
 
+@query("silver_job_bucketed", _REFRESHED)
+def silver_job_bucketed(spark, d):
+    """The same two runs into a table cut into key buckets, of which a run rewrites the touched ones."""
+    bronze = lineitem(spark, d)
+    entity = replace(_ITEM, buckets=8)
+    base, rejected = scratch_dir(spark, "silver-lineitem"), scratch_dir(spark, "quarantine-lineitem")
+    old = slices.window(bronze, "l_shipdate", None, _OLD_MARK)
+    run_silver(spark, old, entity, base, rejected, as_of=F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    run_silver(spark, bronze, entity, base, rejected, _OLD_MARK, as_of=as_of())
+    return read_silver(spark, entity, base)
+
+
 @query(
     "reprocess_job",
     """SELECT event_id, ts, user_id, event_type, value + CASE WHEN ts > TIMESTAMP '2024-01-05 12:00:00'

@@ -73,7 +73,7 @@ def silver_refresh(
     changed = quality.clean_rows(results)
     mark = F.max(entity.watermark_column) if entity.watermark_column in piece.columns else F.lit(None).cast("string")
     return Refresh(
-        silver=changed if silver is None else upsert(silver, changed, keys, unique=True),
+        silver=changed if silver is None else upsert(silver, changed, keys, unique=True, widen=True),
         changed=changed,
         quarantine=quality.quarantined_rows(results),
         metrics=quality.metrics(rows, entity.rules, keys, as_of),
@@ -85,6 +85,25 @@ class QualityFailure(RuntimeError):
     """A rule with action ``fail`` found violations; nothing was published."""
 
 
+def _merge(spark: SparkSession, changed: DataFrame, entity: Entity, base: str) -> None:
+    """Merge into silver; columns that are new stay, columns that vanished keep their values."""
+    keys = list(entity.primary_key)
+    if entity.buckets or entity.partition:
+        cut = entity.partition or "_bucket"
+        rows = changed if entity.partition else changed.withColumn(cut, tables.key_bucket(keys, entity.buckets))
+        tables.upsert_partitions(spark, base, rows, keys, cut, unique=True, widen=True)
+        return
+    before = tables.current(spark, base)
+    tables.publish(changed if before is None else upsert(before, changed, keys, unique=True, widen=True), base)
+
+
+def read_silver(spark: SparkSession, entity: Entity, base: str) -> DataFrame | None:
+    """The silver table as last published; None before the first run."""
+    if not (entity.buckets or entity.partition):
+        return tables.current(spark, base)
+    return tables.read_partitioned(spark, base).drop("_bucket") if tables.exists(spark, base) else None
+
+
 def run_silver(
     spark: SparkSession,
     bronze: DataFrame,
@@ -130,9 +149,7 @@ def run_silver(
         raise QualityFailure(f"{entity.key}: {blocked}")
 
     staged = spark.read.parquet(stage)
-    changed = quality.clean_rows(staged)
-    before = tables.current(spark, base)
-    tables.publish(changed if before is None else upsert(before, changed, keys, unique=True), base)
+    _merge(spark, quality.clean_rows(staged), entity, base)
     tables.publish(quality.quarantined_rows(staged), quarantine_base)
     discard(spark, stage)
     counts = {**read.asDict(), **outcomes.get}

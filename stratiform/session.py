@@ -42,14 +42,15 @@ def tune(spark: SparkSession) -> SparkSession:
 BYTES_PER_SHUFFLE_PARTITION = 512 * 1024 * 1024
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as it knows it."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
 def stored_bytes(spark: SparkSession, path: str) -> int:
     """Size of all files under a path."""
-    fs, root = _file_system(spark, path)
+    fs, root = file_system(spark, path)
     return int(fs.getContentSummary(root).getLength())
 
 
@@ -93,7 +94,7 @@ def discard(spark: SparkSession, path: str) -> None:
     """Delete a scratch table nobody reads any more."""
     if not path.startswith(scratch_root(spark) + "/"):
         raise ValueError(f"not a scratch path: {path}")
-    fs, target = _file_system(spark, path)
+    fs, target = file_system(spark, path)
     fs.delete(target, True)
 
 

@@ -8,20 +8,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratiform.operators.keyed import require_unique_keys, upsert
-from stratiform.session import materialize
+from stratiform.session import file_system, materialize
 
 _VERSION = "version="
 
 
 def versions(spark: SparkSession, base: str) -> list[int]:
     """Complete versions of a table, oldest first. Spark's ``_SUCCESS`` file marks a version complete."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(base)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs, root = file_system(spark, base)
     if not fs.exists(root):
         return []
     found = [s.getPath() for s in fs.listStatus(root) if s.getPath().getName().startswith(_VERSION)]
-    done = [p.getName()[len(_VERSION):] for p in found if fs.exists(hadoop.Path(p, "_SUCCESS"))]
+    done = [p.getName()[len(_VERSION):] for p in found if exists(spark, f"{base}/{p.getName()}/_SUCCESS")]
     return sorted(int(v) for v in done)
 
 
@@ -56,23 +54,52 @@ def key_bucket(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, target = file_system(spark, path)
+    return fs.exists(target)
+
+
 def upsert_partitions(
-    spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], partition: str
+    spark: SparkSession,
+    path: str,
+    source: DataFrame,
+    keys: Sequence[str],
+    partition: str,
+    unique: bool = False,
+    widen: bool = False,
 ) -> None:
     """Merge into a partitioned table and rewrite only the partitions the source touches.
 
-    ``partition`` must be a function of the key, such as ``key_bucket`` or the date in the key.
+    ``partition`` must be a function of the key, such as ``key_bucket`` or a date in the key.
     The touched partition values, at most as many as the table has partitions, become a static
     partition filter; the merged partitions replace the old ones by dynamic partition overwrite
-    once the new files are complete.
+    once the new files are complete. A merge that broke off is repaired by running it again.
+    The table is created if it does not exist.
     """
-    staged = materialize(require_unique_keys(source, keys), "upsert-source")
-    touched = [row[0] for row in staged.select(partition).distinct().collect()]
-    target = spark.read.parquet(path)
-    merged = upsert(target.filter(F.col(partition).isin(touched)), staged, keys, unique=True)
+    staged = materialize(source if unique else require_unique_keys(source, keys), "upsert-source")
+    if exists(spark, path):
+        touched = [row[0] for row in staged.select(partition).distinct().collect()]
+        target = read_partitioned(spark, path).filter(F.col(partition).isin(touched))
+        merged = upsert(target, staged, keys, unique=True, widen=widen)
+    else:
+        merged = staged
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 
+def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
+    """A partitioned table with the columns of all its files."""
+    return spark.read.option("mergeSchema", "true").parquet(path)
+
+
+def expire(spark: SparkSession, base: str, keep: int = 2) -> list[int]:
+    """Delete all but the newest complete versions; returns the deleted ones."""
+    old = versions(spark, base)[: -max(1, keep)]
+    for version in old:
+        fs, target = file_system(spark, f"{base}/{_VERSION}{version}")
+        fs.delete(target, True)
+    return old
+
+
 def write_clustered(df: DataFrame, path: str, by: Sequence[str], partitions: int | None = None) -> None:
     """Range-cluster and sort files by the columns later filtered on, so row groups can be skipped."""
     ranged = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)

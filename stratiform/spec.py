@@ -142,6 +142,9 @@ class Entity:
     rules: tuple[Rule, ...] = ()
     policies: tuple[Policy, ...] = ()
     contract: Contract | None = None
+    # How silver is cut for merging: a column that depends on the key, or a number of key buckets.
+    partition: str | None = None
+    buckets: int | None = None
 
     def layer_schema(self, layer: str) -> str:
         return f"{layer}_restricted" if self.restricted else layer

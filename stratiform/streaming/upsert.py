@@ -14,19 +14,35 @@ from stratiform.sources import tables
 
 
 def upsert_available(
-    stream: DataFrame, base: str, checkpoint: str, keys: Sequence[str], by: Sequence[str]
+    stream: DataFrame,
+    base: str,
+    checkpoint: str,
+    keys: Sequence[str],
+    by: Sequence[str],
+    partition: str | None = None,
+    keep: int = 2,
 ) -> StreamingQuery:
     """Merge each micro-batch, newest row per key and none without a key, into the versioned table at ``base``.
 
     The batch id is the version number: a replayed batch starts from the version before it and
     overwrites its own, so a restart after a lost driver does not merge twice. The table and
-    the checkpoint belong together.
+    the checkpoint belong together; the newest ``keep`` versions stay.
+
+    With ``partition``, a column that depends on the key, the table at ``base`` is partitioned
+    instead and each batch rewrites the partitions it touches; a replayed merge gives the same.
     """
+    if keep < 2:
+        raise ValueError("a replay needs the version before the last")
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         newest = latest_per_key(batch.filter(all_not_null(keys)), keys, by).persist()
-        before = tables.current(batch.sparkSession, base, below=batch_id)
-        tables.publish(newest if before is None else upsert(before, newest, keys, unique=True), base, batch_id)
+        spark = batch.sparkSession
+        if partition:
+            tables.upsert_partitions(spark, base, newest, keys, partition, unique=True)
+        else:
+            before = tables.current(spark, base, below=batch_id)
+            tables.publish(newest if before is None else upsert(before, newest, keys, unique=True), base, batch_id)
+            tables.expire(spark, base, keep)
         newest.unpersist()
 
     query = (

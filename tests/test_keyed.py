@@ -177,3 +177,17 @@ def test_timestamps_keep_their_type(spark):
     source = spark.createDataFrame([(2, "2024-02-02 10:00:00")], "k int, t string")
     out = keyed.upsert(target, source, ["k"])
     assert dict(out.dtypes)["t"] == "timestamp_ntz" and out.filter("k = 2").first()["t"] == datetime(2024, 2, 2, 10)
+
+
+def test_widen_adds_new_columns(spark, target, rows_of):
+    source = spark.createDataFrame([(1, "a", 5, "w", 1.5)], SCHEMA + ", z double")
+    out = keyed.upsert(target, source, ["k"], widen=True)
+    assert rows_of(out, "k", "v", "z") == [(1, 5, 1.5), (2, 20, None), (3, None, None)]
+
+
+def test_expire_keeps_the_newest_versions(spark, folder):
+    for _ in range(4):
+        tables.publish(spark.range(1), f"{folder}/t")
+    assert tables.expire(spark, f"{folder}/t", 2) == [0, 1]
+    assert tables.versions(spark, f"{folder}/t") == [2, 3]
+    assert tables.expire(spark, f"{folder}/t", 0) == [2]

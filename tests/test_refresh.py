@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stratiform.operators import keyed
 from stratiform.plans.refresh import REQUEST_SCHEMA, Lake, in_scope, refresh_all, refresh_entity
-from stratiform.plans.silver import QualityFailure, silver_refresh
+from stratiform.plans.silver import QualityFailure, read_silver, run_silver, silver_refresh
 from stratiform.sources import tables
 from stratiform.spec import Entity, Rule
 
@@ -100,3 +100,17 @@ def test_entity_without_rules_or_watermark_column(spark, rows_of):
     out = silver_refresh(df, plain)
     assert rows_of(out.silver, "id", "v") == [(1, "b"), (2, "c")]
     assert tuple(out.watermark.first()) == (None, 4) and out.quarantine.count() == 0
+
+
+@pytest.mark.parametrize("cut", [{}, {"buckets": 4}, {"partition": "p"}])
+def test_silver_layouts_agree_and_follow_the_columns(spark, folder, rows_of, cut):
+    entity = Entity("things", ("id", "p"), "t", **cut)
+    base, held = f"{folder}/s", f"{folder}/q"
+    one = bronze(spark, (1, 0, 1), (2, 1, 2)).withColumn("p", F.col("id") % 2)
+    assert read_silver(spark, entity, base) is None
+    run_silver(spark, one, entity, base, held)
+    two = bronze(spark, (2, 2, 9), (3, 2, 3)).withColumn("p", F.col("id") % 2).drop("v").withColumn("extra", F.lit("x"))
+    run_silver(spark, two, entity, base, held, last=T0 + timedelta(hours=1))
+    out = read_silver(spark, entity, base)
+    assert rows_of(out, "id", "p", "v", "extra") == [(1, 1, 1, None), (2, 0, 2, "x"), (3, 1, None, "x")]
+    assert "_bucket" not in out.columns

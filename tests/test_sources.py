@@ -204,3 +204,17 @@ def test_only_scratch_is_discarded(spark, folder):
 def test_rebalanced_output_is_one_small_file(spark, folder):
     tables.rebalanced(spark.range(100).repartition(4)).write.parquet(f"{folder}/r")
     assert len(list(Path(f"{folder}/r").glob("*.parquet"))) == 1
+
+
+def test_micro_batches_merge_into_a_partitioned_table(spark, folder, rows_of):
+    def go():
+        stream = ingest.file_stream(spark, f"{folder}/in", SCHEMA, max_files=1)
+        cut = stream.withColumn("b", tables.key_bucket(["id"], 3))
+        upsert_available(cut, f"{folder}/t", f"{folder}/cp", ["id"], ["v"], partition="b")
+        return tables.read_partitioned(spark, f"{folder}/t").select("id", "v")
+
+    drop_file(f"{folder}/in", "1.json", {"id": 1, "v": "a"}, {"id": 2, "v": "x"})
+    drop_file(f"{folder}/in", "2.json", {"id": 3, "v": "c"})
+    assert rows_of(go()) == [(1, "a"), (2, "x"), (3, "c")]
+    drop_file(f"{folder}/in", "3.json", {"id": 2, "v": "y"})
+    assert rows_of(go()) == [(1, "a"), (2, "y"), (3, "c")]
