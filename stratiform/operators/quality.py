@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 from typing import Iterable, Sequence
 
@@ -108,8 +108,35 @@ def apply_rules(
     names = [r.name for r in rules]
     if len(set(names)) != len(names):
         raise ValueError("rule names must be unique")
-    results = with_results(gate(df, rules, keys, as_of), rules, keys, as_of)
-    return Outcome(clean_rows(results), quarantined_rows(results), metrics(df, rules, keys, as_of))
+    rows, rules, helpers = with_helpers(df, rules, keys)
+    results = with_results(gate(rows, rules, keys, as_of), rules, keys, as_of).drop(*helpers)
+    return Outcome(clean_rows(results), quarantined_rows(results), metrics(rows, rules, keys, as_of))
+
+
+def with_helpers(
+    df: DataFrame, rules: Sequence[Rule], keys: Sequence[str] = ()
+) -> tuple[DataFrame, list[Rule], list[str]]:
+    """Add the columns that table-level rules need; returns rows, rules that use them, and their names.
+
+    A ``unique`` rule looks at ``columns``, by default the primary key. An ``exists`` rule names
+    its ``column``, the ``reference`` DataFrame and the ``reference_column``.
+    """
+    prepared, helpers = [], []
+    for number, rule in enumerate(rules):
+        helper = f"_rule_{number}"
+        if rule.check == "unique" and "helper" not in rule.params:
+            df = with_key_count(df, list(rule.params.get("columns") or keys), helper)
+            rule = replace(rule, params={"helper": helper})
+        elif rule.check == "exists" and "reference" in rule.params:
+            p = rule.params
+            df = with_reference(df, p["column"], p["reference"], p["reference_column"], helper)
+            rule = replace(rule, params={"column": p["column"], "helper": helper})
+        else:
+            prepared.append(rule)
+            continue
+        prepared.append(rule)
+        helpers.append(helper)
+    return df, prepared, helpers
 
 
 def with_key_count(df: DataFrame, keys: Sequence[str], out: str = "_key_count") -> DataFrame:

@@ -190,6 +190,28 @@ def dq_apply_rules(spark, d):
     return labelled[0].unionByName(labelled[1]).groupBy("outcome", "l_returnflag").agg(F.count("*").alias("n_rows"))
 
 
+@query(
+    "dq_table_rules",
+    """WITH t AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey + 3 AS ref, l_quantity,
+                  count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS n FROM lineitem)
+       SELECT l_orderkey, l_linenumber, l_partkey, ref, l_quantity,
+              concat_ws(',', CASE WHEN n > 1 THEN 'one_per_key' END, CASE WHEN s_suppkey IS NULL THEN 'supplier_known' END,
+                             CASE WHEN l_quantity > 45 THEN 'bulk_item' END) AS failed_rules
+       FROM t LEFT JOIN supplier ON ref = s_suppkey WHERE n > 1 OR s_suppkey IS NULL OR l_quantity > 45""",
+)
+def dq_table_rules(spark, d):
+    """Uniqueness and reference rules beside a row rule."""
+    items = table(spark, d, "lineitem").selectExpr("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey + 3 AS ref", "l_quantity")
+    known = {"column": "ref", "reference": table(spark, d, "supplier"), "reference_column": "s_suppkey"}
+    rules = [
+        Rule("one_per_key", check="unique", action="quarantine"),
+        Rule("supplier_known", check="exists", action="quarantine", params=known),
+        Rule("bulk_item", "l_quantity <= 45", action="quarantine"),
+    ]
+    outcome = quality.apply_rules(items, rules, ["l_orderkey", "l_linenumber"])
+    return outcome.quarantine.withColumn("failed_rules", F.array_join("failed_rules", ","))
+
+
 @query(
     "volume_floor_checks",
     """SELECT * FROM (SELECT 'customer' AS table_name, count(*) AS n_rows, CAST(100 AS BIGINT) AS min_rows, count(*) >= 100 AS is_ok FROM customer

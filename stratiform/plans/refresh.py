@@ -60,11 +60,16 @@ def _stored(spark: SparkSession, base: str, schema: str) -> DataFrame:
     return spark.createDataFrame([], schema) if known is None else known
 
 
+def _store(df: DataFrame, base: str) -> None:
+    tables.publish(df, base)
+    tables.expire(df.sparkSession, base, keep=10)
+
+
 def _move(spark: SparkSession, lake: Lake, request_id: str, status: str, run_id: str, now: Column) -> None:
     change = spark.createDataFrame(
         [(request_id, status, run_id, None)], "request_id string, to_status string, run_id string, summary string"
     )
-    tables.publish(control.transition(_stored(spark, lake.requests, REQUEST_SCHEMA), change, now), lake.requests)
+    _store(control.transition(_stored(spark, lake.requests, REQUEST_SCHEMA), change, now), lake.requests)
 
 
 def refresh_entity(
@@ -92,7 +97,7 @@ def refresh_entity(
         if found["status"] == "approved":
             _move(spark, lake, request.request_id, "executing", run_id, now)
         asked = live.filter(F.col("entity_key") == entity.key).select("entity_key", "request_id", "from_watermark")
-        tables.publish(control.rewind(_stored(spark, lake.state, STATE_SCHEMA), asked, now), lake.state)
+        _store(control.rewind(_stored(spark, lake.state, STATE_SCHEMA), asked, now), lake.state)
 
     state = control.watermarks(
         _stored(spark, lake.state, STATE_SCHEMA), spark.createDataFrame([(entity.key,)], "entity_key string")
@@ -107,14 +112,14 @@ def refresh_entity(
         if request:
             _move(spark, lake, request.request_id, "failed", run_id, now)
             kept = control.clear_flags(_stored(spark, lake.state, STATE_SCHEMA), [entity.key], now)
-            tables.publish(kept, lake.state)
+            _store(kept, lake.state)
         raise
 
     result = spark.createDataFrame(
         [(entity.key, report["watermark"], report["counts"]["n_read"])],
         "entity_key string, current_watermark timestamp_ntz, last_row_count bigint",
     )
-    tables.publish(control.advance(_stored(spark, lake.state, STATE_SCHEMA), result, run_id, now), lake.state)
+    _store(control.advance(_stored(spark, lake.state, STATE_SCHEMA), result, run_id, now), lake.state)
     if request:
         _move(spark, lake, request.request_id, "completed", run_id, now)
     return report

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import Any, Mapping
+from typing import Any, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ from stratiform.operators.dedupe import latest_per_key
 from stratiform.operators.keyed import upsert
 from stratiform.session import discard, materialize, scratch_dir
 from stratiform.sources import tables
-from stratiform.spec import Entity, Request
+from stratiform.spec import Entity, Request, Rule
 
 
 @dataclass(frozen=True)
@@ -42,10 +42,15 @@ def refined(piece: DataFrame, entity: Entity) -> DataFrame:
 
 
 def _evaluated(
-    rows: DataFrame, entity: Entity, keys: Mapping[str, str] | None, as_of: Column | None
+    rows: DataFrame,
+    entity: Entity,
+    rules: Sequence[Rule],
+    helpers: Sequence[str],
+    keys: Mapping[str, str] | None,
+    as_of: Column | None,
 ) -> DataFrame:
     """Rows with their rule results. Rules see clear values; everything kept is protected."""
-    results = quality.with_results(rows, entity.rules, entity.primary_key, as_of)
+    results = quality.with_results(rows, rules, entity.primary_key, as_of).drop(*helpers)
     return lineage.stamp(protect(results, entity.policies, "silver", keys), lineage.SILVER_TS, as_of)
 
 
@@ -66,8 +71,9 @@ def silver_refresh(
     """
     keys = list(entity.primary_key)
     piece = slices.for_run(bronze, entity.watermark_column, last, request, key_set, keys)
-    rows = refined(piece, entity)
-    results = _evaluated(quality.gate(rows, entity.rules, keys, as_of), entity, encryption_keys, as_of)
+    rows, rules, helpers = quality.with_helpers(refined(piece, entity), entity.rules, keys)
+    passed = quality.gate(rows, rules, keys, as_of)
+    results = _evaluated(passed, entity, rules, helpers, encryption_keys, as_of)
     if stage:
         results = materialize(results, "silver-stage")
     changed = quality.clean_rows(results)
@@ -76,7 +82,7 @@ def silver_refresh(
         silver=changed if silver is None else upsert(silver, changed, keys, unique=True, widen=True),
         changed=changed,
         quarantine=quality.quarantined_rows(results),
-        metrics=quality.metrics(rows, entity.rules, keys, as_of),
+        metrics=quality.metrics(rows, rules, keys, as_of),
         watermark=piece.agg(mark.alias("current_watermark"), F.count("*").alias("last_row_count")),
     )
 
@@ -118,7 +124,7 @@ def run_silver(
 ) -> dict[str, Any]:
     """Run a refresh as a job: stage the evaluated rows once, gate, publish, report.
 
-    Violations are counted in the tasks that write the staged table, so the slice is evaluated
+    Quarantine gets one version per run. Violations are counted in the tasks that write the staged table, so the slice is evaluated
     once and every later step starts from files that survive lost executors. What was read is
     counted by a scan of key and watermark columns: counters ahead of a shuffle could count a
     recomputed task twice. The returned counts add up: rows read = key missing + duplicates +
@@ -132,11 +138,12 @@ def run_silver(
         F.count_if(~all_not_null(keys)).alias("n_key_missing"),
         (F.max(entity.watermark_column) if has_mark else F.max(F.lit(None).cast("string"))).alias("mark"),
     ).first()
-    rows, violations = quality.observe(refined(piece, entity), entity.rules, keys, as_of)
+    prepared, rules, helpers = quality.with_helpers(refined(piece, entity), entity.rules, keys)
+    rows, violations = quality.observe(prepared, rules, keys, as_of)
     outcomes = Observation()
     clean, dropped = F.size(quality.FAILED) == 0, F.col(quality.DROPPED)
     stage = scratch_dir(spark, "silver-stage")
-    _evaluated(rows, entity, encryption_keys, as_of).observe(
+    _evaluated(rows, entity, rules, helpers, encryption_keys, as_of).observe(
         outcomes,
         F.count_if(clean).alias("n_published"),
         F.count_if(dropped).alias("n_dropped"),

@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Reader options per landing format. Seed files carry '#' comment lines.
+# Reader options per landing format.
 FORMAT_OPTIONS: dict[str, dict[str, str]] = {
     "json": {},
-    "csv": {"header": "true", "comment": "#"},
+    "csv": {"header": "true"},
     "parquet": {},
     "text": {},
 }

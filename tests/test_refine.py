@@ -395,3 +395,28 @@ def test_empty_slice_keeps_silver(spark, folder):
     run = run_silver(spark, rows, ENTITY, base, held, last=at(0), encryption_keys={"k": KEY})
     assert run["counts"]["n_read"] == 0 and run["watermark"] is None
     assert tables.current(spark, base).count() == 1
+
+
+def test_table_level_rules_in_one_evaluation(spark, rows_of):
+    df = spark.createDataFrame([(1, 10), (1, 99), (2, 10), (3, None)], "id int, ref int")
+    reference = spark.createDataFrame([(10,), (10,)], "key int")
+    rules = [
+        Rule("one", check="unique", action="quarantine"),
+        Rule("known", check="exists", action="warn", params={"column": "ref", "reference": reference, "reference_column": "key"}),
+        Rule("pair", check="unique", action="drop", params={"columns": ["id", "ref"]}),
+    ]
+    out = quality.apply_rules(df, rules, ["id"])
+    assert rows_of(out.clean) == [(2, 10), (3, None)] and out.clean.columns == ["id", "ref"]
+    assert rows_of(out.quarantine, "id", "ref") == [(1, 10), (1, 99)]
+    assert rows_of(out.metrics, "rule_name", "n_failed") == [("known", 1), ("one", 2), ("pair", 0)]
+
+
+def test_reference_rule_in_the_silver_job(spark, folder):
+    reference = spark.createDataFrame([("A",)], "code string")
+    known = Rule("known", check="exists", action="quarantine", params={"column": "status", "reference": reference, "reference_column": "code"})
+    entity = Entity("staff", ("id",), "t", rules=(known,), policies=(Policy("status", "mask"),))
+    rows = bronze(spark, (1, at(0), 5, "A", "ann"), (2, at(0), 5, "B", "bob"))
+    counts = run_silver(spark, rows, entity, f"{folder}/s", f"{folder}/q")["counts"]
+    assert (counts["n_published"], counts["n_quarantined"]) == (1, 1)
+    assert tables.current(spark, f"{folder}/q").first()["failed_rules"] == ["known"]
+    assert not [c for c in tables.current(spark, f"{folder}/s").columns if c.startswith("_rule")]

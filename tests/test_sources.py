@@ -85,7 +85,7 @@ def test_archive_moves_files_of_earlier_runs(spark, folder):
 
 def test_csv_with_header_and_comments(spark, folder, rows_of):
     drop_file(folder, "d.csv", "id,name,since", "1,ann,2024-01-02", "2,bob,", "# note")
-    df = landing.scan(spark, folder, "csv")
+    df = landing.scan(spark, folder, "csv", extra={"comment": "#"})
     assert dict(df.dtypes) == {"id": "int", "name": "string", "since": "date"}
     assert rows_of(df, "id", "name") == [(1, "ann"), (2, "bob")]
 
