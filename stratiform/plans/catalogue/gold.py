@@ -11,8 +11,6 @@ from stratiform.plans.catalogue.registry import AS_OF, as_of, query, table
 from stratiform.session import materialize
 from stratiform.spec import Policy, Rule
 
-_SEP = "chr(1)"
-
 
 @query(
     "agg_daily_counts",
@@ -124,20 +122,17 @@ def fact_with_junk_key(spark, d):
     return facts.with_junk_key(flagged, dim, _FLAGS).select("o_orderkey", "o_custkey", "o_totalprice", "junk_key")
 
 
-def _hash_sql(*columns: str) -> str:
-    return f"sha256(concat_ws({_SEP}, {', '.join(f'coalesce({c}, chr(0))' for c in columns)}))"
-
-
-def _scd2_sql(where: str = "true") -> str:
-    return f"""SELECT o_custkey, o_orderpriority, effective_from,
+def _scd2_sql(where: str = "true", key: str = "o_custkey", source: str = "orders", tracked: str = "o_orderpriority") -> str:
+    text = " || chr(1) || ".join(tracked.split(", "))
+    return f"""SELECT {key}, {tracked}, effective_from,
         CAST(lead(effective_from) OVER w - 1 AS DATE) AS effective_to, lead(effective_from) OVER w IS NULL AS is_current,
         CAST(row_number() OVER w AS INTEGER) AS version, change_hash
-      FROM (SELECT *, lag(change_hash) OVER (PARTITION BY o_custkey ORDER BY effective_from) AS before FROM (
-        SELECT o_custkey, o_orderpriority, CAST(o_orderdate AS DATE) AS effective_from, sha256(o_orderpriority) AS change_hash
-        FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, CAST(o_orderdate AS DATE)
-              ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders WHERE {where}) WHERE rn = 1))
+      FROM (SELECT *, lag(change_hash) OVER (PARTITION BY {key} ORDER BY effective_from) AS before FROM (
+        SELECT {key}, {tracked}, CAST(o_orderdate AS DATE) AS effective_from, sha256({text}) AS change_hash
+        FROM (SELECT *, row_number() OVER (PARTITION BY {key}, CAST(o_orderdate AS DATE)
+              ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM {source} WHERE {where}) WHERE rn = 1))
       WHERE before IS DISTINCT FROM change_hash
-      WINDOW w AS (PARTITION BY o_custkey ORDER BY effective_from)"""
+      WINDOW w AS (PARTITION BY {key} ORDER BY effective_from)"""
 
 
 def _priorities(orders):
@@ -150,6 +145,13 @@ def scd2_build(spark, d):
     return _priorities(table(spark, d, "orders"))
 
 
+@query("scd2_build_two_columns", _scd2_sql(tracked="o_orderstatus, o_orderpriority"))
+def scd2_build_two_columns(spark, d):
+    """A version opens when either tracked column changes."""
+    tracked = ["o_orderstatus", "o_orderpriority"]
+    return dimensions.scd2_build(table(spark, d, "orders"), "o_custkey", tracked, "o_orderdate", ["o_orderkey"])
+
+
 @query(
     "dim_scd2",
     f"""SELECT o_custkey AS customer_key, o_orderpriority AS priority, effective_from, effective_to, is_current, version,
@@ -316,6 +318,25 @@ def fact_periodic_snapshot_dim(spark, d):
     return _snapshot(spark, d).join(nation, "c_nationkey", "left")
 
 
+_BY_NATION = "(SELECT * FROM orders JOIN customer ON o_custkey = c_custkey)"
+
+
+@query(
+    "fact_periodic_snapshot_scd2",
+    f"""SELECT f.*, v.version, v.o_orderpriority AS last_priority FROM ({_SNAPSHOT}) f
+        LEFT JOIN ({_scd2_sql(key="c_nationkey", source=_BY_NATION)}) v ON f.c_nationkey = v.c_nationkey
+        AND f.snapshot_month >= v.effective_from AND (v.effective_to IS NULL OR f.snapshot_month <= v.effective_to)""",
+)
+def fact_periodic_snapshot_scd2(spark, d):
+    """The snapshot with the version of its nation valid on the first of the month."""
+    members = table(spark, d, "customer").select("c_custkey", "c_nationkey")
+    history = table(spark, d, "orders").join(members, F.col("o_custkey") == F.col("c_custkey"))
+    dim = dimensions.scd2_build(history, "c_nationkey", ["o_orderpriority"], "o_orderdate", ["o_orderkey"])
+    named = dim.withColumnRenamed("o_orderpriority", "last_priority")
+    carried = ["version", "last_priority"]
+    return dimensions.point_in_time(_snapshot(spark, d), named, "c_nationkey", "snapshot_month", "c_nationkey", carried)
+
+
 _LIFE = """SELECT event_id, user_id, event_type, ts AS entered_ts,
       lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS exited_ts FROM events"""
 _LIFECYCLE = f"""SELECT *, CAST(date_diff('day', entered_ts, exited_ts) AS INTEGER) AS duration_days,

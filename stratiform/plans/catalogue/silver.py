@@ -150,12 +150,12 @@ _PART_CONTRACT = Contract(
         Column_("p_name", T.StringType(), False),
         Column_("p_type", T.StringType(), True, False, ("ECONOMY", "SMALL", "STANDARD")),
         Column_("p_size", T.LongType()),
-        Column_("p_weight", T.DecimalType(18, 2)),
+        Column_("p_weight", T.DoubleType()),
     ),
 )
 
 
-@query("contract_conform", "SELECT *, CAST(NULL AS DECIMAL(18,2)) AS p_weight FROM part")
+@query("contract_conform", "SELECT *, CAST(NULL AS DOUBLE) AS p_weight FROM part")
 def contract_conform(spark, d):
     return contract.conform(table(spark, d, "part"), _PART_CONTRACT)
 

@@ -9,7 +9,8 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 
 # All of these can be changed at run time, so they work on a session someone else built.
-# The skew settings let AQE split a hot join partition even when that costs a shuffle later.
+# The skew settings let AQE split a hot join partition even when that costs a shuffle later,
+# and streaming state lives in RocksDB, off the executors' heap.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -18,6 +19,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 

@@ -12,7 +12,7 @@ from stratiform.functions import checks, lineage, protect, values
 from stratiform.operators import contract, dedupe, quality, slices
 from stratiform.plans.silver import QualityFailure, run_silver, silver_refresh
 from stratiform.sources import tables
-from stratiform.spec import Column_, Contract, Entity, Policy, Request, Rule
+from stratiform.spec import Contract, Entity, Policy, Request, Rule
 
 NOON = datetime(2024, 1, 1, 12)
 
