@@ -67,7 +67,7 @@ def calendar_gap_check(spark, d):
 
 @query(
     "calendar_gap_check_whole",
-    """WITH days AS (SELECT DISTINCT CAST(ts AS DATE) AS full_date FROM events WHERE event_type <> 'error' OR value > 40
+    """WITH days AS (SELECT DISTINCT CAST(ts AS DATE) AS full_date FROM events
                      UNION SELECT DISTINCT CAST(o_orderdate AS DATE) FROM orders),
             l AS (SELECT *, lag(full_date) OVER (ORDER BY full_date) AS previous_date FROM days)
        SELECT previous_date, full_date, CAST(full_date - previous_date - 1 AS INTEGER) AS missing_days
@@ -75,7 +75,7 @@ def calendar_gap_check(spark, d):
 )
 def calendar_gap_check_whole(spark, d):
     """One calendar from the days of orders and events; the years between them are missing."""
-    days = table(spark, d, "events").filter("event_type <> 'error' OR value > 40").select(F.to_date("ts").alias("full_date"))
+    days = table(spark, d, "events").select(F.to_date("ts").alias("full_date"))
     ordered = table(spark, d, "orders").select(F.to_date("o_orderdate").alias("full_date"))
     return dimensions.calendar_gaps(days.unionByName(ordered))
 

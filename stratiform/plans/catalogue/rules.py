@@ -18,11 +18,11 @@ def _now():
 
 @query(
     "rule_not_null",
-    "SELECT event_id, nullif(user_id % 7, 0) AS u FROM events WHERE nullif(user_id % 7, 0) IS NOT NULL",
+    "SELECT event_id, user_id AS u FROM events WHERE event_type <> 'error' AND user_id IS NOT NULL",
 )
 def rule_not_null(spark, d):
     """NULLs are put in, the tables have none."""
-    return table(spark, d, "events").selectExpr("event_id", "nullif(user_id % 7, 0) AS u").filter(checks.not_null("u"))
+    return table(spark, d, "events").selectExpr("event_id", "if(event_type = 'error', NULL, user_id) AS u").filter(checks.not_null("u"))
 
 
 @query(

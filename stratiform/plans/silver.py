@@ -13,7 +13,7 @@ from stratiform.functions.checks import all_not_null
 from stratiform.functions.protect import protect
 from stratiform.operators import contract, quality, slices
 from stratiform.operators.dedupe import latest_per_key
-from stratiform.operators.keyed import upsert
+from stratiform.operators.keyed import not_older, upsert
 from stratiform.session import discard, materialize, scratch_dir
 from stratiform.sources import tables
 from stratiform.spec import Entity, Request, Rule
@@ -76,7 +76,7 @@ def silver_refresh(
     results = _evaluated(passed, entity, rules, helpers, encryption_keys, as_of)
     if stage:
         results = materialize(results, "silver-stage")
-    changed = quality.clean_rows(results)
+    changed = _current_only(quality.clean_rows(results), silver, entity, request)
     mark = F.max(entity.watermark_column) if entity.watermark_column in piece.columns else F.lit(None).cast("string")
     return Refresh(
         silver=changed if silver is None else upsert(silver, changed, keys, unique=True, widen=True),
@@ -91,6 +91,16 @@ class QualityFailure(RuntimeError):
     """A rule with action ``fail`` found violations; nothing was published."""
 
 
+def _current_only(
+    changed: DataFrame, silver: DataFrame | None, entity: Entity, request: Request | None
+) -> DataFrame:
+    """A reprocessed window may hold rows older than what silver has for the key; those stay out."""
+    mark = entity.watermark_column
+    if silver is None or request is None or request.mode != "window" or mark not in silver.columns:
+        return changed
+    return not_older(changed, silver, entity.primary_key, mark)
+
+
 def _merge(spark: SparkSession, changed: DataFrame, entity: Entity, base: str) -> None:
     """Merge into silver; columns that are new stay, columns that vanished keep their values."""
     keys = list(entity.primary_key)
@@ -128,7 +138,7 @@ def run_silver(
     once and every later step starts from files that survive lost executors. What was read is
     counted by a scan of key and watermark columns: counters ahead of a shuffle could count a
     recomputed task twice. The returned counts add up: rows read = key missing + duplicates +
-    quarantined + dropped + published.
+    quarantined + dropped + clean.
     """
     keys = list(entity.primary_key)
     piece = slices.for_run(bronze, entity.watermark_column, last, request, key_set, keys)
@@ -145,7 +155,7 @@ def run_silver(
     stage = scratch_dir(spark, "silver-stage")
     _evaluated(rows, entity, rules, helpers, encryption_keys, as_of).observe(
         outcomes,
-        F.count_if(clean).alias("n_published"),
+        F.count_if(clean).alias("n_clean"),
         F.count_if(dropped).alias("n_dropped"),
         F.count_if(~clean & ~dropped).alias("n_quarantined"),
     ).write.parquet(stage)
@@ -156,11 +166,12 @@ def run_silver(
         raise QualityFailure(f"{entity.key}: {blocked}")
 
     staged = spark.read.parquet(stage)
-    _merge(spark, quality.clean_rows(staged), entity, base)
+    changed = _current_only(quality.clean_rows(staged), read_silver(spark, entity, base), entity, request)
+    _merge(spark, changed, entity, base)
     tables.publish(quality.quarantined_rows(staged), quarantine_base)
     discard(spark, stage)
     counts = {**read.asDict(), **outcomes.get}
     counts["n_duplicates"] = counts["n_read"] - counts["n_key_missing"] - sum(
-        counts[k] for k in ("n_published", "n_dropped", "n_quarantined")
+        counts[k] for k in ("n_clean", "n_dropped", "n_quarantined")
     )
     return {"counts": counts, "violations": failed, "watermark": counts.pop("mark")}

@@ -1,8 +1,10 @@
 """Plans of all queries as they would be at scale: no joins without an equi key, no Python in the rows."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
+from stratiform.operators import quality
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroups")
 # Windows without a partition run over rows whose number is bounded: months, days, flag combinations.
@@ -38,3 +40,29 @@ def test_filters_and_columns_reach_the_scan(plans):
     assert pushed in plans["incremental_filter"]
     assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string>" in plans["agg_daily_counts"]
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int>" in plans["duplicate_key_check"]
+
+
+def test_hot_join_keys_are_split(spark):
+    """A third of the rows on one key: AQE cuts that partition of the join instead of one task taking it."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        ids = spark.range(0, 600_000, 1, 8)
+        facts = ids.select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+        checked = quality.with_reference(facts, "k", ids.select("id"), "id")
+        assert checked.filter("_reference_found").count() == 600_000
+        counted = checked.agg(F.count("v"), F.count_if("_reference_found"))
+        counted.collect()
+        assert "skew=true" in counted._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -366,7 +366,7 @@ def test_job_publishes_upserts_and_accounts_for_every_row(spark, folder):
     )
     run = run_silver(spark, first, ENTITY, base, held, encryption_keys={"k": KEY})
     counts = run["counts"]
-    assert counts == {"n_read": 6, "n_key_missing": 1, "n_published": 2, "n_dropped": 1, "n_quarantined": 1, "n_duplicates": 1}
+    assert counts == {"n_read": 6, "n_key_missing": 1, "n_clean": 2, "n_dropped": 1, "n_quarantined": 1, "n_duplicates": 1}
     assert run["watermark"] == at(2) and run["violations"] == {"paid": 1, "known": 1, "named": 0}
     again = bronze(spark, (4, at(1), 9, "A", "late"), (4, at(3), 8, "A", "dan"), (5, at(4), 1, "A", "flo"))
     second = run_silver(spark, again, ENTITY, base, held, last=run["watermark"], encryption_keys={"k": KEY})
@@ -417,6 +417,6 @@ def test_reference_rule_in_the_silver_job(spark, folder):
     entity = Entity("staff", ("id",), "t", rules=(known,), policies=(Policy("status", "mask"),))
     rows = bronze(spark, (1, at(0), 5, "A", "ann"), (2, at(0), 5, "B", "bob"))
     counts = run_silver(spark, rows, entity, f"{folder}/s", f"{folder}/q")["counts"]
-    assert (counts["n_published"], counts["n_quarantined"]) == (1, 1)
+    assert (counts["n_clean"], counts["n_quarantined"]) == (1, 1)
     assert tables.current(spark, f"{folder}/q").first()["failed_rules"] == ["known"]
     assert not [c for c in tables.current(spark, f"{folder}/s").columns if c.startswith("_rule")]

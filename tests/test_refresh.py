@@ -9,7 +9,7 @@ from stratiform.operators import keyed
 from stratiform.plans.refresh import REQUEST_SCHEMA, Lake, in_scope, refresh_all, refresh_entity
 from stratiform.plans.silver import QualityFailure, read_silver, run_silver, silver_refresh
 from stratiform.sources import tables
-from stratiform.spec import Entity, Rule
+from stratiform.spec import Entity, Request, Rule
 
 T0 = datetime(2024, 1, 1)
 ENTITY = Entity("things", ("id",), "t", rules=(Rule("small", "v < 100", action="fail"),))
@@ -38,7 +38,7 @@ def state(spark, lake):
 
 def test_incremental_runs_move_the_watermark(spark, folder):
     lake = Lake(folder)
-    assert refresh_entity(spark, lake, ENTITY, bronze(spark, (1, 0, 1), (2, 1, 2)), "r1")["counts"]["n_published"] == 2
+    assert refresh_entity(spark, lake, ENTITY, bronze(spark, (1, 0, 1), (2, 1, 2)), "r1")["counts"]["n_clean"] == 2
     report = refresh_entity(spark, lake, ENTITY, bronze(spark, (1, 0, 9), (2, 1, 9), (3, 2, 3)), "r2")
     assert report["counts"]["n_read"] == 1
     assert silver(spark, lake) == [(1, 1), (2, 2), (3, 3)]
@@ -80,7 +80,7 @@ def test_failed_reprocess_is_marked_and_can_run_again(spark, folder):
         refresh_entity(spark, lake, ENTITY, rows.withColumn("v", F.lit(500)), "r2")
     assert tables.current(spark, lake.requests).first()["status"] == "failed"
     assert state(spark, lake)["is_reprocessing"] is False and silver(spark, lake) == [(1, 1)]
-    assert refresh_entity(spark, lake, ENTITY, rows, "r3")["counts"]["n_published"] == 1
+    assert refresh_entity(spark, lake, ENTITY, rows, "r3")["counts"]["n_clean"] == 1
 
 
 def test_scope_and_unique_declaration(spark, folder):
@@ -114,3 +114,16 @@ def test_silver_layouts_agree_and_follow_the_columns(spark, folder, rows_of, cut
     out = read_silver(spark, entity, base)
     assert rows_of(out, "id", "p", "v", "extra") == [(1, 1, 1, None), (2, 0, 2, "x"), (3, 1, None, "x")]
     assert "_bucket" not in out.columns
+
+
+@pytest.mark.parametrize("cut", [{}, {"buckets": 4}])
+def test_reprocessed_window_does_not_undo_newer_rows(spark, folder, rows_of, cut):
+    entity = Entity("things", ("id",), "t", **cut)
+    base, held = f"{folder}/s", f"{folder}/q"
+    rows = bronze(spark, (1, 0, 1), (1, 5, 2), (2, 1, 3), (3, 1, 4))
+    run_silver(spark, rows, entity, base, held)
+    fixed = rows.withColumn("v", F.col("v") + 10)
+    run_silver(spark, fixed, entity, base, held, request=Request("q", "window", None, T0 + timedelta(hours=1)))
+    assert rows_of(read_silver(spark, entity, base), "id", "v") == [(1, 2), (2, 13), (3, 14)]
+    lazily = silver_refresh(fixed, entity, read_silver(spark, entity, base), request=Request("q", "window", None, T0 + timedelta(hours=5)))
+    assert rows_of(lazily.silver, "id", "v") == [(1, 12), (2, 13), (3, 14)]
