@@ -25,13 +25,18 @@ def file_stream(
     max_files: int | None = None,
     archive: str | None = None,
     extra: Mapping[str, str] | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
-    """Each landed file once. ``max_files`` caps a micro-batch, so a long backlog runs in steps.
+    """Each landed file once. ``max_files`` or ``max_bytes`` cap a micro-batch, so a long backlog runs in steps.
 
     ``archive`` moves files of committed batches out of the landing folder on later runs; it
     must lie outside of it. A folder per run date gives a dated archive.
     """
     reader = spark.readStream.format(fmt).schema(schema).options(**options(fmt, extra))
+    if max_files and max_bytes:
+        raise ValueError("cap micro-batches by files or by bytes, not both")
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
     if archive:
@@ -72,6 +77,7 @@ def ingest(
     extra: Mapping[str, str] | None = None,
     rescue: bool = False,
     partition_by: tuple[str, ...] = (),
+    max_bytes: int | None = None,
 ) -> StreamingQuery:
     """One triggered run: new files, lineage columns, append.
 
@@ -82,7 +88,7 @@ def ingest(
         raise ValueError("only JSON lines can be rescued")
     line = T.StructType([T.StructField("value", T.StringType())])
     stream = file_stream(
-        spark, landing, line if rescue else schema, "text" if rescue else fmt, max_files, archive, extra
+        spark, landing, line if rescue else schema, "text" if rescue else fmt, max_files, archive, extra, max_bytes
     )
     rows = lineage.from_files(stream, source, entity, run_id=run_id, as_of=as_of)
     if rescue:

@@ -44,6 +44,11 @@ def test_capped_batches_read_everything(spark, folder):
     for i in range(4):
         drop_file(f"{folder}/in", f"{i}.json", {"id": i})
     assert run(spark, folder, max_files=1).count() == 4
+    for i in range(4, 7):
+        drop_file(f"{folder}/in", f"{i}.json", {"id": i})
+    assert run(spark, folder, max_bytes=10).count() == 7
+    with pytest.raises(ValueError, match="not both"):
+        run(spark, folder, max_files=1, max_bytes=10)
 
 
 def test_malformed_line_becomes_nulls_and_does_not_stop_the_stream(spark, folder, rows_of):
