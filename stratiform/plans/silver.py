@@ -14,7 +14,7 @@ from stratiform.functions.protect import protect
 from stratiform.operators import contract, quality, slices
 from stratiform.operators.dedupe import latest_per_key
 from stratiform.operators.keyed import not_older, upsert
-from stratiform.session import discard, materialize, scratch_dir
+from stratiform.session import discard, materialize, scanned_bytes, scratch_dir, size_shuffles
 from stratiform.sources import tables
 from stratiform.spec import Entity, Request, Rule
 
@@ -142,6 +142,7 @@ def run_silver(
     """
     keys = list(entity.primary_key)
     piece = slices.for_run(bronze, entity.watermark_column, last, request, key_set, keys)
+    size_shuffles(spark, scanned_bytes(piece))
     has_mark = entity.watermark_column in piece.columns
     read = piece.agg(
         F.count("*").alias("n_read"),

@@ -46,6 +46,10 @@ def tune(spark: SparkSession) -> SparkSession:
 BYTES_PER_SHUFFLE_PARTITION = 512 * 1024 * 1024
 
 
+# Catalyst gives inputs of unknown size the largest number it has.
+_UNKNOWN_SIZE = 1 << 60
+
+
 def file_system(spark: SparkSession, path: str):
     """The Hadoop file system of a path, and the path as it knows it."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -58,6 +62,13 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(root).getLength())
 
 
+def scanned_bytes(df: DataFrame) -> int:
+    """Bytes of the files a DataFrame scans, as far as Catalyst knows them."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    return sum(s for s in sizes if s < _UNKNOWN_SIZE)
+
+
 def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     """Raise ``spark.sql.shuffle.partitions`` so that partitions of a large input fit in memory.
 

@@ -223,3 +223,12 @@ def test_micro_batches_merge_into_a_partitioned_table(spark, folder, rows_of):
     assert rows_of(go()) == [(1, "a"), (2, "x"), (3, "c")]
     drop_file(f"{folder}/in", "3.json", {"id": 2, "v": "y"})
     assert rows_of(go()) == [(1, "a"), (2, "y"), (3, "c")]
+
+
+def test_scanned_bytes_are_those_of_the_files(spark, folder):
+    spark.range(1000).write.parquet(f"{folder}/a")
+    read = spark.read.parquet(f"{folder}/a")
+    size = session.scanned_bytes(read.filter("id > 5"))
+    assert 0 < size <= session.stored_bytes(spark, f"{folder}/a")
+    assert session.scanned_bytes(read.join(read, "id")) == 2 * session.scanned_bytes(read)
+    assert session.scanned_bytes(spark.createDataFrame([(1,)], "id int")) < 1000
