@@ -6,6 +6,7 @@ import pytest
 from oracle import compare, connect
 
 import __spark_entry__ as entry_module
+from stratiform.plans.catalogue import ORACLES, QUERIES
 from stratiform.session import tune
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -17,14 +18,14 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry_runs(spark):
     assert entry_module.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
-    problems = compare(entry_module.queries()[name](tune(spark), SF_DIR), duck, entry_module.oracle_sql()[name])
+    problems = compare(QUERIES[name](tune(spark), SF_DIR), duck, ORACLES[name])
     assert [p for p in problems if p != "no rows"] == []
