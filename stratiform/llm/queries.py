@@ -5,10 +5,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.llm import exact, mixing, packing
+from stratiform.llm import exact, minhash, mixing, packing
 from stratiform.llm.base import query, table
 
 
+_NEAR_SQL = r"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g
+    FROM texts, unnest(range(1, greatest(len(w) - 3, 1) + 1)) t(i) WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+    FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+linked AS (
+    SELECT x, y FROM shared JOIN sizes sx ON sx.doc_id = x JOIN sizes sy ON sy.doc_id = y WHERE 100 * c >= 80 * (sx.n + sy.n - c)),
+links AS (SELECT x, y FROM linked UNION SELECT y, x FROM linked),
+reached(x, y) AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reached r JOIN links l ON l.x = r.y)
+SELECT d.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, least(d.doc_id, coalesce(min(r.y), d.doc_id)) AS component_id,
+       d.doc_id <= coalesce(min(r.y), d.doc_id) AS kept
+FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN reached r ON r.x = d.doc_id GROUP BY d.doc_id"""
+
+
+@query("op2_bayes_minhash", "documents", sql=_NEAR_SQL)
+def bayes_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the component of its near-duplicates, on shingles of four words."""
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4)
+    kept = F.col("key").eqNullSafe(F.col("component_id"))
+    return found.select(F.col("key").alias("doc_id"), "n_shingles", "component_id", kept.alias("kept"))
+
+
 @query("op3_best_two_fit_packing", "documents")
 def best_two_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document cut into pieces and packed into sequences of 2048 tokens."""
