@@ -66,7 +66,8 @@ class DigestIndex:
         The anti-join drops what is known, so appending a batch again changes nothing.
         """
         order = F.struct(F.col("key").isNull().alias("last"), "key", "place", "batch")
-        first = staged.groupBy("digest").agg(F.min(order).alias("first"))
+        # written, since Catalyst would otherwise move the anti-join below the grouping, to all copies
+        first = stored(staged.groupBy("digest").agg(F.min(order).alias("first")), "digest-firsts")
         fresh = first.join(self.read().hint("merge"), "digest", "left_anti")
         (
             fresh.select("digest", "first.batch", F.col("first.place").alias("keep_place"), F.col("first.key").alias("keep_key"))
