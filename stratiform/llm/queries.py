@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.llm import exact, minhash, mixing, packing
+from stratiform.llm import exact, minhash, mixing, packing, substrings
 from stratiform.llm.base import query, table
 
 
@@ -66,6 +66,25 @@ def digest_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_REPEATS_SQL = r"""
+WITH texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS g FROM texts, unnest(range(1, len(w) - 33)) t(i)),
+again AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY g) > 1),
+covered AS (SELECT DISTINCT doc_id, i + k AS p FROM again, range(0, 35) r(k)),
+words AS (SELECT doc_id, p, w[p] AS word FROM texts, unnest(range(1, len(w) + 1)) t(p)),
+kept AS (SELECT words.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY words.p) AS s
+         FROM words LEFT JOIN covered ON covered.doc_id = words.doc_id AND covered.p = words.p WHERE covered.p IS NULL GROUP BY words.doc_id)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(s, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (doc_id)"""
+
+
+@query("op8_super_kmer_dedup", "documents", sql=_REPEATS_SQL)
+def super_kmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of windows of 35 words that occur again."""
+    found = substrings.cleaned(table(spark, sf_dir, "documents").select("doc_id", "text"), window=35)
+    return found.select("row.doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 _MIX_SQL = f"""
 WITH RECURSIVE rows_ AS (
     SELECT doc_id, coalesce(source, '') AS source, length(coalesce(text, '')) + 1 AS mass,
