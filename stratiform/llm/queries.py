@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.llm import exact, minhash, mixing, packing, substrings
+from stratiform.llm import exact, minhash, mixing, packing, substrings, syncmers
 from stratiform.llm.base import query, table
 
 
@@ -66,6 +66,20 @@ def digest_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op7_closed_syncmers", "documents")
+def closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of the text half replaced by the next one, and how alike they are."""
+    found = syncmers.with_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    edited = found.withColumn("edited", syncmers.half_edited(F.col("text"), F.col("next_text")))
+    marked = edited.withColumn("edited_marks", syncmers.anchors(F.col("edited")))
+    return marked.select(
+        "row.doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        syncmers.written(F.col("marks")).alias("fingerprint"), syncmers.written(F.col("edited_marks")).alias("edited_fingerprint"),
+        syncmers.likeness(F.col("marks"), F.col("edited_marks")).alias("near_edited"),
+        syncmers.likeness(F.col("marks"), F.col("next_marks")).alias("near_next"),
+    )
+
+
 _REPEATS_SQL = r"""
 WITH texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 windows AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS g FROM texts, unnest(range(1, len(w) - 33)) t(i)),

@@ -199,7 +199,8 @@ def without_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, m
 
 
 def cleaned(docs: DataFrame, text: str = "text", window: int = WINDOW, minimiser: int = MINIMISER) -> DataFrame:
-    """All rows of ``docs`` as ``row`` with what ``without_repeats`` found for their texts."""
+    """All rows of ``docs`` as ``row`` (without the text) with what ``without_repeats`` found for their texts."""
     found = without_repeats(docs, text, window, minimiser)
-    rows = docs.select(F.struct("*").alias("row"), text_key(text).alias("key"))
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != text))
+    rows = docs.select(row.alias("row"), text_key(text).alias("key"))
     return rows.join(found, "key").drop("key")
