@@ -80,9 +80,10 @@ def period_table(share: DataFrame) -> DataFrame:
 
 
 def schedule(
-    docs: DataFrame, targets: DataFrame | None = None, key: str = "doc_id", source: str = "source", text: str = "text", block_chars: int = BLOCK_CHARS
-) -> DataFrame:
-    """All rows as ``row`` (a struct) with ``source_name``, ``block``, ``slot``, ``release``, ``due`` and ``start``.
+    docs: DataFrame, targets: DataFrame | None = None, key: str = "doc_id", source: str = "source", text: str = "text",
+    block_chars: int = BLOCK_CHARS, columns: list[str] | None = None,
+) -> DataFrame:
+    """All rows as ``row`` (a struct of ``columns``, by default all) with ``source_name``, ``block``, ``slot``, ``release``, ``due`` and ``start``.
 
     Sorted by (``slot``, ``start``) the rows are the mixture; ``start`` is the mass of the source
     before a row. Running sums go in two steps, chunks of a source and rows of a chunk, so that no
@@ -92,7 +93,7 @@ def schedule(
     digits = max(1, -(-max(0, (docs.count() // ROWS_A_CHUNK).bit_length()) // 4))
     place = F.md5(filled(F.col(key).cast("string")))
     rows = docs.select(
-        F.struct("*").alias("row"), filled(source).alias("source_name"), place.alias("place"), F.md5(filled(text)).alias("tie"), _mass(text).alias("mass")
+        F.struct(*(f"`{c}`" for c in columns or docs.columns)).alias("row"), filled(source).alias("source_name"), place.alias("place"), F.md5(filled(text)).alias("tie"), _mass(text).alias("mass")
     ).withColumn("chunk", F.substring("place", 1, digits))
     sums = rows.groupBy("source_name", "chunk").agg(F.sum("mass").alias("chunk_mass"))
     before = Window.partitionBy("source_name").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
