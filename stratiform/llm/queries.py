@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.llm import exact, minhash, mixing, packing, substrings, syncmers
+from stratiform.llm import exact, minhash, mixing, packing, substrings, syncmers, tokencount
 from stratiform.llm.base import query, table
 
 
@@ -131,3 +131,10 @@ def pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its block and slot in the mixture of sources, targets by the root of their size."""
     placed = mixing.schedule(table(spark, sf_dir, "documents"), columns=["doc_id"])
     return placed.select("row.doc_id", F.col("source_name").alias("source"), "block", "start", "slot", "release", "due")
+
+
+@query("op10_transducer_token_counts", "documents")
+def transducer_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every text by the compiled transducer."""
+    counted = tokencount.token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return counted.select("row.doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
