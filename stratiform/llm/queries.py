@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.llm import exact, minhash, mixing, packing, substrings, syncmers, tokencount
+from stratiform.llm import exact, minhash, mixing, packing, substrings, syncmers, tokencount, toxicity
 from stratiform.llm.base import query, table
 
 
@@ -66,6 +66,21 @@ def digest_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def learnable(labels: DataFrame) -> DataFrame:
+    """Labels outside the fold that is held out."""
+    return labels.where(F.crc32(F.col("doc_id").cast("string")) % 4 != 2)
+
+
+@query("op5_deobfuscated_toxicity", "documents", "labels")
+def deobfuscated_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every restored text, learned outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, learnable(table(spark, sf_dir, "labels")))
+    found = toxicity.scored(docs, model).select("row.doc_id", "score")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @query("op7_closed_syncmers", "documents")
 def closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and of the text half replaced by the next one, and how alike they are."""
