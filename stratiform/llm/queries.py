@@ -5,10 +5,55 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.llm import exact, minhash, mixing, packing, substrings, syncmers, tokencount, toxicity
+from stratiform.llm import exact, minhash, mixing, packing, substrings, syncmers, tokencount, toxicity, warc
 from stratiform.llm.base import query, table
 
 
+def _replaced(sql: str, pairs: dict[str, str]) -> str:
+    for name, character in pairs.items():
+        sql = f"replace({sql}, '&{name};', '{character.replace(chr(39), chr(39) * 2)}')"
+    return sql
+
+
+def _id_sql(kind: str, parts: str) -> str:
+    h = f"md5('{kind}|' || {parts})"
+    return f"('<urn:uuid:' || {h}[1:8] || '-' || {h}[9:12] || '-' || {h}[13:16] || '-' || {h}[17:20] || '-' || {h}[21:32] || '>')"
+
+
+_SHOWN_SQL = r"regexp_replace(regexp_replace(payload, '{0}', ' ', 'g'), '[\x20\x09-\x0D]+', ' ', 'g')".replace("{0}", warc.HIDDEN)
+_SHOWN_SQL = f"regexp_replace(regexp_replace({_SHOWN_SQL}, '{warc.BLOCK}', chr(10), 'g'), '{warc.TAG}', '', 'g')"
+_RESPONSE_SQL = _id_sql("response", "coalesce(CAST(page_id AS varchar), '') || '|' || coalesce(url, '') || '|' || coalesce(html, '')")
+_WARC_SQL = rf"""
+WITH source AS (SELECT page_id, url, coalesce(html, '') AS payload, {_RESPONSE_SQL} AS refers_to, 'sha256:' || sha256(coalesce(html, '')) AS source_digest FROM pages),
+lines AS (
+    SELECT *, {_replaced(_SHOWN_SQL, {**warc.NAMED, "amp": "&"})} AS t,
+           nullif(regexp_extract(payload, '(?is)<title\b[^>]*>(.*?)</title\s*>', 1), '') AS title,
+           nullif(regexp_extract(payload, '(?is)<html\b[^>]*\blang="?([A-Za-z-]+)', 1), '') AS lang,
+           len(regexp_extract_all(payload, '(?is)<a\b[^>]*\bhref=')) AS links, chr(13) || chr(10) AS n FROM source),
+ids AS (
+    SELECT *, regexp_replace(regexp_replace(regexp_replace(t, ' *\n[ \n]*', chr(10), 'g'), ' +', ' ', 'g'), '^[ \n]+|[ \n]+$', '', 'g') AS plain,
+           {_id_sql("conversion", "refers_to")} AS conversion_id, {_id_sql("metadata", "refers_to")} AS metadata_id FROM lines),
+blocks AS (
+    SELECT *, 'source-header: HTTP/1.1 200 OK' || n || 'source-header: Content-Type: text/html; charset=utf-8' || n || 'source-header: Content-Length: ' || strlen(payload)
+           || n || 'source-payload-digest: ' || source_digest || n || 'source-payload-length: ' || strlen(payload) || n || 'conversion-record-id: ' || conversion_id
+           || coalesce(n || 'title: ' || regexp_replace(title, '[\x20\x09-\x0D]+', ' ', 'g'), '') || coalesce(n || 'language: ' || lang, '') || n || 'outlinks: ' || links || n AS fields FROM ids),
+records AS (
+    SELECT page_id, url, 'conversion' AS kind, conversion_id AS record_id, refers_to, source_digest, plain AS block, 'text/plain; charset=utf-8' AS type, NULL AS beside, n FROM blocks
+    UNION ALL
+    SELECT page_id, url, 'metadata', metadata_id, refers_to, source_digest, fields, 'application/warc-fields', conversion_id, n FROM blocks)
+SELECT page_id, url, kind, record_id, refers_to, source_digest, block, 'sha256:' || sha256(block) AS block_digest,
+       'WARC-Type: ' || kind || n || 'WARC-Record-ID: ' || record_id || coalesce(n || 'WARC-Target-URI: ' || url, '') || n || 'WARC-Refers-To: ' || refers_to
+       || coalesce(n || 'WARC-Concurrent-To: ' || beside, '') || n || 'Content-Type: ' || type || n || 'WARC-Block-Digest: sha256:' || sha256(block) || n || 'Content-Length: ' || strlen(block) AS headers
+FROM records"""
+
+
+@query("op1_warc_derivatives", "pages", sql=_WARC_SQL)
+def warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metadata and conversion records of every page."""
+    found = warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
+    return found.withColumnsRenamed({"source_key": "page_id", "target_uri": "url"})
+
+
 _NEAR_SQL = r"""
 WITH RECURSIVE texts AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
