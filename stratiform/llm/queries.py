@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.llm import exact, minhash, mixing, packing, substrings, syncmers, tokencount, toxicity, warc
+from stratiform.llm import exact, minhash, mixing, order, packing, substrings, syncmers, tokencount, toxicity, warc
 from stratiform.llm.base import query, table
+from stratiform.session import scratch_dir
 
 
 def _replaced(sql: str, pairs: dict[str, str]) -> str:
@@ -126,6 +127,12 @@ def deobfuscated_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+@query("op6_training_order", "documents")
+def training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sequence of every document with its slot, shard and byte offset; the shards are written."""
+    return order.materialise(table(spark, sf_dir, "documents"), scratch_dir(spark, "training-order"))
+
+
 @query("op7_closed_syncmers", "documents")
 def closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and of the text half replaced by the next one, and how alike they are."""
