@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,8 +20,12 @@ BATCH_ROWS = 1000
 
 
 def prepare(spark: SparkSession) -> None:
-    """Session settings of the operators."""
+    """Session settings of the operators.
+
+    Workers look for this package where the driver has it, beside their own path; on a cluster it is installed.
+    """
     tune(spark)
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).parents[2]))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 

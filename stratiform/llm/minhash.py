@@ -7,10 +7,10 @@ prior) that its similarity reaches the threshold falls below ``MISS``. What surv
 on the full sets.
 
 A bucket of m nodes does not become m * m pairs. Every node is first compared with the smallest of
-its bucket; then only nodes that are not in one component yet are compared, pairs for small
-buckets, and blocks against blocks of signatures for large ones, which send on each node's best partners until components
-no longer grow and after that whatever else survives. So no link is left out that
-could join two components.
+its bucket. Then only buckets whose nodes are not in one component yet are gone through, blocks of nodes
+against blocks, each in one task: the signatures first, which names the nodes that may still be
+linked, and then these with their texts. A task sends on the links that join components and no
+others, at most one for each node, so no link is left out that could join two components.
 
 Defined results: NULL texts and texts without words have the empty set, are linked with nothing
 and stay; NULL keys take part, and a component's id is its smallest key that is not NULL; rows with
@@ -37,9 +37,7 @@ PERCENT = 80  # similarity that links
 BANDS, ROWS = 32, 5  # a pair at 0.8 shares no band with probability (1 - 0.8 ** 5) ** 32 = 3e-6
 BATCH = 32  # hashes compared at a time
 MISS = 1e-6  # a pair is given up when it reaches the threshold with less probability
-BLOCK = 512  # nodes compared with as many at once
-SMALL = 64  # nodes of a bucket whose pairs are listed
-PARTNERS = 3  # a node of a large bucket sends on at a time
+BLOCK, BLOCK_BYTES = 512, 1 << 24  # nodes, and bytes of their texts, compared with as many at once
 
 HASHES = BANDS * ROWS
 _TIMES, _PLUS = random_words("times", HASHES) | np.uint64(1), random_words("plus", HASHES)
@@ -94,43 +92,47 @@ def _rows(column: pa.Array) -> np.ndarray:
 
 
 def profiles(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """``key``, ``text_key``, ``n_shingles``, ``set_key`` and ``signature`` of each row, NULL without words; written once."""
+    """``key``, ``text_key``, ``bytes``, ``n_shingles``, ``set_key`` and ``signature`` of each row, the last two NULL without words; written once."""
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
 
         for batch in batches:
             sizes, sets, signatures = [], [], []
-            for value in batch.column(2):
+            for value in batch.column(3):
                 own = shingles(value.as_py(), words)
                 sizes.append(len(own))
                 sets.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None)
                 signatures.append(signature(own).tobytes() if len(own) else None)
             made = [pa.array(sizes, pa.int64()), pa.array(sets, pa.binary()), pa.array(signatures, pa.binary())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *made], ["key", "text_key", "n_shingles", "set_key", "signature"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *made], ["key", "text_key", "bytes", "n_shingles", "set_key", "signature"])
 
-    schema = f"key {docs.schema[key].dataType.simpleString()}, text_key binary, n_shingles bigint, set_key binary, signature binary"
-    return stored(docs.select(F.col(key).alias("key"), text_key(text).alias("text_key"), filled(text).alias("text")).mapInArrow(profile, schema), "profiles")
+    schema = f"key {docs.schema[key].dataType.simpleString()}, text_key binary, bytes bigint, n_shingles bigint, set_key binary, signature binary"
+    size = F.octet_length(filled(text)).cast("long").alias("bytes")
+    return stored(docs.select(F.col(key).alias("key"), text_key(text).alias("text_key"), size, filled(text).alias("text")).mapInArrow(profile, schema), "profiles")
 
 
 def nodes_of(profile: DataFrame) -> DataFrame:
-    """``node`` (a number), ``set_key``, ``signature`` and one row (``key``, ``text_key``) of each different set; written once."""
-    one = F.min(F.struct(F.col("key").isNull().alias("last"), "key", "text_key"))
+    """``node`` (a number), ``set_key``, ``signature`` and one row (``key``, ``text_key``, ``bytes``) of each different set; written once."""
+    one = F.min(F.struct(F.col("key").isNull().alias("last"), "key", "text_key", "bytes"))
     grouped = profile.where("set_key IS NOT NULL").groupBy("set_key").agg(one.alias("row"), F.first("signature").alias("signature"))
-    return stored(grouped.select(F.monotonically_increasing_id().alias("node"), "set_key", "signature", "row.key", "row.text_key"), "nodes")
+    return stored(grouped.select(F.monotonically_increasing_id().alias("node"), "set_key", "signature", "row.key", "row.text_key", "row.bytes"), "nodes")
 
 
 def memberships(nodes: DataFrame) -> DataFrame:
-    """``band``, ``node`` and the ``leader`` and ``size`` of the bucket, for buckets of two and more nodes; written once."""
+    """``band``, ``node`` and the ``leader`` and number of ``blocks`` of the bucket, for buckets of two and more nodes; written once."""
 
     def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 keys = band_keys(_rows(batch.column(1)))
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS))], ["band", "node"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), *(pa.array(np.repeat(batch.column(n).to_numpy(), BANDS)) for n in (0, 2))], ["band", "node", "bytes"])
 
-    bands = nodes.select("node", "signature").mapInArrow(banded, "band bigint, node bigint")
-    sizes = bands.groupBy("band").agg(F.min("node").alias("leader"), F.count("*").alias("size")).where("size > 1")
+    bands = nodes.select("node", "signature", "bytes").mapInArrow(banded, "band bigint, node bigint, bytes bigint")
+    blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("all_bytes") / BLOCK_BYTES)).cast("int")
+    grouped = bands.groupBy("band").agg(F.min("node").alias("leader"), F.count("*").alias("size"), F.sum("bytes").alias("all_bytes"))
+    sizes = grouped.where("size > 1").select("band", "leader", blocks.alias("blocks"))
+    bands = bands.drop("bytes")
     return stored(bands.join(sizes, "band"), "buckets")
 
 
@@ -148,6 +150,13 @@ def promising(pairs: DataFrame, nodes: DataFrame, percent: int, miss: float) ->
     return signed.mapInArrow(compare, "a bigint, b bigint")
 
 
+def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+        return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
 def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """Pairs that are linked, by their full sets."""
     joined = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b")
@@ -158,50 +167,92 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
             for n, (text_a, text_b) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
                 if text_b != last:
                     last, mine = text_b, shingles(text_b, words)
-                other = shingles(text_a, words)
-                both = len(np.intersect1d(mine, other, assume_unique=True))
-                if 100 * both >= percent * (len(mine) + len(other) - both):
+                if _similar(mine, shingles(text_a, words), percent):
                     kept.append(n)
             yield batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
 
     return joined.mapInArrow(check, "a bigint, b bigint")
 
 
-def _small_pairs(open_: DataFrame) -> DataFrame:
-    """Pairs of different labels in buckets of at most SMALL nodes."""
-    listed = open_.where(f"size <= {SMALL}").groupBy("band").agg(F.array_sort(F.collect_list(F.struct("node", "label"))).alias("m"))
-    pair = "flatten(transform(m, (x, i) -> transform(filter(slice(m, i + 2, size(m)), y -> y.label <> x.label), y -> named_struct('a', x.node, 'b', y.node))))"
-    return listed.select(F.explode(F.expr(pair)).alias("p")).select("p.a", "p.b").distinct()
-
-
-def _large_pairs(open_: DataFrame, nodes: DataFrame, percent: int, miss: float, partners: int | None) -> DataFrame:
-    """Surviving pairs of different labels in larger buckets, by blocks of signatures against blocks."""
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Stretches of rows that are alike in their first three columns, from sorted batches."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        names = np.array([batch.column(n).to_numpy() for n in range(3)]).T
+        starts = np.flatnonzero(np.concatenate(([True], (names[1:] != names[:-1]).any(axis=1))))
+        for a, b in zip(starts, [*starts[1:], len(names)]):
+            name = tuple(names[a])
+            if held and name != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            last = name
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _cross(group: pa.Table, percent: int, miss: float) -> Iterator[tuple[int, np.ndarray]]:
+    """Rows of a pair of blocks with the rows of other labels that survive beside them.
+
+    A pair that shares several bands belongs to the first of them.
+    """
+    (band, i, j), (own, node, label) = (group.column(c)[0].as_py() for c in ("band", "i", "j")), (group.column(c).to_numpy() for c in ("own", "node", "label"))
+    sig = _rows(group.column("signature"))
+    keys = band_keys(sig)
+    earlier = int(np.flatnonzero(keys[0] == band)[0])
+    right = np.flatnonzero(own == j)
+    for x in np.flatnonzero(own == i):
+        others = right[(label[right] != label[x]) & ((node[right] > node[x]) | (i != j))]
+        others = others[~(keys[others, :earlier] == keys[x, :earlier]).any(axis=1)]
+        if len(others):
+            alive, _ = surviving(np.broadcast_to(sig[x], (len(others), HASHES)), sig[others], percent, miss)
+            if len(alive):
+                yield x, others[alive]
+
+
+def _in_blocks(open_: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, percent: int, miss: float) -> DataFrame:
+    """Links (``a``, ``b``) that join labels inside the given buckets; every pair of labels is tried until they are joined."""
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    large = open_.where(f"size > {SMALL}").select("band", "node", "label", blocks.alias("blocks")).withColumn("own", own)
-    met = large.withColumn("met", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = open_.withColumn("own", own).withColumn("met", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = met.select("band", F.least("own", "met").alias("i"), F.greatest("own", "met").alias("j"), "own", "node", "label")
-    signed = dealt.join(nodes.select("node", "signature"), "node")
-
-    def compare(group: pa.Table) -> pa.Table:
-        i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
-        node, label, own = (group.column(c).to_numpy() for c in ("node", "label", "own"))
-        sig = _rows(group.column("signature"))
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        found = [np.zeros((3, 0), np.int64)]
-        for x in left:
-            others = right[(label[right] != label[x]) & ((node[right] > node[x]) | (i != j))]
-            alive, matches = surviving(np.broadcast_to(sig[x], (len(others), HASHES)), sig[others], percent, miss)
-            found.append(np.array([np.full(len(alive), node[x]), node[others[alive]], matches], np.int64))
-        a, b, matches = np.concatenate(found, axis=1)
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b), "matches": matches})
-
-    pairs = signed.groupBy("band", "i", "j").applyInArrow(compare, "a bigint, b bigint, matches bigint").distinct()
-    if partners is None:
-        return pairs.select("a", "b")
-    both = pairs.select("a", "b", "matches", F.explode(F.array("a", "b")).alias("node"))
-    best = Window.partitionBy("node").orderBy(F.col("matches").desc(), "a", "b")
-    return both.withColumn("rank", F.row_number().over(best)).where(f"rank <= {partners}").select("a", "b").distinct()
+    name = ["band", "i", "j"]
+
+    def involved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            found = {int(n) for x, others in _cross(group, percent, miss) for n in (x, *others)}
+            if found:
+                yield from group.take(pa.array(sorted(found))).combine_chunks().to_batches()
+
+    signed = dealt.join(nodes.select("node", "signature"), "node").select(*name, "own", "node", "label", "signature")
+    kept = stored(signed.repartition(*name).sortWithinPartitions(*name).mapInArrow(involved, signed.schema), "involved")
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            node, label, sets, root, links = group.column("node").to_numpy(), group.column("label").to_pylist(), {}, {}, []
+
+            def top(x: int) -> int:
+                while (up := root.get(x, x)) != x:
+                    root[x] = x = root.get(up, up)
+                return x
+
+            def shingled(n: int) -> np.ndarray:
+                if n not in sets:
+                    sets[n] = shingles(group.column("text")[n].as_py(), words)
+                return sets[n]
+
+            for x, others in _cross(group, percent, miss):
+                for y in others:
+                    if top(label[x]) != top(label[y]) and _similar(shingled(x), shingled(int(y)), percent):
+                        root[top(label[x])] = top(label[y])
+                        links.append((int(node[x]), int(node[y])))
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], ["a", "b"])
+
+    whole = kept.join(texts, "node").select(*name, "own", "node", "label", "signature", "text")
+    return whole.repartition(*name).sortWithinPartitions(*name).mapInArrow(join, "a bigint, b bigint")
 
 
 def linked(docs: DataFrame, nodes: DataFrame, key: str, text: str, words: int, percent: int, miss: float) -> DataFrame:
@@ -213,36 +264,13 @@ def linked(docs: DataFrame, nodes: DataFrame, key: str, text: str, words: int, p
     # repeated rows are alike in key and text: any of them will do
     texts = stored(rows.join(suspects, same).groupBy("node").agg(F.first("text").alias("text")), "suspects")
 
-    def links_of(pairs: DataFrame) -> DataFrame:
-        return stored(verified(stored(promising(pairs, nodes, percent, miss), "promising"), texts, words, percent), "near-links")
-
-    stars = stored(members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), "stars")
-    found = links_of(stars)
+    stars = members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+    found = stored(verified(stored(promising(stars, nodes, percent, miss), "promising"), texts, words, percent), "near-links")
     labels = components(found)
-
-    def still_open() -> DataFrame:
-        """Members of buckets that hold more than one label."""
-        named = members.select("band", "node", "size").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        mixed = named.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("band")
-        return stored(named.join(mixed, "band"), "open")
-
-    open_ = still_open()
-    small = _small_pairs(open_).join(stars, ["a", "b"], "left_anti")
-    partners: int | None = PARTNERS
-    extra = small.unionByName(_large_pairs(open_, nodes, percent, miss, partners)).distinct()
-    while True:
-        more = links_of(extra)
-        grew = not more.isEmpty()
-        if grew:
-            found = found.unionByName(more)
-            labels = components(found)
-        if partners is None:
-            return labels
-        partners = partners if grew else None
-        open_ = still_open()
-        if open_.where(f"size > {SMALL}").isEmpty():
-            return labels
-        extra = _large_pairs(open_, nodes, percent, miss, partners)
+    named = members.select("band", "node", "blocks").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    mixed = named.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("band")
+    more = stored(_in_blocks(stored(named.join(mixed, "band"), "open"), nodes, texts, words, percent, miss), "block-links")
+    return components(found.unionByName(more))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT, miss: float = MISS) -> DataFrame:
