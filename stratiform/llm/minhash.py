@@ -274,17 +274,17 @@ def linked(docs: DataFrame, nodes: DataFrame, key: str, text: str, words: int, p
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT, miss: float = MISS) -> DataFrame:
-    """One row per document: ``key``, ``text_key``, ``n_shingles`` and ``component_id``, its component's smallest key."""
+    """One row per document: ``key``, ``text_key``, ``n_shingles``, ``component_id``, its component's smallest key, and ``component``, a number, NULL without words."""
     profile = profiles(docs, key, text, words)
     nodes = nodes_of(profile)
     labels = linked(docs, nodes, key, text, words, percent, miss)
     classes = nodes.select("set_key", "node").join(labels, "node", "left").select("set_key", F.coalesce("label", "node").alias("label"))
     smallest = nodes.select("set_key", "key").join(classes, "set_key").groupBy("label").agg(F.min("key").alias("component_id"))
-    by_set = stored(classes.join(smallest, "label").select("set_key", "component_id"), "set-components")
+    by_set = stored(classes.join(smallest, "label").select("set_key", "component_id", F.col("label").alias("component")), "set-components")
     # without a set a document is alone
     joined = profile.drop("signature").join(by_set, "set_key", "left")
     alone = F.when(F.col("set_key").isNull(), F.col("key")).otherwise(F.col("component_id"))
-    return joined.select("key", "text_key", "n_shingles", alone.alias("component_id"))
+    return joined.select("key", "text_key", "n_shingles", alone.alias("component_id"), "component")
 
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT, miss: float = MISS) -> DataFrame:
@@ -293,8 +293,8 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", words
     Of rows alike in key and text one stays. A component without any key keeps one of its texts.
     """
     found = near_duplicates(docs, key, text, words, percent, miss)
-    own = F.col("component_id").eqNullSafe(F.col("key")) & (F.col("n_shingles") > 0)
-    keepers = found.where(own).groupBy("component_id").agg(F.min("text_key").alias("keep_text")).select(F.col("component_id").alias("keep_key"), "keep_text")
+    own = F.col("component_id").eqNullSafe(F.col("key")) & F.col("component").isNotNull()
+    keepers = found.where(own).groupBy("component").agg(F.first("key").alias("keep_key"), F.min("text_key").alias("keep_text")).drop("component")
     rows = docs.select(F.struct("*").alias("row"), F.col(key).alias("row_key"), text_key(text).alias("row_text"), (F.regexp_like(filled(text), F.lit(r"[^\x20\x09-\x0D]"))).alias("worded"))
     same = rows.row_key.eqNullSafe(keepers.keep_key) & (rows.row_text == keepers.keep_text)
     chosen = rows.where("worded").join(keepers, same).select("row", "row_key", "row_text")

@@ -191,7 +191,7 @@ def _sampled(docs: DataFrame, labels: DataFrame, key: str, text: str, sample: in
     # at most ``sample`` short rows, so they may go everywhere
     picked = known.orderBy(F.md5(F.col("key").cast("string"))).limit(sample)
     rows = docs.select(F.col(key).alias("key"), filled(text).alias("text")).join(F.broadcast(picked), "key")
-    return rows.groupBy(F.md5("text").alias("text_key")).agg(F.first("text").alias("text"), F.max("toxic").alias("toxic"))
+    return rows.groupBy(F.xxhash64("text").alias("text_key")).agg(F.first("text").alias("text"), F.max("toxic").alias("toxic"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Model:
@@ -203,10 +203,11 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         for batch in batches:
             for text_key, value, toxic in zip(*(c.to_pylist() for c in batch.columns)):
                 own = sorted(features(decoder.words(value))) + [""]
-                yield pa.RecordBatch.from_pydict({"text_key": [text_key] * len(own), "feature": own, "toxic": pa.array([toxic] * len(own), pa.int32())})
+                same = [pa.array([x] * len(own), t) for x, t in ((text_key, pa.int64()), (toxic, pa.int32()))]
+                yield pa.RecordBatch.from_arrays([same[0], pa.array(own), same[1]], ["text_key", "feature", "toxic"])
 
     rows = _sampled(docs, labels, key, text, sample).select("text_key", "text", F.col("toxic").cast("int").alias("toxic"))
-    found = stored(rows.mapInArrow(expand, "text_key string, feature string, toxic int"), "toxic-features")
+    found = stored(rows.mapInArrow(expand, "text_key bigint, feature string, toxic int"), "toxic-features")
     counts = found.groupBy("feature").agg(F.count("*").alias("n"), F.sum("toxic").alias("p")).where(f"n >= {LEAST_ROWS} OR feature = ''")
     everyone = counts.where("feature = ''").first()
     if everyone is None or everyone.p in (0, everyone.n):
@@ -221,13 +222,13 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     evidence = term(p, n * share) + term(n - p, n * (1 - share)) + term(p_all - p, p_all - n * share) + term(n_all - n - p_all + p, (n_all - n) - (p_all - n * share))
     kept = counts.where((F.col("feature") != "") & (p > n * share)).orderBy(evidence.desc(), "feature").limit(FEATURES).select("feature")
     names = [r.feature for r in kept.collect()]
-    place = {f: i for i, f in enumerate(names)}
-    # the sample's rows by the model's features, both bounded
-    pairs = found.join(found.sparkSession.createDataFrame([(f,) for f in names], "feature string"), "feature").select("text_key", "feature").collect() if names else []
-    truth = {r.text_key: r.toxic for r in found.where("feature = ''").select("text_key", "toxic").collect()}
-    row_of = {t: i for i, t in enumerate(truth)}
-    at = np.array([(row_of[t], place[f]) for t, f in pairs], np.int64).reshape(-1, 2)
-    weights, constant = _logistic(at[:, 0], at[:, 1], np.array(list(truth.values()), float), len(names))
+    # the sample's rows by the model's features, both bounded, as numbers
+    numbered = found.sparkSession.createDataFrame(list(zip(names, range(len(names)))), "feature string, place int")
+    pairs = found.join(numbered, "feature").select("text_key", "place").toArrow()
+    truth = found.where("feature = ''").select("text_key", "toxic").orderBy("text_key").toArrow()
+    keys = truth.column(0).to_numpy()
+    rows_at = np.searchsorted(keys, pairs.column(0).to_numpy())
+    weights, constant = _logistic(rows_at, pairs.column(1).to_numpy(), truth.column(1).to_numpy().astype(float), len(names))
     return Model(cost, dict(zip(names, weights.tolist())), constant)
 
 
