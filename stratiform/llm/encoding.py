@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 from functools import lru_cache
 
+import numpy as np
 import public_tokenizers
 import tiktoken
 
@@ -37,5 +38,5 @@ def encoder(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("byte-bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
-def encode(text: str, path: str) -> list[int]:
-    return encoder(path).encode(text, allowed_special="all")
+def encode(text: str, path: str) -> np.ndarray:
+    return encoder(path).encode_to_numpy(text, allowed_special="all")

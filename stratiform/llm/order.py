@@ -5,8 +5,8 @@ the result falls outside the range it is permuted again (cycle walking), so the
 one onto the slots. A key is a whole training order that no one has to store. A shard is a range of slots; record n of
 a shard starts at byte n * stride, so a reader starts or goes on at any slot by one seek.
 
-Numbers come from the place of a sequence in the written table of sequences, so a lost task gives
-the same numbers again, and a shard that is written again is the same bytes.
+Numbers come from the task that reads a document and the place in it, counted in a first pass. A
+lost task gives the same numbers again, which it checks, and a shard written again is the same bytes.
 
 Defined results: NULL text is an empty document, whose one sequence is its end token; repeated rows
 are sequences of their own; short sequences are filled up with ``pad``, their length is in the manifest; an empty
@@ -22,13 +22,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratiform.llm.base import filled, stored
 from stratiform.llm.encoding import BYTE_BPE, encode, encoder
 from stratiform.llm.words import mix, random_words
-from stratiform.session import discard, scratch_dir
 
 LENGTH = 256  # tokens of a record
 SHARD = 1 << 14  # records of a shard
@@ -61,31 +60,45 @@ class Order:
         return out.astype(np.int64)
 
 
+@dataclass(frozen=True)
+class Part:
+    """The sequences of one task: the number of its first, how many, and a checksum over all in order."""
+
+    first: int
+    count: int
+    checksum: int
+
+
+def _cut(value: str, length: int, vocabulary: str, end: int) -> list[bytes]:
+    """A document's sequences as little-endian numbers, of 16 bits if the vocabulary allows, else of 32."""
+    kind = width(vocabulary)
+    ids = np.append(encode(value, vocabulary), np.uint32(end)).astype(kind)
+    return [ids[at : at + length].tobytes() for at in range(0, len(ids), length)]
+
+
 def sequences(docs: DataFrame, key: str, text: str, length: int, vocabulary: str, end: int) -> DataFrame:
-    """``key``, ``piece``, ``n_tokens``, ``ids_crc32``, ``ids`` and the place (``part``, ``row``) of each sequence; written once.
+    """``key``, ``piece``, ``n_tokens``, ``ids_crc32``, the place (``part``, ``row``) of each sequence and the ``checksum`` so far.
 
-    A document is cut every ``length`` tokens, its end token included. ``ids`` are little-endian
-    unsigned numbers of 16 bits if the vocabulary allows, else of 32.
+    A document is cut every ``length`` tokens, its end token included.
     """
-    kind = width(vocabulary)
+    size = np.dtype(width(vocabulary)).itemsize
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, row = TaskContext.get().partitionId(), 0
+        part, row, checksum = TaskContext.get().partitionId(), 0, 0
         for batch in batches:
             of, out = [], [[] for _ in range(4)]
             for n, value in enumerate(batch.column(1)):
-                ids = np.asarray([*encode(value.as_py(), vocabulary), end], dtype=kind)
-                for piece, at in enumerate(range(0, len(ids), length)):
-                    own = ids[at : at + length].tobytes()
+                for piece, own in enumerate(_cut(value.as_py(), length, vocabulary, end)):
+                    checksum = zlib.crc32(own, checksum)
                     of.append(n)
-                    for column, x in zip(out, (piece, len(own) // ids.itemsize, zlib.crc32(own), own)):
+                    for column, x in zip(out, (piece, len(own) // size, zlib.crc32(own), checksum)):
                         column.append(x)
-            made = [pa.array(c, t) for c, t in zip(out, (pa.int32(), pa.int32(), pa.int64(), pa.binary()))]
+            made = [pa.array(c, t) for c, t in zip(out, (pa.int32(), pa.int32(), pa.int64(), pa.int64()))]
             place = [pa.array(np.full(len(of), part, np.int32)), pa.array(np.arange(row, row + len(of)))]
             row += len(of)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(of, pa.int64())), *made, *place], ["key", "piece", "n_tokens", "ids_crc32", "ids", "part", "row"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(of, pa.int64())), *made, *place], ["key", "piece", "n_tokens", "ids_crc32", "checksum", "part", "row"])
 
-    schema = f"key {docs.schema[key].dataType.simpleString()}, piece int, n_tokens int, ids_crc32 bigint, ids binary, part int, row bigint"
+    schema = f"key {docs.schema[key].dataType.simpleString()}, piece int, n_tokens int, ids_crc32 bigint, checksum bigint, part int, row bigint"
     return docs.select(F.col(key).alias("key"), filled(text).alias("text")).mapInArrow(cut, schema)
 
 
@@ -93,18 +106,26 @@ def width(vocabulary: str) -> str:
     return "<u2" if encoder(vocabulary).n_vocab <= 1 << 16 else "<u4"
 
 
-def slotted(found: DataFrame, first: DataFrame, order: Order) -> DataFrame:
-    """Rows with their ``slot``; ``first`` has the number of the first row of each part."""
-    numbered = found.join(first, "part").withColumn("number", F.col("first") + F.col("row")).drop("part", "row", "first")
+def slotted(docs: DataFrame, key: str, text: str, length: int, vocabulary: str, end: int, parts: dict[int, Part], order: Order) -> DataFrame:
+    """``slot`` and ``ids`` of all sequences, cut again in the tasks that counted them.
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Ids are made twice rather than written and read between the passes. A task that does not
+    find the sequences it found before stops the job.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, row, checksum = parts.get(TaskContext.get().partitionId(), Part(0, 0, 0)), 0, 0
         for batch in batches:
-            slot = order.slots(batch.column(batch.schema.get_field_index("number")).to_numpy())
-            yield batch.drop_columns(["number"]).append_column("slot", pa.array(slot))
+            found = [own for value in batch.column(1) for own in _cut(value.as_py(), length, vocabulary, end)]
+            for own in found:
+                checksum = zlib.crc32(own, checksum)
+            slots = order.slots(np.arange(known.first + row, known.first + row + len(found)))
+            row += len(found)
+            yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(found, pa.binary())], ["slot", "ids"])
+        if (row, checksum) != (known.count, known.checksum):
+            raise RuntimeError("the input came in another order than before: write it to a table first")
 
-    kept = numbered.drop("number")
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept.schema) + ", slot bigint"
-    return numbered.mapInArrow(place, schema)
+    return docs.select(F.col(key).alias("key"), filled(text).alias("text")).mapInArrow(cut, "slot bigint, ids binary")
 
 
 def materialise(
@@ -115,28 +136,36 @@ def materialise(
 
     The manifest has key, ``piece``, ``n_tokens``, ``ids_crc32``, ``slot``, ``shard`` and ``offset`` (bytes).
     A record is ``length`` ids and one line end, which Spark's text files put after each row.
+    ``docs`` must come in the same order each time, as scans of files do.
     """
     spark = docs.sparkSession
-    made, staging = sequences(docs, key, text, length, vocabulary, end), scratch_dir(spark, "sequences")
-    made.write.option("compression", "zstd").parquet(staging)
-    found = spark.read.schema(made.schema).parquet(staging)
+    # splits of files must not follow the executors that come and go between the passes
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
+    found = stored(sequences(docs, key, text, length, vocabulary, end), "sequences")
     # a row for each task that wrote sequences
-    parts = found.groupBy("part").agg(F.count("*").alias("n"))
-    total = parts.agg(F.sum("n")).first()[0] or 0
-    before = Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    first = stored(parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")), "first-numbers")
+    last = found.groupBy("part").agg(F.count("*").alias("n"), F.max_by("checksum", "row").alias("checksum"))
+    parts, total = {}, 0
+    for r in last.orderBy("part").collect():
+        parts[r.part] = Part(total, r.n, r.checksum)
+        total += r.n
     order, size = Order(total, seed), np.dtype(width(vocabulary)).itemsize
     stride = length * size + 1
     shard_of = F.expr(f"CAST(slot DIV {shard} AS int)")
     filling = F.lit(bytearray(np.array([pad], width(vocabulary)).tobytes()))
     record = F.rpad("ids", F.lit(length * size), filling).cast("string")
-    shards = max(1, -(-total // shard))
-    dealt = slotted(found.select("ids", "part", "row"), first, order).withColumn("shard", shard_of).repartitionById(shards, F.col("shard"))
+    dealt = slotted(docs, key, text, length, vocabulary, end, parts, order).withColumn("shard", shard_of).repartitionById(max(1, -(-total // shard)), F.col("shard"))
     dealt.sortWithinPartitions("shard", "slot").select("shard", record.alias("value")).write.partitionBy("shard").text(f"{path}/shards")
-    offset = (F.col("slot") % shard) * stride
-    narrow = slotted(found.drop("ids"), first, order).withColumn("shard", shard_of).withColumn("offset", offset)
-    narrow.withColumnRenamed("key", key).write.parquet(f"{path}/manifest")
-    discard(spark, staging)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            part, row = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("part", "row"))
+            numbers = np.array([parts[p].first for p in part.tolist()], np.int64) + row
+            yield batch.drop_columns(["part", "row"]).append_column("slot", pa.array(order.slots(numbers)))
+
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in found.schema if f.name not in ("checksum", "part", "row"))
+    manifest = found.drop("checksum").mapInArrow(place, f"{kept}, slot bigint").withColumn("shard", shard_of).withColumn("offset", (F.col("slot") % shard) * stride)
+    manifest.withColumnRenamed("key", key).write.parquet(f"{path}/manifest")
     return spark.read.parquet(f"{path}/manifest")
 
 

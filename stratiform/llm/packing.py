@@ -44,7 +44,7 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int
             keys, out = batch.column(0), defaultdict(list)
             rows = []
             for row, value in enumerate(batch.column(1)):
-                ids = np.asarray([*encode(value.as_py(), vocabulary), end], dtype="<u4")
+                ids = np.append(encode(value.as_py(), vocabulary), np.uint32(end)).astype("<u4", copy=False)
                 first = len(ids) % length or length
                 edges = [0, *range(first, len(ids) + 1, length)]
                 for n, (a, b) in enumerate(zip(edges, edges[1:])):

@@ -151,7 +151,8 @@ def _repeated_by_window(strings: DataFrame, window: int) -> DataFrame:
 def repeated_windows(texts: DataFrame, window: int, minimiser: int) -> DataFrame:
     """``key``, ``a``, ``b``: windows a to b of a text (see ``distinct_texts``) occur elsewhere too."""
     spans = _spans(texts, window, minimiser)
-    again = spans.groupBy("minimiser").agg(F.count("*").alias("n")).where("n > 1").select("minimiser")
+    # written, so that the join shuffles both sides and a minimiser of very many is split
+    again = stored(spans.groupBy("minimiser").agg(F.count("*").alias("n")).where("n > 1").select("minimiser"), "minimisers")
     rows = stored(_strings(texts, spans.join(again, "minimiser"), window).withColumn("string", F.unhex(F.md5("words"))), "strings")
     # the string decides its minimiser, so its digest alone names it
     strings = rows.groupBy("string").agg(F.first("minimiser").alias("minimiser"), F.first("words").alias("words"), F.sum("copies").alias("copies"))
