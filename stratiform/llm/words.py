@@ -47,9 +47,9 @@ def _blocks(data: bytes) -> Iterator[bytes]:
     while len(data) - at > BLOCK:
         part = data[at : at + BLOCK]
         cut = max(part.rfind(c) for c in b" \t\n\r\v\f")
-        if cut < 0:  # one word longer than a block
-            after = np.flatnonzero(_SPACE[np.frombuffer(data, np.uint8, offset=at)])
-            cut = int(after[0]) if len(after) else len(data) - at
+        if cut <= 0:  # one word longer than a block
+            after = np.flatnonzero(_SPACE[np.frombuffer(data, np.uint8, offset=at + 1)])
+            cut = int(after[0]) + 1 if len(after) else len(data) - at
         yield data[at : at + cut]
         at += cut
     yield data[at:]

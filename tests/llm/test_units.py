@@ -1,7 +1,6 @@
 """The parts of the operators, against slow and plain versions."""
 
 import random
-import zlib
 from collections import Counter
 from math import ceil
 
@@ -17,6 +16,8 @@ from stratiform.llm import encoding, minhash, mixing, order, packing, substrings
 from stratiform.llm.transducer import MARK, transducer
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
+BYTES = Tokenizer.from_file(encoding.BYTE_BPE)
+LIBRARY = sentencepiece.SentencePieceProcessor(model_file=PIECES)
 TEXT = st.lists(st.sampled_from([*"abcdethin  \n\t▁-=*é日①​\x00<s>", "\U0001f600", "ing", "    "]), max_size=40).map("".join)
 
 
@@ -61,17 +62,15 @@ def test_planned_bins_are_those_of_packing_one_by_one(sizes):
 @settings(max_examples=200, deadline=None)
 @given(st.text(max_size=60))
 def test_ids_are_those_of_the_other_library(text):
-    library = Tokenizer.from_file(encoding.BYTE_BPE)
     for t in (text, text + "<|endoftext|>" + text, " ".join([text] * 3)):
-        assert encoding.encode(t, encoding.BYTE_BPE) == library.encode(t, add_special_tokens=False).ids
+        assert encoding.encode(t, encoding.BYTE_BPE).tolist() == BYTES.encode(t, add_special_tokens=False).ids
 
 
 @settings(max_examples=300, deadline=None)
 @given(TEXT, st.integers(1, 9))
 def test_transducer_counts_and_composes(text, size):
     machine = transducer(PIECES)
-    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
-    n = len(library.encode(text))
+    n = len(LIBRARY.encode(text))
     assert machine.count(text) == n
     maps = [machine.chunk((MARK if a == 0 else "") + text[a : a + size]) for a in range(0, len(text), size)]
     assert machine.through(maps) == n
@@ -86,7 +85,7 @@ def test_transducer_counts_and_composes(text, size):
 
 def test_transducer_reads_a_text_without_spaces_in_one_pass():
     text = "ab" * 50_000 + "-" * 50_000
-    assert transducer(PIECES).count(text) == len(sentencepiece.SentencePieceProcessor(model_file=PIECES).encode(text))
+    assert transducer(PIECES).count(text) == len(LIBRARY.encode(text))
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 17, 1000, 4097])
@@ -162,7 +161,3 @@ def test_too_many_sources_are_refused(llm):
     share = llm.range(mixing.LONGEST_PERIOD + 1).selectExpr("CAST(id AS string) AS source", "1L AS share")
     with pytest.raises(ValueError, match="longer than"):
         mixing.period_table(share)
-
-
-def test_crc_of_pieces_is_unsigned():
-    assert zlib.crc32(b"\x00\x00\x00\x00") > 1 << 31
