@@ -9,7 +9,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Separators that do not occur in ordinary text, so that ('a', NULL) and ('a', '') hash apart.
-_FIELD_SEPARATOR = "\u0001"
 _NULL_MARK = "\u0000"
 
 
@@ -53,9 +52,15 @@ def json_or_text(c: str | Column) -> Column:
 
 
 def change_hash(columns: Iterable[str | Column]) -> Column:
-    """SHA-256 over tracked columns; NULL and empty text differ."""
-    parts = [F.coalesce(col(c).cast("string"), F.lit(_NULL_MARK)) for c in columns]
-    return F.sha2(F.concat_ws(_FIELD_SEPARATOR, *parts), 256)
+    """SHA-256 over tracked columns; NULL and empty text differ.
+
+    Several columns are told apart by the length before each, so no value can pass for two.
+    """
+    texts = [col(c).cast("string") for c in columns]
+    if len(texts) == 1:
+        return F.sha2(F.coalesce(texts[0], F.lit(_NULL_MARK)), 256)
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit(_NULL_MARK)) for t in texts]
+    return F.sha2(F.concat(*parts), 256)
 
 
 def watermark(value: object, dtype: str = "timestamp") -> Column:

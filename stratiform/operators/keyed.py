@@ -59,16 +59,17 @@ def without_match(source: DataFrame, target: DataFrame, keys: Sequence[str]) ->
     return source.join(known, list(keys), "left_anti")
 
 
-def not_older(source: DataFrame, target: DataFrame, keys: Sequence[str], by: str) -> DataFrame:
-    """Source rows the target has no newer row for; equal times count as newer.
+def not_older(source: DataFrame, target: DataFrame, keys: Sequence[str], by: str | Sequence[str]) -> DataFrame:
+    """Source rows the target has no newer row for; equal times count as newer, NULL as oldest.
 
+    Several columns ``by`` are compared one after the other.
     A reprocessed window holds old rows of keys that have changed since; they must not undo that.
     """
-    keys = list(keys)
+    keys, by = list(keys), [by] if isinstance(by, str) else list(by)
     ahead = (
-        target.select(*keys, F.col(by).alias("_held"))
-        .join(source.select(*keys, F.col(by).alias("_sent")), keys)
-        .filter(F.col("_held").isNotNull() & (F.col("_sent").isNull() | (F.col("_held") > F.col("_sent"))))
+        target.select(*keys, F.struct(*by).alias("_held"))
+        .join(source.select(*keys, F.struct(*by).alias("_sent")), keys)
+        .filter(F.col("_held") > F.col("_sent"))
     )
     return source.join(ahead.select(*keys), keys, "left_anti")
 

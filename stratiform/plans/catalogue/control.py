@@ -158,6 +158,34 @@ def keyed_upsert_partitions(spark, d):
     return spark.read.parquet(path).drop("o_year")
 
 
+def _upsert_by(spark, d, partition):
+    orders = table(spark, d, "orders").withColumn("o_part", partition)
+    path = scratch_dir(spark, "silver-orders")
+    tables.upsert_partitions(spark, path, orders.filter(F.col("o_orderdate") < _CUT), ["o_orderkey"], "o_part")
+    changed = orders.filter((F.col("o_orderdate") >= _FROM) & (F.col("o_orderstatus") == "F"))
+    tables.upsert_partitions(spark, path, changed.withColumn("o_totalprice", F.lit(0.5)), ["o_orderkey"], "o_part")
+    return tables.read_partitioned(spark, path)
+
+
+def _upsert_by_sql(partition):
+    return f"""WITH o AS (SELECT *, {partition} AS o_part FROM orders), t AS (SELECT * FROM o WHERE o_orderdate < TIMESTAMP '{_CUT}'),
+            s AS (SELECT * REPLACE (0.5::DOUBLE AS o_totalprice) FROM o
+                  WHERE o_orderdate >= TIMESTAMP '{_FROM}' AND o_orderstatus = 'F')
+       SELECT * FROM t WHERE o_orderkey NOT IN (SELECT o_orderkey FROM s) UNION ALL SELECT * FROM s"""
+
+
+@query("keyed_upsert_null_partition", _upsert_by_sql("CASE WHEN o_orderkey % 3 > 0 THEN o_orderkey % 3 END"))
+def keyed_upsert_null_partition(spark, d):
+    """A third of the orders lies in the partition of NULL."""
+    return _upsert_by(spark, d, F.when(F.col("o_orderkey") % 3 > 0, F.col("o_orderkey") % 3))
+
+
+@query("keyed_upsert_text_partition", _upsert_by_sql("'00' || CAST(o_orderkey % 3 AS varchar)"))
+def keyed_upsert_text_partition(spark, d):
+    """Partitions named by digits stay text."""
+    return _upsert_by(spark, d, F.concat(F.lit("00"), (F.col("o_orderkey") % 3).cast("string")))
+
+
 @query(
     "predicate_update",
     f"""SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' AND o_totalprice > 300000 THEN 'F' ELSE o_orderstatus END

@@ -123,7 +123,8 @@ def fact_with_junk_key(spark, d):
 
 
 def _scd2_sql(where: str = "true", key: str = "o_custkey", source: str = "orders", tracked: str = "o_orderpriority") -> str:
-    text = " || chr(1) || ".join(tracked.split(", "))
+    names = tracked.split(", ")
+    text = names[0] if len(names) == 1 else " || ".join(f"length({c}) || ':' || {c}" for c in names)
     return f"""SELECT {key}, {tracked}, effective_from,
         CAST(lead(effective_from) OVER w - 1 AS DATE) AS effective_to, lead(effective_from) OVER w IS NULL AS is_current,
         CAST(row_number() OVER w AS INTEGER) AS version, change_hash
@@ -295,7 +296,7 @@ _SNAPSHOT = """
 def _snapshot(spark, d):
     members = table(spark, d, "customer").select("c_custkey", "c_nationkey")
     activity = table(spark, d, "orders").join(members, F.col("o_custkey") == F.col("c_custkey"))
-    return facts.monthly_snapshot(activity, "c_nationkey", "o_custkey", "o_orderdate", "o_totalprice")
+    return facts.monthly_snapshot(activity, "c_nationkey", "o_custkey", "o_orderdate", "o_totalprice", "decimal(18,2)")
 
 
 @query("fact_periodic_snapshot", _SNAPSHOT)

@@ -44,13 +44,13 @@ def stream_full_refresh(spark, d):
 
 @query(
     "stream_foreach_batch_upsert",
-    """SELECT o_orderkey, o_custkey, o_orderstatus,
+    """SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority,
               CASE WHEN o_orderstatus = 'P' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, o_orderdate
        FROM orders""",
 )
 def stream_foreach_batch_upsert(spark, d):
     """Orders land, then corrected copies of the pending ones; each run merges into the keyed table."""
-    orders = table(spark, d, "orders").drop("o_orderpriority")
+    orders = table(spark, d, "orders")
     corrected = orders.filter("o_orderstatus = 'P'").withColumn("o_totalprice", F.col("o_totalprice") + 1)
     base = scratch_dir(spark, "silver-stream")
     landed = land(orders, "orders", "parquet")
@@ -62,10 +62,28 @@ def stream_foreach_batch_upsert(spark, d):
     return tables.current(spark, f"{base}/table")
 
 
-@query("stream_dedupe", "SELECT event_id, ts, user_id, event_type, value FROM events")
+@query(
+    "stream_upsert_out_of_order",
+    "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders",
+)
+def stream_upsert_out_of_order(spark, d):
+    """Orders land first and older copies of them second, file by file: the newer rows stay."""
+    orders = table(spark, d, "orders")
+    older = orders.withColumn("o_orderdate", F.col("o_orderdate") - F.expr("INTERVAL 1 DAY")).withColumn("o_totalprice", F.lit(0.0))
+    base = scratch_dir(spark, "silver-late")
+    landed = land(orders, "orders", "parquet")
+    for late in (older, None):
+        stream = ingest.file_stream(spark, landed, orders.schema, "parquet", max_files=1)
+        upsert_available(stream, f"{base}/table", f"{base}/checkpoint", ["o_orderkey"], ["o_orderdate"])
+        if late is not None:
+            land(late, "orders", "parquet", landed)
+    return tables.current(spark, f"{base}/table")
+
+
+@query("stream_dedupe", "SELECT * FROM events")
 def stream_dedupe(spark, d):
     """Events sent twice are stored once."""
-    events = table(spark, d, "events").drop("props")
+    events = table(spark, d, "events")
     landed = land(events.unionByName(events), "events", "parquet")
     base = scratch_dir(spark, "bronze-dedupe")
     stream = ingest.file_stream(spark, landed, events.schema, "parquet")

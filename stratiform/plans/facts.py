@@ -33,18 +33,19 @@ def daily_counts(df: DataFrame, time: str, by: Sequence[str], out: str = "n_rows
     return df.groupBy(F.to_date(time).alias("day"), *by).agg(F.count("*").alias(out))
 
 
-def monthly_snapshot(activity: DataFrame, group: str, member: str, time: str, amount: str) -> DataFrame:
+def monthly_snapshot(activity: DataFrame, group: str, member: str, time: str, amount: str, amount_type: str | None = None) -> DataFrame:
     """One row per group and month from its first to its last active month.
 
     A member joins in the month of its first activity and leaves after the month of its last.
     ``headcount`` is the members present in the month, ``active_headcount`` those with activity,
-    ``avg_amount`` the mean amount of the month and ``turnover_rate`` the share of the headcount
+    ``avg_amount`` the mean amount of the month, summed in the column's own type or in ``amount_type``
+    (a decimal makes sums of floats independent of their order), and ``turnover_rate`` the share of the headcount
     that leaves. The activity is read once into a table of members by month; the running totals
     go over one row per group and month.
     """
-    month, cents = "snapshot_month", F.col(amount).cast("decimal(18,2)")
+    month, summed = "snapshot_month", F.col(amount).cast(amount_type) if amount_type else F.col(amount)
     monthly = materialize(
-        activity.select(group, member, F.trunc(time, "month").alias(month), cents.alias("_a"))
+        activity.select(group, member, F.trunc(time, "month").alias(month), summed.alias("_a"))
         .groupBy(group, member, month)
         .agg(F.sum("_a").alias("_sum"), F.count("_a").alias("_n")),
         "member-months",

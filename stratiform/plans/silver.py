@@ -134,7 +134,7 @@ def run_silver(
 ) -> dict[str, Any]:
     """Run a refresh as a job: stage the evaluated rows once, gate, publish, report.
 
-    Quarantine gets one version per run. Violations are counted in the tasks that write the staged table, so the slice is evaluated
+    Quarantine gets one version per run; silver keeps its newest two. The stage goes even if the gate fails. Violations are counted in the tasks that write the staged table, so the slice is evaluated
     once and every later step starts from files that survive lost executors. What was read is
     counted by a scan of key and watermark columns: counters ahead of a shuffle could count a
     recomputed task twice. The returned counts add up: rows read = key missing + duplicates +
@@ -163,14 +163,17 @@ def run_silver(
 
     failed = quality.observed_failures(entity.rules, violations)
     blocked = {r.name: failed[r.name] for r in entity.rules if r.effect == "fail" and failed[r.name]}
-    if blocked:
-        raise QualityFailure(f"{entity.key}: {blocked}")
-
-    staged = spark.read.parquet(stage)
-    changed = _current_only(quality.clean_rows(staged), read_silver(spark, entity, base), entity, request)
-    _merge(spark, changed, entity, base)
-    tables.publish(quality.quarantined_rows(staged), quarantine_base)
-    discard(spark, stage)
+    try:
+        if blocked:
+            raise QualityFailure(f"{entity.key}: {blocked}")
+        staged = spark.read.parquet(stage)
+        changed = _current_only(quality.clean_rows(staged), read_silver(spark, entity, base), entity, request)
+        _merge(spark, changed, entity, base)
+        tables.publish(quality.quarantined_rows(staged), quarantine_base)
+    finally:
+        discard(spark, stage)
+    if not (entity.buckets or entity.partition):
+        tables.expire(spark, base)
     counts = {**read.asDict(), **outcomes.get}
     counts["n_duplicates"] = counts["n_read"] - counts["n_key_missing"] - sum(
         counts[k] for k in ("n_clean", "n_dropped", "n_quarantined")

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import json
 from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
-from stratiform.operators.keyed import require_unique_keys, upsert
+from stratiform.operators.keyed import not_older, require_unique_keys, upsert
 from stratiform.session import file_system, materialize
 
 _VERSION = "version="
+_SCHEMA = "_schema.json"
 
 
 def versions(spark: SparkSession, base: str) -> list[int]:
@@ -67,6 +70,7 @@ def upsert_partitions(
     partition: str,
     unique: bool = False,
     widen: bool = False,
+    by: Sequence[str] = (),
 ) -> None:
     """Merge into a partitioned table and rewrite only the partitions the source touches.
 
@@ -74,21 +78,55 @@ def upsert_partitions(
     The touched partition values, at most as many as the table has partitions, become a static
     partition filter; the merged partitions replace the old ones by dynamic partition overwrite
     once the new files are complete. A merge that broke off is repaired by running it again.
-    The table is created if it does not exist.
+    The table is created if it does not exist. With ``by``, rows older than the held one stay out.
+    NULL is a partition of its own, and partition values are read as the column's type, never guessed.
     """
     staged = materialize(source if unique else require_unique_keys(source, keys), "upsert-source")
     if exists(spark, path):
         touched = [row[0] for row in staged.select(partition).distinct().collect()]
-        target = read_partitioned(spark, path).filter(F.col(partition).isin(touched))
-        merged = upsert(target, staged, keys, unique=True, widen=widen)
+        known = F.col(partition).isin([v for v in touched if v is not None])
+        hit = known | F.col(partition).isNull() if None in touched else known
+        target = read_partitioned(spark, path, {partition: staged.schema[partition].dataType}).filter(hit)
+        newer = not_older(staged, target, keys, by) if by else staged
+        merged = upsert(target, newer, keys, unique=True, widen=widen)
     else:
         merged = staged
+    _store_schema(spark, path, merged.schema)
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 
-def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
-    """A partitioned table with the columns of all its files."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+def _store_schema(spark: SparkSession, path: str, schema: StructType) -> None:
+    """Keep a table's schema beside its files, under a name that scans pass over."""
+    fs, target = file_system(spark, f"{path}/{_SCHEMA}")
+    out = fs.create(target, True)
+    out.write(bytearray(schema.json().encode()))
+    out.close()
+
+
+def _stored_schema(spark: SparkSession, path: str) -> StructType | None:
+    fs, target = file_system(spark, f"{path}/{_SCHEMA}")
+    if not fs.exists(target):
+        return None
+    stream = fs.open(target)
+    try:
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return StructType.fromJson(json.loads(text))
+
+
+def read_partitioned(spark: SparkSession, path: str, types: Mapping[str, DataType] | None = None) -> DataFrame:
+    """A partitioned table with the columns of all its files.
+
+    The stored schema is used if there is one; otherwise all footers are read, and ``types``
+    gives the types of partition columns, which Spark would guess from the folder names.
+    """
+    schema = _stored_schema(spark, path)
+    if schema is None:
+        guessed = spark.read.option("mergeSchema", "true").parquet(path).schema
+        types = types or {}
+        schema = StructType([StructField(f.name, types.get(f.name, f.dataType), f.nullable) for f in guessed])
+    return spark.read.schema(schema).parquet(path)
 
 
 def expire(spark: SparkSession, base: str, keep: int = 2) -> list[int]:

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stratiform.functions.checks import all_not_null
 from stratiform.operators.dedupe import latest_per_key
-from stratiform.operators.keyed import upsert
+from stratiform.operators.keyed import not_older, upsert
 from stratiform.sources import tables
 
 
@@ -24,6 +24,8 @@ def upsert_available(
 ) -> StreamingQuery:
     """Merge each micro-batch, newest row per key and none without a key, into the versioned table at ``base``.
 
+    A row older than the one held stays out, so the result does not depend on the cut into batches.
+
     The batch id is the version number: a replayed batch starts from the version before it and
     overwrites its own, so a restart after a lost driver does not merge twice. The table and
     the checkpoint belong together; the newest ``keep`` versions stay.
@@ -35,14 +37,16 @@ def upsert_available(
         raise ValueError("a replay needs the version before the last")
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        newest = latest_per_key(batch.filter(all_not_null(keys)), keys, by).persist()
+        newest = latest_per_key(batch.filter(all_not_null(keys)), keys, by)
         spark = batch.sparkSession
         if partition:
-            tables.upsert_partitions(spark, base, newest, keys, partition, unique=True)
-        else:
-            before = tables.current(spark, base, below=batch_id)
-            tables.publish(newest if before is None else upsert(before, newest, keys, unique=True), base, batch_id)
-            tables.expire(spark, base, keep)
+            tables.upsert_partitions(spark, base, newest, keys, partition, unique=True, by=by)
+            return
+        newest.persist()
+        before = tables.current(spark, base, below=batch_id)
+        merged = newest if before is None else upsert(before, not_older(newest, before, keys, by), keys, unique=True)
+        tables.publish(merged, base, batch_id)
+        tables.expire(spark, base, keep)
         newest.unpersist()
 
     query = (

@@ -146,6 +146,24 @@ def test_only_touched_partitions_are_rewritten(spark, folder, rows_of):
     assert untouched == {f: f.stat().st_mtime_ns for f in (__import__("pathlib").Path(path) / "p=0").iterdir()}
 
 
+def test_null_and_text_partitions_are_neither_lost_nor_doubled(spark, folder, rows_of):
+    for name, a, b in (("null", None, None), ("text", "007", "007")):
+        path = f"{folder}/{name}"
+        tables.upsert_partitions(spark, path, spark.createDataFrame([(1, "a", a), (2, "b", "9")], "k int, v string, p string"), ["k"], "p")
+        tables.upsert_partitions(spark, path, spark.createDataFrame([(1, "z", b), (3, "c", b)], "k int, v string, p string"), ["k"], "p")
+        assert rows_of(tables.read_partitioned(spark, path), "k", "v", "p") == sorted([(1, "z", a), (2, "b", "9"), (3, "c", b)], key=repr)
+
+
+def test_rows_older_in_several_columns_stay_out(spark, folder, rows_of):
+    held = spark.createDataFrame([(1, 5, 1), (2, 5, None), (3, None, 9)], "k int, t int, u int")
+    sent = spark.createDataFrame([(1, 5, 0), (2, 5, 0), (3, 1, 0), (4, None, None)], "k int, t int, u int")
+    assert rows_of(keyed.not_older(sent, held, ["k"], ["t", "u"]), "k") == [(2,), (3,), (4,)]
+    path = f"{folder}/t"
+    for rows in (held, sent):
+        tables.upsert_partitions(spark, path, rows.withColumn("p", F.lit(0)), ["k"], "p", by=["t", "u"])
+    assert rows_of(tables.read_partitioned(spark, path), "k", "t", "u") == sorted([(1, 5, 1), (2, 5, 0), (3, 1, 0), (4, None, None)], key=repr)
+
+
 def test_key_bucket_depends_on_the_key_alone(spark):
     df = spark.range(100).select(F.col("id").alias("k"), (F.col("id") % 3).alias("x"))
     pairs = df.withColumn("b", tables.key_bucket(["k"], 8))
