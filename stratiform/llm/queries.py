@@ -28,7 +28,7 @@ _WARC_SQL = rf"""
 WITH source AS (SELECT page_id, url, coalesce(html, '') AS payload, {_RESPONSE_SQL} AS refers_to, 'sha256:' || sha256(coalesce(html, '')) AS source_digest FROM pages),
 lines AS (
     SELECT *, {_replaced(_SHOWN_SQL, {**warc.NAMED, "amp": "&"})} AS t,
-           nullif(regexp_extract(payload, '(?is)<title\b[^>]*>(.*?)</title\s*>', 1), '') AS title,
+           nullif(trim(regexp_replace(regexp_extract(payload, '(?is)<title\b[^>]*>(.*?)</title\s*>', 1), '[\x20\x09-\x0D]+', ' ', 'g')), '') AS title,
            nullif(regexp_extract(payload, '(?is)<html\b[^>]*\blang="?([A-Za-z-]+)', 1), '') AS lang,
            len(regexp_extract_all(payload, '(?is)<a\b[^>]*\bhref=')) AS links, chr(13) || chr(10) AS n FROM source),
 ids AS (
@@ -37,7 +37,7 @@ ids AS (
 blocks AS (
     SELECT *, 'source-header: HTTP/1.1 200 OK' || n || 'source-header: Content-Type: text/html; charset=utf-8' || n || 'source-header: Content-Length: ' || strlen(payload)
            || n || 'source-payload-digest: ' || source_digest || n || 'source-payload-length: ' || strlen(payload) || n || 'conversion-record-id: ' || conversion_id
-           || coalesce(n || 'title: ' || regexp_replace(title, '[\x20\x09-\x0D]+', ' ', 'g'), '') || coalesce(n || 'language: ' || lang, '') || n || 'outlinks: ' || links || n AS fields FROM ids),
+           || coalesce(n || 'title: ' || title, '') || coalesce(n || 'language: ' || lang, '') || n || 'outlinks: ' || links || n AS fields FROM ids),
 records AS (
     SELECT page_id, url, 'conversion' AS kind, conversion_id AS record_id, refers_to, source_digest, plain AS block, 'text/plain; charset=utf-8' AS type, NULL AS beside, n FROM blocks
     UNION ALL

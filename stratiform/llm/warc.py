@@ -91,12 +91,12 @@ def derivatives(records: DataFrame) -> DataFrame:
     payload, own = filled("payload"), F.col("record_id")
     conversion = records.select("*", visible_text(payload).alias("plain"), record_id("conversion", own).alias("conversion_id"), record_id("metadata", own).alias("metadata_id"))
     source_lines = F.regexp_replace(F.col("http_headers"), r"(?m)^", "source-header: ")
-    title = F.nullif(F.regexp_extract(payload, r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1), F.lit(""))
+    title = F.regexp_replace(F.regexp_extract(payload, r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1), r"[\x20\x09-\x0D]+", " ")
     fields = _lines(
         ("source-payload-digest", F.col("payload_digest")),
         ("source-payload-length", F.octet_length(payload).cast("string")),
         ("conversion-record-id", F.col("conversion_id")),
-        ("title", F.regexp_replace(title, r"[\x20\x09-\x0D]+", " ")),
+        ("title", F.nullif(F.trim(title), F.lit(""))),
         ("language", F.nullif(F.regexp_extract(payload, r"(?is)<html\b[^>]*\blang=\"?([A-Za-z-]+)", 1), F.lit(""))),
         ("outlinks", F.size(F.regexp_extract_all(payload, F.lit(r"(?is)<a\b[^>]*\bhref="), F.lit(0))).cast("string")),
     )
