@@ -35,6 +35,7 @@ from stratiform.llm.base import filled, stored
 SAMPLE = 20_000  # labelled rows that the classifier is fitted on
 FEATURES = 2_000  # of the classifier
 LEAST_ROWS = 5  # labelled rows that a feature is in
+LIFT = 2  # times the share of toxic rows overall that a feature's rows have at least
 RIDGE, STEP, ROUNDS = 0.03, 1.0, 1500  # of the fit
 
 # The letters that digits and signs are written for.
@@ -220,7 +221,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     n, p = F.col("n").cast("double"), F.col("p").cast("double")
     share = p_all / n_all
     evidence = term(p, n * share) + term(n - p, n * (1 - share)) + term(p_all - p, p_all - n * share) + term(n_all - n - p_all + p, (n_all - n) - (p_all - n * share))
-    kept = counts.where((F.col("feature") != "") & (p > n * share)).orderBy(evidence.desc(), "feature").limit(FEATURES).select("feature")
+    kept = counts.where((F.col("feature") != "") & (p >= LIFT * n * share)).orderBy(evidence.desc(), "feature").limit(FEATURES).select("feature")
     names = [r.feature for r in kept.collect()]
     # the sample's rows by the model's features, both bounded, as numbers
     numbered = found.sparkSession.createDataFrame(list(zip(names, range(len(names)))), "feature string, place int")
