@@ -5,6 +5,8 @@ from datetime import date, datetime, timedelta
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratiform.operators import skew
@@ -194,6 +196,17 @@ def test_lifecycle_and_stage_metrics(spark, rows_of):
     assert rows_of(facts.stage_metrics(life, "stage")) == [("lead", 2, 1, 0.5, 2.0), ("won", 1, 0, 0.0, None)]
 
 
+def test_a_burst_and_rows_without_a_key_are_cut_to_size(spark, rows_of):
+    """One early row, then a burst; NULL keys as many: no slice holds twice the rows of a hot key's share."""
+    ids = spark.range(8000).select(F.col("id"), F.when(F.col("id") % 2 == 0, F.lit(7)).alias("k"))
+    seconds = F.when(F.col("id") < 2, F.lit(0)).otherwise(F.lit(10**9) + F.col("id"))
+    df = ids.withColumn("t", F.timestamp_seconds(seconds)).unionByName(spark.createDataFrame([(9000, 7, None), (9001, None, None)], "id bigint, k int, t timestamp"))
+    sliced = skew.with_slices(df, skew.hot_keys(df, "k", 100), "k", "t", 100)
+    assert sliced.groupBy("k", "_slice").count().agg(F.max("count")).first()[0] <= 200
+    plain = df.withColumn("nxt", F.lead("t").over(Window.partitionBy("k").orderBy("t", "id")))
+    assert rows_of(skew.next_in_key(df, "k", "t", "id", "nxt", 100), "id", "nxt") == rows_of(plain, "id", "nxt")
+
+
 def test_monthly_snapshot_counts_joiners_and_leavers(spark):
     def t(m, d=1):
         return datetime(2024, m, d)
