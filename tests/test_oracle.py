@@ -25,6 +25,11 @@ def test_entry_runs(spark):
     assert entry_module.entry(spark).count() > 0
 
 
+def test_entry_does_without_the_training_data_operators(monkeypatch):
+    monkeypatch.setattr(entry_module.importlib.util, "find_spec", lambda name: None)
+    assert set(entry_module.queries()) == set(QUERIES) and set(entry_module.oracle_sql()) == set(ORACLES)
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
     problems = compare(QUERIES[name](tune(spark), SF_DIR), duck, ORACLES[name])
