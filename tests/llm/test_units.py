@@ -66,6 +66,11 @@ def test_ids_are_those_of_the_other_library(text):
         assert encoding.encode(t, encoding.BYTE_BPE).tolist() == BYTES.encode(t, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("run", [" " * 2_000_000, "\n" * 2_000_000, "a" + " \n" * 1_000_000 + "b<|endoftext|>"])
+def test_long_white_space_is_encoded(run):
+    assert encoding.encode(run, encoding.BYTE_BPE).tolist() == BYTES.encode(run, add_special_tokens=False).ids
+
+
 @settings(max_examples=300, deadline=None)
 @given(TEXT, st.integers(1, 9))
 def test_transducer_counts_and_composes(text, size):
