@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -34,8 +35,8 @@ from stratiform.llm.base import filled, stored
 
 SAMPLE = 20_000  # labelled rows that the classifier is fitted on
 FEATURES = 2_000  # of the classifier
-LEAST_ROWS = 5  # labelled rows that a feature is in
-LIFT = 2  # times the share of toxic rows overall that a feature's rows have at least
+LEAST_ROWS = 5  # labelled rows that a feature is in, and that it would have of the label it speaks against
+ODDS = 2  # times that a feature's odds differ from those of the rows without it, up or down
 RIDGE, STEP, ROUNDS = 0.03, 1.0, 1500  # of the fit
 
 # The letters that digits and signs are written for.
@@ -202,18 +203,29 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(cost)
         for batch in batches:
-            for text_key, value, toxic in zip(*(c.to_pylist() for c in batch.columns)):
-                own = sorted(features(decoder.words(value))) + [""]
-                same = [pa.array([x] * len(own), t) for x, t in ((text_key, pa.int64()), (toxic, pa.int32()))]
-                yield pa.RecordBatch.from_arrays([same[0], pa.array(own), same[1]], ["text_key", "feature", "toxic"])
+            own = [sorted(features(decoder.words(value))) for value in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.list_(pa.string())), batch.column(2)], ["text_key", "features", "toxic"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, positive = Counter(), Counter()
+        for batch in batches:
+            for own, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                seen.update(own)
+                if toxic:
+                    positive.update(own)
+        names = list(seen)
+        for at in range(0, len(names), 10_000):
+            some = names[at : at + 10_000]
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.string()), pa.array([seen[f] for f in some], pa.int64()), pa.array([positive[f] for f in some], pa.int64())], ["feature", "n", "p"])
 
     rows = _sampled(docs, labels, key, text, sample).select("text_key", "text", F.col("toxic").cast("int").alias("toxic"))
-    found = stored(rows.mapInArrow(expand, "text_key bigint, feature string, toxic int"), "toxic-features")
-    counts = found.groupBy("feature").agg(F.count("*").alias("n"), F.sum("toxic").alias("p")).where(f"n >= {LEAST_ROWS} OR feature = ''")
-    everyone = counts.where("feature = ''").first()
-    if everyone is None or everyone.p in (0, everyone.n):
+    found = stored(rows.mapInArrow(expand, "text_key bigint, features array<string>, toxic int"), "toxic-features")
+    everyone = found.agg(F.count("*").alias("n"), F.sum("toxic").alias("p")).first()
+    if not everyone.n or everyone.p in (0, everyone.n):
         return Model(cost, {}, -math.inf)
     n_all, p_all = float(everyone.n), float(everyone.p)
+    partial = found.select("features", "toxic").mapInArrow(count, "feature string, n bigint, p bigint")
+    counts = partial.groupBy("feature").agg(F.sum("n").alias("n"), F.sum("p").alias("p")).where(f"n >= {LEAST_ROWS}")
 
     def term(a, b):
         return F.when(a > 0, a * F.log(a / b)).otherwise(0.0)
@@ -221,15 +233,24 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     n, p = F.col("n").cast("double"), F.col("p").cast("double")
     share = p_all / n_all
     evidence = term(p, n * share) + term(n - p, n * (1 - share)) + term(p_all - p, p_all - n * share) + term(n_all - n - p_all + p, (n_all - n) - (p_all - n * share))
-    kept = counts.where((F.col("feature") != "") & (p >= LIFT * n * share)).orderBy(evidence.desc(), "feature").limit(FEATURES).select("feature")
+    odds = (p + 0.5) * (n_all - n - p_all + p + 0.5) / ((n - p + 0.5) * (p_all - p + 0.5))
+    for_toxic = (odds >= ODDS) & (n * (1 - share) >= LEAST_ROWS)
+    for_clean = (odds <= 1 / ODDS) & (n * share >= LEAST_ROWS)
+    kept = counts.where(for_toxic | for_clean).orderBy(evidence.desc(), "feature").limit(FEATURES).select("feature")
     names = [r.feature for r in kept.collect()]
-    # the sample's rows by the model's features, both bounded, as numbers
-    numbered = found.sparkSession.createDataFrame(list(zip(names, range(len(names)))), "feature string, place int")
-    pairs = found.join(numbered, "feature").select("text_key", "place").toArrow()
-    truth = found.where("feature = ''").select("text_key", "toxic").orderBy("text_key").toArrow()
-    keys = truth.column(0).to_numpy()
-    rows_at = np.searchsorted(keys, pairs.column(0).to_numpy())
-    weights, constant = _logistic(rows_at, pairs.column(1).to_numpy(), truth.column(1).to_numpy().astype(float), len(names))
+    place = {name: at for at, name in enumerate(names)}
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [[place[f] for f in row if f in place] for row in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.list_(pa.int32())), batch.column(2)], ["text_key", "places", "toxic"])
+
+    # a row for each text of the sample with its places among the model's features, both bounded
+    table = found.mapInArrow(numbered, "text_key bigint, places array<int>, toxic int").toArrow().sort_by("text_key").combine_chunks()
+    places = table.column(1).combine_chunks()
+    rows_at = np.repeat(np.arange(len(places)), np.diff(places.offsets.to_numpy()))
+    columns, truth = places.flatten().to_numpy(), table.column(2).to_numpy().astype(float)
+    weights, constant = _logistic(rows_at, columns, truth, len(names))
     return Model(cost, dict(zip(names, weights.tolist())), constant)
 
 

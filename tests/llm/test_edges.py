@@ -147,6 +147,18 @@ def test_toxicity(awkward, labels):
     assert {r.score for r in toxicity.scored(awkward, nothing).collect()} == {0.0}
 
 
+@pytest.mark.parametrize("toxic_of_ten", [1, 3, 5, 7, 9])
+def test_toxicity_learns_at_any_balance(llm, toxic_of_ten):
+    """Words that say one label or the other, with one row in ten of the other kind."""
+    words = {True: "moron", False: "lovely"}
+    rows = [(n, f"the {words[(n % 10 < toxic_of_ten) != (n // 10 % 10 == 9)]} thing of {n}", int(n % 10 < toxic_of_ten)) for n in range(400)]
+    docs = llm.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    model = toxicity.fit(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    assert model.weights["moron$"] > 0 > model.weights["lovely$"]
+    decoder = toxicity.Decoder(model.cost)
+    assert model.score(decoder, "a moron") > 0.5 > model.score(decoder, "a lovely one")
+
+
 def test_mixing(awkward):
     placed = mixing.schedule(awkward, block_chars=50).collect()
     assert Counter((r.row.doc_id, r.row.text) for r in placed) == Counter(TEXTS)
