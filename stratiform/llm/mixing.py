@@ -1,17 +1,20 @@
 """Mixing sources to target weights by proportionate-fair scheduling of blocks.
 
-A source with the share s of a period P gets its block j released at floor(j * P / s) and due at
-ceil((j + 1) * P / s). Of the released blocks, the one due first takes the next slot. With shares
-that add up to P every block runs inside its window, so no source is ever a whole block before
-or behind its target. The windows repeat with every period, so one period is scheduled (its length depends on the
-shares alone, not on the data) and laid out over all blocks by arithmetic.
+A source with the weight w of a total W gets its block j released at floor(j * W / w) and due at
+ceil((j + 1) * W / w), in whole-number arithmetic on the exact weights. Of the released blocks, the
+one due first takes the next slot. Every block runs inside its window, so no source is ever a whole
+block before or behind its target. One task draws the blocks of all sources from two heaps, a step
+for each block of text and a place for each source; neither weights nor sources are rounded or capped.
+
+``shares`` and ``period_table`` are the older form on whole shares of a short period, which the SQL of
+``op9_pfair_mixing`` is defined on; ``schedule(whole_shares=True)`` lays that period out over all blocks.
 
 Blocks are equal masses of text in a fixed random order of the source's rows. All of it is
 DataFrame functions. Defined results:
 
 * a row's mass is its number of characters and one; NULL text counts as empty;
 * a NULL source counts as the source named by the empty text; a source without a target, or with
-  a target of NULL, zero or less, gets the smallest share, 1;
+  a target of NULL, zero, less or no number, gets 1/``LARGEST_SHARE`` of the largest target (whole shares: the smallest, 1);
 * rows of a source are ordered by the MD5 of their key, then that of their text, NULL as empty;
   rows alike in both are alike in their place but for the mass before them;
 * a row longer than a block takes the time of all the blocks that it fills;
@@ -21,6 +24,12 @@ DataFrame functions. Defined results:
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+from fractions import Fraction
+from heapq import heappop, heappush
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +39,7 @@ BLOCK_CHARS = 1 << 16  # of one block
 LARGEST_SHARE = 64  # of the source with the largest target
 LONGEST_PERIOD = 1 << 14  # slots of one period; more sources must be grouped before
 ROWS_A_CHUNK = 4096  # aimed at, for running sums
+TURNS_A_BATCH = 10_000  # blocks that the scheduling task sends on at a time
 
 
 def _mass(text: str) -> Column:
@@ -79,17 +89,60 @@ def period_table(share: DataFrame) -> DataFrame:
     return chosen.withColumn("release", F.expr("j * period DIV share")).withColumn("due", F.expr("((j + 1) * period + share - 1) DIV share"))
 
 
+def turns(sources: list[tuple[str, float | None, int]]) -> Iterator[tuple[str, int, int, int, int]]:
+    """Earliest deadline first over (source, weight, blocks): source, ``block``, ``slot``, ``release``, ``due`` in the order of slots.
+
+    Blocks of a source that has run out are not drawn; if nothing is released, slots stay empty.
+    """
+    good = [Fraction(w) for _, w, _ in sources if w is not None and 0 < w < math.inf]
+    least = max(good, default=Fraction(1)) / LARGEST_SHARE
+    listed = sorted((s, Fraction(w) if w is not None and 0 < w < math.inf else least, n) for s, w, n in sources if n > 0)
+    scale = math.lcm(*(w.denominator for _, w, _ in listed))
+    weights = [int(w * scale) for _, w, _ in listed]
+    total, waiting, ready, slot = sum(weights), [(0, i, 0) for i in range(len(listed))], [], 0
+    while waiting or ready:
+        if not ready:
+            slot = max(slot, waiting[0][0])
+        while waiting and waiting[0][0] <= slot:
+            release, i, j = heappop(waiting)
+            heappush(ready, (-(-(j + 1) * total // weights[i]), i, j, release))
+        due, i, j, release = heappop(ready)
+        yield listed[i][0], j, slot, release, due
+        slot += 1
+        if j + 1 < listed[i][2]:
+            heappush(waiting, ((j + 1) * total // weights[i], i, j + 1))
+
+
+def turn_table(sources: DataFrame) -> DataFrame:
+    """``turns`` of ``source``, ``weight``, ``blocks`` as rows, numbered by ``turn``."""
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        listed = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns))]
+        rows, sent = [], 0
+        for row in turns(listed):
+            rows.append((*row, sent + len(rows)))
+            if len(rows) == TURNS_A_BATCH:
+                yield batch(rows)
+                sent, rows = sent + len(rows), []
+        yield batch(rows)
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*rows)) or [()] * 6
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.string(), *[pa.int64()] * 5])], ["source_name", "block", "slot", "release", "due", "turn"])
+
+    return sources.select("source", "weight", "blocks").repartition(1).mapInArrow(draw, "source_name string, block bigint, slot bigint, release bigint, due bigint, turn bigint")
+
+
 def schedule(
     docs: DataFrame, targets: DataFrame | None = None, key: str = "doc_id", source: str = "source", text: str = "text",
-    block_chars: int = BLOCK_CHARS, columns: list[str] | None = None,
+    block_chars: int = BLOCK_CHARS, columns: list[str] | None = None, whole_shares: bool = False,
 ) -> DataFrame:
-    """All rows as ``row`` (a struct of ``columns``, by default all) with ``source_name``, ``block``, ``slot``, ``release``, ``due`` and ``start``.
+    """All rows as ``row`` (a struct of ``columns``, by default all) with ``source_name``, ``block``, ``slot``, ``release``, ``due``, ``start`` and, but for ``whole_shares``, ``turn``.
 
     Sorted by (``slot``, ``start``) the rows are the mixture; ``start`` is the mass of the source
-    before a row. Running sums go in two steps, chunks of a source and rows of a chunk, so that no
+    before a row, ``turn`` counts the blocks of all sources by slot. Running sums go in two steps, chunks of a source and rows of a chunk, so that no
     source meets in one task, however large it is.
     """
-    period = stored(period_table(stored(shares(docs, tempered(docs, source, text) if targets is None else targets, source), "shares")), "period")
     digits = max(1, -(-max(0, (docs.count() // ROWS_A_CHUNK).bit_length()) // 4))
     place = F.md5(filled(F.col(key).cast("string")))
     rows = docs.select(
@@ -99,7 +152,28 @@ def schedule(
     before = Window.partitionBy("source_name").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     base = sums.select("source_name", "chunk", F.coalesce(F.sum("chunk_mass").over(before), F.lit(0)).alias("base"))
     inside = Window.partitionBy("source_name", "chunk").orderBy("place", "tie").rowsBetween(Window.unboundedPreceding, -1)
-    placed = rows.join(base, ["source_name", "chunk"]).withColumn("start", F.col("base") + F.coalesce(F.sum("mass").over(inside), F.lit(0)))
+    start = F.col("base") + F.coalesce(F.sum("mass").over(inside), F.lit(0))
+    if whole_shares:
+        return _on_whole_shares(docs, targets, source, text, rows.join(base, ["source_name", "chunk"]).withColumn("start", start), block_chars)
+    base = stored(base.join(sums, ["source_name", "chunk"]).select("source_name", "chunk", "base", "chunk_mass"), "chunks")
+    masses = base.groupBy(F.col("source_name").alias("source")).agg(F.sum("chunk_mass").alias("mass"))
+    if targets is None:
+        weighted = masses.withColumn("weight", F.sqrt(F.col("mass").cast("double")))
+    else:
+        known = targets.groupBy(filled("source").alias("source")).agg(F.max(F.col("weight").cast("double")).alias("weight"))
+        weighted = masses.join(known, "source", "left")
+    drawn = stored(turn_table(weighted.withColumn("blocks", F.expr(f"(mass + {block_chars - 1}) DIV {block_chars}"))), "turns")
+    # a chunk knows the slots of its own blocks, so its rows need no shuffle of their own for them
+    own = base.withColumn("block", F.explode(F.expr(f"sequence(base DIV {block_chars}, (base + chunk_mass - 1) DIV {block_chars})")))
+    listed = own.join(drawn, ["source_name", "block"]).groupBy("source_name", "chunk", "base").agg(F.array_sort(F.collect_list(F.struct("block", "slot", "release", "due", "turn"))).alias("own"))
+    placed = rows.join(listed, ["source_name", "chunk"]).withColumn("start", start).withColumn("block", F.expr(f"start DIV {block_chars}"))
+    found = placed.withColumn("at", F.expr(f"own[CAST(block - base DIV {block_chars} AS int)]"))
+    return found.select("row", "source_name", "block", "start", "at.slot", "at.release", "at.due", "at.turn")
+
+
+def _on_whole_shares(docs: DataFrame, targets: DataFrame | None, source: str, text: str, placed: DataFrame, block_chars: int) -> DataFrame:
+    """``placed`` rows by the period of whole shares, laid out by arithmetic."""
+    period = stored(period_table(stored(shares(docs, tempered(docs, source, text) if targets is None else targets, source), "shares")), "period")
     blocks = placed.withColumn("block", F.expr(f"start DIV {block_chars}"))
     by_source = period.groupBy("source", "share", "period").agg(F.map_from_entries(F.collect_list(F.struct("j", "slot"))).alias("slots"))
     joined = blocks.join(by_source, blocks.source_name == by_source.source)

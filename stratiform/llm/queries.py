@@ -195,8 +195,8 @@ FROM blocks b JOIN shares USING (source) JOIN period ON period.source = b.source
 
 @query("op9_pfair_mixing", "documents", sql=_MIX_SQL)
 def pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with its block and slot in the mixture of sources, targets by the root of their size."""
-    placed = mixing.schedule(table(spark, sf_dir, "documents"), columns=["doc_id"])
+    """Every document with its block and slot in the mixture of sources, targets by the root of their size, as whole shares like its SQL."""
+    placed = mixing.schedule(table(spark, sf_dir, "documents"), columns=["doc_id"], whole_shares=True)
     return placed.select("row.doc_id", F.col("source_name").alias("source"), "block", "start", "slot", "release", "due")
 
 

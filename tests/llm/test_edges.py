@@ -185,6 +185,27 @@ def test_mixing_meets_its_targets_in_every_prefix(llm):
             break
 
 
+def test_mixing_keeps_targets_that_no_share_divides(llm):
+    """Weights as they are: a hot source, one of 1.99/64 of it, a tiny one, and more sources than a period of whole shares has slots."""
+    weights = {"hot": 1.0, "odd": 1.99 / 64, "tiny": 1e-5, **{f"s{n}": 2e-3 for n in range(1000)}}
+    total = sum(weights.values())
+    had, last = Counter(), -1
+    for source, block, slot, release, due in mixing.turns([(s, w, 2000) for s, w in weights.items()]):
+        assert slot == last + 1 and release <= slot < due and block == had[source]
+        had[source] += 1
+        last = slot
+        if slot % 500 == 0:
+            assert all(abs(had[s] - (slot + 1) * w / total) < 1 + 1e-9 for s, w in weights.items())
+        if slot == 5000:
+            break
+    many = list(mixing.turns([(f"s{n}", 1.0, 1) for n in range(mixing.LONGEST_PERIOD + 1)]))
+    assert [t[2] for t in many] == list(range(mixing.LONGEST_PERIOD + 1))
+    docs = llm.range(2000).selectExpr("id AS doc_id", "IF(id % 2 = 0, 'a', 'b') AS source", "repeat('x', 9) AS text")
+    targets = llm.createDataFrame([("a", 1.0), ("b", 1.99 / 64)], "source string, weight double")
+    rows = mixing.schedule(docs, targets, block_chars=10).where("slot < 640").collect()
+    assert abs(sum(r.source_name == "b" for r in rows) - 640 * 1.99 / 65.99) < 1
+
+
 def test_training_order(awkward, folder):
     manifest = order.materialise(awkward, f"{folder}/order", length=64, shard=100).collect()
     lengths = Counter()
