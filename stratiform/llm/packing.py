@@ -8,7 +8,7 @@ repetitions. Spark then numbers the pieces of each length and looks up their pla
 the same that packing piece by piece over the whole corpus would give.
 
 Defined results: NULL text is an empty document, which is its end token alone; repeated rows are
-documents of their own; pieces longer than a sequence do not exist, since longer documents are cut
+documents of their own; sequences of a mixture follow its order, within a stretch by the mean place of their pieces; pieces longer than a sequence do not exist, since longer documents are cut
 into whole sequences with the shorter piece first; an empty table gives no pieces; other input columns do not matter, whatever
 their names.
 """
@@ -24,20 +24,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratiform.llm import mixing
 from stratiform.llm.base import filled, partitions, stored
 from stratiform.llm.encoding import BYTE_BPE, encode
 
 LENGTH = 2048  # tokens of a sequence
 END = 0  # the id after each document
+STRETCH = 64  # blocks of a mixture that are packed together
 
 
-def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, vocabulary: str = BYTE_BPE, end: int = END, with_ids: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, vocabulary: str = BYTE_BPE, end: int = END, with_ids: bool = False, along: tuple[str, ...] = ()) -> DataFrame:
     """Pieces of all documents: key, ``piece``, ``start``, ``length``, ``ids_crc32`` and, if asked for, ``ids``.
 
-    ``ids`` are little-endian unsigned 32-bit numbers.
+    Columns named ``along`` come after them. ``ids`` are little-endian unsigned 32-bit numbers.
     """
     key_type = docs.schema[key].dataType.simpleString()
-    schema = f"`{key}` {key_type}, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids binary" * with_ids
+    schema = f"`{key}` {key_type}, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids binary" * with_ids + "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in along)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -59,9 +61,10 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int
             types = {"piece": pa.int32(), "ids": pa.binary()}
             names = ["piece", "start", "length", "ids_crc32", *["ids"] * with_ids]
             made = [pa.array(out[n], types.get(n, pa.int64())) for n in names]
-            yield pa.RecordBatch.from_arrays([keys.take(pa.array(rows, pa.int64())), *made], [key, *names])
+            at = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([keys.take(at), *made, *(c.take(at) for c in batch.columns[2:])], [key, *names, *along])
 
-    return docs.select(key, filled(text).alias("text")).mapInArrow(cut, schema)
+    return docs.select(key, filled(text).alias("text"), *along).mapInArrow(cut, schema)
 
 
 def best_two_fit(counts: np.ndarray, length: int) -> list[tuple[dict[int, int], int]]:
@@ -124,6 +127,17 @@ def places(bins: list[tuple[dict[int, int], int]], length: int) -> dict[int, np.
     return {size: np.array(rows, np.int64) for size, rows in found.items()}
 
 
+def looked_up(plan: dict[int, np.ndarray], sizes: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """Sequence and offset of pieces by their length and their number within it."""
+    out = np.zeros((2, len(sizes)), np.int64)
+    for size in np.unique(sizes):
+        rows = sizes == size
+        first, sequence, each, offset = plan[int(size)][np.searchsorted(plan[int(size)][:, 0], number[rows], side="right") - 1].T
+        since = number[rows] - first
+        out[:, rows] = sequence + since // each, offset + since % each * size
+    return out
+
+
 def numbered(rows: DataFrame, by: str) -> DataFrame:
     """``rows`` with ``number``, from 0 without gaps within each value of ``by``.
 
@@ -152,12 +166,7 @@ def pack(cut: DataFrame, length: int = LENGTH) -> DataFrame:
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, number = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("length", "number"))
-            out = np.zeros((2, len(sizes)), np.int64)
-            for size in np.unique(sizes):
-                rows = sizes == size
-                first, sequence, each, offset = plan[int(size)][np.searchsorted(plan[int(size)][:, 0], number[rows], side="right") - 1].T
-                since = number[rows] - first
-                out[:, rows] = sequence + since // each, offset + since % each * size
+            out = looked_up(plan, sizes, number)
             kept = batch.drop_columns(["number"])
             yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(out[0]), pa.array(out[1])], [*kept.schema.names, "sequence_id", "offset"])
 
@@ -170,6 +179,43 @@ def packed(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int
     return pack(stored(pieces(docs, key, text, length, vocabulary, end, with_ids), "pieces"), length)
 
 
+def laid_out(table: pa.Table, length: int) -> pa.Table:
+    """Pieces of one stretch with ``sequence_id`` (from 0) and ``offset``, sequences in the order of the mixture."""
+    table = table.sort_by([(c, "ascending") for c in ("turn", "before", "ids_crc32", "piece")])
+    sizes = table.column("length").to_numpy()
+    by_size = np.argsort(sizes, kind="stable")
+    counts = np.bincount(sizes, minlength=length + 1)
+    number = np.empty(len(sizes), np.int64)
+    number[by_size] = np.arange(len(sizes)) - (np.cumsum(counts) - counts)[sizes[by_size]]
+    sequence, offset = looked_up(places(best_two_fit(counts, length), length), sizes, number)
+    middle = np.bincount(sequence, np.arange(len(sizes)) * sizes) / np.bincount(sequence, sizes)
+    rank = np.empty(len(middle), np.int64)
+    rank[np.argsort(middle, kind="stable")] = np.arange(len(middle))
+    return table.append_column("sequence_id", pa.array(rank[sequence])).append_column("offset", pa.array(offset))
+
+
+def packed_mixture(
+    docs: DataFrame, targets: DataFrame | None = None, key: str = "doc_id", source: str = "source", text: str = "text", length: int = LENGTH,
+    vocabulary: str = BYTE_BPE, end: int = END, block_chars: int = mixing.BLOCK_CHARS, stretch: int = STRETCH,
+) -> DataFrame:
+    """All documents cut and packed so that ``sequence_id`` follows the mixture of their sources.
+
+    Places in the mixture come from its schedule, since files keep no order once they are read. Each
+    ``stretch`` of blocks is packed by itself in one task, from its lengths alone, and stretches follow each other.
+    """
+    placed = mixing.schedule(docs, targets, key, source, text, block_chars, columns=[key, text])
+    placed = placed.select(F.col(f"row.`{key}`").alias(key), F.col(f"row.`{text}`").alias(text), "turn", F.col("start").alias("before"))
+    cut = pieces(placed, key, text, length, vocabulary, end, along=("turn", "before")).withColumn("stretch", F.expr(f"turn DIV {stretch}"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema) + ", sequence_id bigint, offset bigint"
+    laid = stored(cut.groupBy("stretch").applyInArrow(lambda table: laid_out(table, length), schema), "stretches")
+    counts = laid.groupBy("stretch").agg((F.max("sequence_id") + 1).alias("n"))
+    # as many rows as there are stretches
+    earlier = Window.partitionBy(F.lit(0)).orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    first = counts.select("stretch", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first"))
+    kept = [c for c in cut.columns if c not in ("turn", "before", "stretch")]
+    return laid.join(first, "stretch").select(*kept, (F.col("first") + F.col("sequence_id")).alias("sequence_id"), "offset")
+
+
 def sequences(placed: DataFrame) -> DataFrame:
     """Whole sequences from placed pieces with ``ids``: ``sequence_id``, ``length``, ``ids``.
 

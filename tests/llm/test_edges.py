@@ -94,6 +94,30 @@ def test_packing(awkward):
     assert all(len(s.ids) == 4 * s.length <= 4 * 2048 for s in whole.values())
 
 
+def test_packed_sequences_follow_the_mixture(llm, tmp_path):
+    """Nine tenths of the text in one source: the target is 3 to 1, and sequences of any prefix have that until the small source runs out."""
+    texts = [(n, "big" if n % 10 else "small", " ".join(f"w{n * 31 % 977}x{i * n % 89}" for i in range(200 + n * 37 % 500))) for n in range(1500)]
+    llm.createDataFrame(texts, "doc_id bigint, source string, text string").write.parquet(f"{tmp_path}/docs")
+    docs = llm.read.parquet(f"{tmp_path}/docs")
+    small = {n for n, s, _ in texts if s == "small"}
+    stages = dict(corpus_pipeline.STAGES)
+    whole = stages["packing"](llm, stages["mixing"](llm, docs, ""), "")
+    for placed in (whole, packing.packed_mixture(docs, block_chars=10_000, stretch=8)):
+        rows = placed.collect()
+        by_sequence = defaultdict(list)
+        for r in rows:
+            by_sequence[r.sequence_id].append(r)
+        assert sum(r.length for r in rows) == sum(len(encode(t, BYTE_BPE)) + 1 for *_, t in texts)
+        assert sorted(by_sequence) == list(range(len(by_sequence)))
+        for own in by_sequence.values():
+            own.sort(key=lambda r: r.offset)
+            assert [r.offset for r in own] == [sum(x.length for x in own[:n]) for n in range(len(own))] and sum(r.length for r in own) <= 2048
+        for part in (0.15, 0.25, 0.35):
+            prefix = [r for r in rows if r.sequence_id < part * len(by_sequence)]
+            share = sum(r.length for r in prefix if r.doc_id in small) / sum(r.length for r in prefix)
+            assert abs(share - 0.25) < 0.06
+
+
 def test_substrings(awkward):
     rows = substrings.cleaned(awkward, window=35).collect()
     assert len(rows) == len(TEXTS)
