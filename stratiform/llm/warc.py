@@ -2,24 +2,33 @@
 
 Both derived records name the response they come from (``WARC-Refers-To``) and keep its target and
 date. The conversion is the visible text. The metadata record carries the response's own
-headers and digests and points at the conversion (``WARC-Concurrent-To``). All of it is DataFrame
-functions on single rows: nothing is shuffled, and a lost task is simply run again.
+headers and digests and points at the conversion (``WARC-Concurrent-To``). All of it works
+on single rows, character references in Arrow batches and the rest as DataFrame functions: nothing is shuffled,
+and a lost task is simply run again.
 
 Defined results: a NULL payload is empty and gives an empty conversion; NULL targets, dates and headers leave their lines
 out; record ids are made from the source's id, so the same response always gets the same derivatives and repeated rows
-give repeated records; broken markup stays as text where no tag can be read; an empty table gives no records.
+give repeated records; broken markup stays as text where no tag can be read; every name of HTML5 is decoded once, a number of no character is U+FFFD, and
+&nbsp; is a space; the metadata's title stays as written, as in the SQL; an empty table gives no records.
 """
 
 from __future__ import annotations
 
+import html as markup
+import re
+from collections.abc import Iterator
+from functools import lru_cache
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from stratiform.llm.base import filled
 
 CRLF = "\r\n"
 
-# Elements that begin a new line, and named characters.
+# Elements that begin a new line, and the named characters that the SQL knows.
 BLOCK_ELEMENTS = "address article aside blockquote body br dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol option p pre section table tbody td tfoot th thead title tr ul"
 NAMED = {
     "nbsp": " ", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "copy": "©", "reg": "®", "trade": "™", "middot": "·", "bull": "•",
@@ -42,28 +51,39 @@ def sha256(text: Column) -> Column:
     return F.concat(F.lit("sha256:"), F.sha2(text, 256))
 
 
-def _numbered(text: Column) -> Column:
-    """Characters written as decimal or hexadecimal numbers; numbers of no character become U+FFFD."""
+# Not "&" and any name: what may follow a name without a semicolon is up to html.unescape.
+_REFERENCE = re.compile(r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[a-zA-Z][a-zA-Z0-9]{0,31};?)")
+
+
+@lru_cache(maxsize=100_000)
+def character(reference: str) -> str:
+    """What a character reference stands for."""
+    if reference[1] != "#":
+        return " " if reference == "&nbsp;" else markup.unescape(reference)
+    hexed = reference[2] in "xX"
+    digits = reference[2 + hexed :].rstrip(";").lstrip("0")
+    code = int(digits or "0", 16 if hexed else 10) if len(digits) <= 7 else 0
+    if 0x80 <= code <= 0x9F:  # as HTML5 has it
+        return bytes([code]).decode("cp1252", "ignore") or chr(code)
+    return chr(code) if 1 <= code <= 0xD7FF or 0xE000 <= code <= 0x10FFFF else "\ufffd"
+
+
+def unescaped(text: str | None) -> str | None:
+    """The text with all character references decoded once."""
+    return _REFERENCE.sub(lambda m: character(m[0]), text) if text and "&" in text else text
 
-    def spelled(acc: Column, found: Column) -> Column:
-        hexed = F.lower(F.substring(found, 3, 1)) == "x"
-        digits = F.regexp_replace(found, "[&#xX;]", "")
-        code = F.when(hexed, F.conv(digits, 16, 10)).otherwise(digits).cast("long")
-        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-        point = F.when(valid, code).otherwise(F.lit(0xFFFD))
-        return F.replace(acc, found, F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32"))
 
-    found = F.array_distinct(F.regexp_extract_all(text, F.lit("&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"), F.lit(0)))
-    return F.aggregate(found, text, spelled)
+@F.arrow_udf(StringType())
+def _unescaped(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for batch in batches:
+        yield pa.array([unescaped(t) for t in batch.to_pylist()], pa.string())
 
 
 def visible_text(html: Column) -> Column:
     """The text of a page: a line for each block, runs of white space as one space, no empty lines."""
     text = F.regexp_replace(F.regexp_replace(html, HIDDEN, " "), r"[\x20\x09-\x0D]+", " ")
     text = F.regexp_replace(F.regexp_replace(text, BLOCK, "\n"), TAG, "")
-    for name, character in NAMED.items():
-        text = F.replace(text, F.lit(f"&{name};"), F.lit(character))
-    text = F.replace(_numbered(text), F.lit("&amp;"), F.lit("&"))
+    text = _unescaped(text)
     text = F.regexp_replace(text, r" *\n[ \n]*", "\n")
     return F.regexp_replace(F.regexp_replace(text, " +", " "), r"^[ \n]+|[ \n]+$", "")
 

@@ -286,6 +286,16 @@ def test_warc(llm, folder):
     assert Counter(read) == Counter((r.record_id, r.block) for r in rows)
 
 
+def test_warc_decodes_every_character_reference(llm):
+    html = "<p>caf&eacute; &uuml;&szlig;&ntilde;&shy;&times; &#x0001F600; &#0000000233; &amp;eacute; &#38;#233; &NotEqualTilde; a&b &nosuch; &#99999999999; &eacute &#128;</p>"
+    rows = warc.derivatives(warc.responses(llm.createDataFrame([(1, "u", html)], "page_id bigint, url string, html string"))).where("kind = 'conversion'").collect()
+    assert rows[0].block == "café üßñ\u00ad× \U0001f600 é &eacute; &#233; ≂̸ a&b &nosuch; \ufffd é €"
+    assert rows[0].block_digest == "sha256:" + hashlib.sha256(rows[0].block.encode()).hexdigest()
+    import html as markup
+
+    assert all(warc.unescaped(f"&{name}") == value for name, value in markup.entities.html5.items() if name != "nbsp;")
+
+
 def test_empty_tables(llm, empty, labels, folder):
     assert exact.unique(empty).count() == 0
     assert minhash.near_duplicates(empty).count() == minhash.deduplicated(empty).count() == 0
