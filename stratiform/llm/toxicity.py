@@ -3,7 +3,8 @@
 A word as written may hide the word as meant: digits and signs for letters, letters set apart by
 spaces or signs, letters drawn out. Each such word opens a lattice of letters for each character,
 with a cost for every change, and Viterbi finds the letters that are likeliest under a trigram model
-of characters counted over all texts. Words that no change applies to have one path
+of characters counted over all texts. Of letters set apart, each gap may be dropped or stay as a word border, so
+the same search finds the words. Words that no change applies to have one path
 and stay as they are. A text is then the set of its restored words and word beginnings, scored by a logistic
 model fitted to labelled rows.
 
@@ -45,6 +46,7 @@ MEANT = {
     "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "€": "e", "£": "l", "¡": "i",
 }
 CHANGED, DROPPED, DRAWN_OUT, KEPT_SIGN = 0.7, 0.5, 0.2, 1.5  # costs of the channel, as -log p
+BORDER, WIDE_DROPPED = 0.5, 2.0  # of a gap between letters set apart that stays, of a wider one that does not
 
 EDGE, OTHER, DIGIT, CLASSES = 0, 27, 28, 29  # classes of characters; letters are 1 to 26
 _BYTE_CLASS = np.full(256, EDGE, np.int64)
@@ -55,8 +57,9 @@ _BYTE_CLASS[0xC0:] = OTHER
 
 _SIGNS = re.escape("".join(c for c in MEANT if not c.isdigit()))
 _TOKEN = re.compile(r"\S+")
-_TAIL = re.compile(r"([^\w\s])\1+$")  # a sign repeated at the end is ornament
-_SPACED = re.compile(rf"(?<!\S)(?:[\w{_SIGNS}][ .\-_*]+){{2,}}[\w{_SIGNS}](?!\S)")
+_GAP = re.compile(r"[ .\-_*]+")
+_TAIL = re.compile(r"([^\w\s$@€£])\1+$")  # a sign repeated at the end is ornament, but for those written for letters only
+_SPACED = re.compile(rf"(?<!\S)(?:[\w{_SIGNS}][ .\-_*]+){{2,}}[\w{_SIGNS}](?=[^\w\s]*(?!\S))")
 _HIDDEN = re.compile(rf"[^\W\d_][\d{_SIGNS}.\-_*]+[^\W\d_]|(?:^|\W)[\d{_SIGNS}]+[^\W\d_]|[^\W\d_][\d{_SIGNS}]+(?:$|\W)|([^\W\d_])\1\1")
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -103,29 +106,48 @@ def _arcs(word: str) -> list[list[tuple[str, float]]]:
             if word[max(0, n - 2) : n + 1].count(c) > 1 and n and word[n - 1] == c and (word[n - 2 : n - 1] == c or word[n + 1 : n + 2] == c):
                 arcs.append(("", DRAWN_OUT))
         elif c in MEANT:
-            arcs = [(x, CHANGED) for x in MEANT[c]] + [(c, KEPT_SIGN)] + ([] if c.isdigit() else [("", DROPPED)])
+            repeated = c in "$@€£" and c in (word[n - 1 : n], word[n + 1 : n + 2])
+            arcs = [(x, CHANGED) for x in MEANT[c]] + [(c, KEPT_SIGN)] + ([] if c.isdigit() else [("", 2 * KEPT_SIGN if repeated else DROPPED)])
         else:
             arcs = [(c, KEPT_SIGN), ("", DROPPED)]
         out.append(arcs)
     return out
 
 
-def restored(word: str, cost: np.ndarray) -> str:
-    """The likeliest letters behind a word as written."""
-    best = {(EDGE, EDGE): (0.0, "")}
-    for arcs in _arcs(word):
-        step: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (total, letters) in best.items():
+def _spaced_arcs(written: str) -> list[list[tuple[str, float]]]:
+    """The lattice of letters set apart: gaps are dropped or stay as borders."""
+    letters = iter(_arcs(_GAP.sub("", written)))
+    parts = re.findall(rf"{_GAP.pattern}|.", written)
+    return [next(letters) if not _GAP.fullmatch(x) else [("", 0.0 if len(x) == 1 else WIDE_DROPPED), (" ", BORDER if len(x) == 1 else 0.0)] for x in parts]
+
+
+def likeliest(lattice: list[list[tuple[str, float]]], cost: np.ndarray) -> str:
+    """The likeliest letters of a lattice of any length; paths are linked back, not copied."""
+    best: dict[tuple[int, int], tuple[float, tuple | None]] = {(EDGE, EDGE): (0.0, None)}
+    for arcs in lattice:
+        step: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+        for (a, b), (total, path) in best.items():
             for letter, price in arcs:
                 if letter:
                     c = char_class(letter)
-                    to, paid, made = (b, c), total + price + cost[a, b, c], letters + letter
+                    to, paid, made = (b, c), total + price + cost[a, b, c], (letter, path)
                 else:
-                    to, paid, made = (a, b), total + price, letters
-                if to not in step or (paid, made) < step[to]:
+                    to, paid, made = (a, b), total + price, path
+                if to not in step or paid < step[to][0]:
                     step[to] = (paid, made)
         best = step
-    return min((total + cost[a, b, EDGE], letters) for (a, b), (total, letters) in best.items())[1]
+    path = min(((total + cost[a, b, EDGE], (a, b)) for (a, b), (total, _) in best.items()))[1]
+    letters, at = [], best[path][1]
+    while at is not None:
+        letter, before = at
+        letters.append(letter)
+        at = before
+    return "".join(reversed(letters))
+
+
+def restored(word: str, cost: np.ndarray) -> str:
+    """The likeliest letters behind a word as written."""
+    return likeliest(_arcs(word), cost)
 
 
 @dataclass
@@ -134,9 +156,11 @@ class Decoder:
 
     cost: np.ndarray
     seen: dict[str, str] = field(default_factory=dict)
-    longest: int = 64  # characters of a word that may hide one; longer ones are data
+    longest: int = 64  # characters of a word that is remembered
 
     def word(self, word: str) -> str:
+        if len(word) > self.longest:
+            return restored(word, self.cost)
         if word not in self.seen:
             if len(self.seen) > 200_000:
                 self.seen.clear()
@@ -144,14 +168,13 @@ class Decoder:
         return self.seen[word]
 
     def spaced(self, written: str) -> str:
-        """Letters that were set apart, put together and restored."""
-        letters = re.sub(r"[ .\-_*]+", "", written)
-        return " ".join(self.word(letters[at : at + self.longest]) for at in range(0, len(letters), self.longest))
+        """Letters that were set apart, put together into words and restored."""
+        return likeliest(_spaced_arcs(written), self.cost)
 
     def token(self, token: str) -> str:
         """A token restored if it may hide a word, else as it is."""
         token = _TAIL.sub("", token)
-        return self.word(token) if len(token) <= self.longest and _HIDDEN.search(token) else token
+        return self.word(token) if _HIDDEN.search(token) else token
 
     def text(self, text: str) -> str:
         """The whole text, lower-cased and restored."""

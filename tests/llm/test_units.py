@@ -148,6 +148,20 @@ def test_obfuscated_words_are_restored():
     assert decoder.text("") == "" and decoder.words(" \n") == set()
 
 
+def test_borders_and_signs_of_any_length_are_decoded():
+    texts = ["the idiot and a moron are stupid, you are a dumbass and an ass, you suck", "a moron is a moron, a clown and a pathetic loser, an ass said you idiot"] * 50
+    counts = np.full((toxicity.CLASSES,) * 3, 0.1)
+    counts += toxicity.trigrams(texts).reshape(counts.shape)
+    decoder = toxicity.Decoder(-np.log(counts / counts.sum(axis=2, keepdims=True)))
+    for written, meant in (
+        ("you are a m o r o n", "you are a moron"), ("i d i o t s u c k", "idiot suck"), ("y o u i d i o t", "you idiot"),
+        ("i d i o t!", "idiot"), ("i d i o t.", "idiot."), ("i d i o t,", "idiot,"), ("a$$", "ass"), ("dumba$$", "dumbass"), ("st" + "u" * 90 + "pid", "stupid"),
+    ):
+        assert decoder.text(written).rstrip("!") == meant
+        assert set(meant.rstrip(".,").split()) <= decoder.words(written)
+    assert decoder.text("i d i o t  " * 5000).split() == ["idiot"] * 5000
+
+
 def test_period_keeps_every_source_within_a_block(llm):
     share = llm.createDataFrame([("a", 7), ("b", 1), ("c", 3), ("d", 1)], "source string, share bigint")
     rows = mixing.period_table(share).orderBy("slot").collect()
