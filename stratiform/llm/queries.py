@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.llm import exact, minhash, mixing, order, packing, substrings, syncmers, tokencount, toxicity, warc
+from stratiform.llm import exact, fim, minhash, mixing, order, packing, substrings, syncmers, tokencount, toxicity, warc
 from stratiform.llm.base import query, table
 from stratiform.session import scratch_dir
 
@@ -205,3 +205,27 @@ def transducer_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every text by the compiled transducer."""
     counted = tokencount.token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return counted.select("row.doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
+
+
+_MIDDLE_SQL = r"""
+WITH units AS (
+    SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u, sha256('7:' || coalesce(CAST(doc_id AS varchar), '')) AS h FROM documents),
+drawn AS (
+    SELECT *, len(u) AS n, CAST('0x' || h[1:8] AS bigint) AS h1, CAST('0x' || h[9:16] AS bigint) AS h2,
+           CAST('0x' || h[17:24] AS bigint) AS h3, CAST('0x' || h[25:32] AS bigint) AS h4 FROM units),
+cuts AS (
+    SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+           CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+                WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+parts AS (SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:n], '') AS s FROM cuts)
+SELECT doc_id, CAST(n AS bigint) AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts"""
+
+
+@query("op13_piece_table_middle", "documents", sql=_MIDDLE_SQL)
+def piece_table_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut at two lines and rearranged, with the hash of the output and of the document restored from it."""
+    found = fim.transformed(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("row.doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
