@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.llm import exact, fim, minhash, mixing, order, packing, substrings, syncmers, tokencount, toxicity, warc
+from stratiform.llm import exact, fim, gnat, minhash, mixing, order, packing, substrings, syncmers, tokencount, toxicity, warc
 from stratiform.llm.base import query, table
 from stratiform.session import scratch_dir
 
@@ -207,6 +207,46 @@ def transducer_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("row.doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
 
 
+def _assigned_sql(book: str) -> str:
+    return f"""(
+    SELECT r, p, any_value(q) AS q, arg_min(e, d * 1000 + e) AS e, min(d) AS d
+    FROM (SELECT r, parts.p, q, e, CAST(list_sum(list_transform(list_zip(q, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS bigint) AS d
+          FROM parts JOIN {book} b ON b.p = parts.p)
+    GROUP BY r, p)"""
+
+
+def _moved_sql(book: str, assigned: str) -> str:
+    return f"""(
+    SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM {book} b LEFT JOIN (
+        SELECT p, e, list(CAST((t - (t % n + n) % n) // n AS bigint) ORDER BY k) AS c
+        FROM (SELECT p, e, k, CAST(sum(q[k]) AS bigint) AS t, count(*) AS n FROM {assigned} a, unnest(range(1, len(q) + 1)) u(k) GROUP BY p, e, k)
+        GROUP BY p, e) m USING (p, e))"""
+
+
+_CODES_SQL = f"""
+WITH kept AS MATERIALIZED (
+    SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) - 1 AS r, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS double)) AS bigint)) AS v
+    FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (SELECT r, p, v[p * (len(v) // 16) + 1:(p + 1) * (len(v) // 16)] AS q FROM kept, unnest(range(0, 16)) u(p)),
+book0 AS MATERIALIZED (SELECT p, r AS e, q AS c FROM parts WHERE r < 64),
+near0 AS MATERIALIZED {_assigned_sql("book0")},
+book1 AS MATERIALIZED {_moved_sql("book0", "near0")},
+near1 AS MATERIALIZED {_assigned_sql("book1")},
+book2 AS MATERIALIZED {_moved_sql("book1", "near1")},
+near2 AS MATERIALIZED {_assigned_sql("book2")},
+codes AS (SELECT r, string_agg(lower(lpad(printf('%x', e), 2, '0')), '' ORDER BY p) AS code, CAST(sum(d) AS bigint) AS error FROM near2 GROUP BY r),
+books AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book2)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS bigint) AS label_error, codebooks_sha256 FROM kept JOIN codes USING (r), books"""
+
+
+@query("op12_gnat_vector_codes", "embeddings", sql=_CODES_SQL)
+def gnat_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The code of every usable vector, its error, that of its label, and the hash of the trained codebooks."""
+    codes, books = gnat.quantised(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    found = gnat.by_label(codes, "label")
+    return found.select("row.vec_id", "code", "error", "label_error", F.lit(books.digest() if books else "").alias("codebooks_sha256"))
+
+
 _MIDDLE_SQL = r"""
 WITH units AS (
     SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u, sha256('7:' || coalesce(CAST(doc_id AS varchar), '')) AS h FROM documents),
