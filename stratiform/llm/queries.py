@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.llm import exact, fim, gnat, minhash, mixing, order, packing, substrings, syncmers, tokencount, toxicity, warc
+from stratiform.llm import exact, fim, gnat, licenses, minhash, mixing, order, packing, substrings, syncmers, tokencount, toxicity, warc
 from stratiform.llm.base import query, table
 from stratiform.session import scratch_dir
 
@@ -207,6 +207,21 @@ def transducer_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("row.doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
 
 
+@query("op11_rare_word_licenses", "documents")
+def rare_word_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of every text: places of the base phrases, all labels, and the share of the best verified template."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licenses.scanned(docs, licenses.index(docs)).withColumn("own", F.filter("places", lambda p: p["base"]))
+
+    def listed(places: str) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(places, lambda p: p["label"]))), ",")
+
+    return found.select(
+        "row.doc_id", "n_words", F.size("own").cast("long").alias("n_base"), F.array_min("own.start").alias("first_word"), F.array_max("own.start").alias("last_word"),
+        listed("own").alias("base_labels"), listed("places").alias("labels"), F.coalesce(F.array_max("places.share"), F.lit(0.0)).alias("score"),
+    )
+
+
 def _assigned_sql(book: str) -> str:
     return f"""(
     SELECT r, p, any_value(q) AS q, arg_min(e, d * 1000 + e) AS e, min(d) AS d
