@@ -28,7 +28,7 @@ def docs():
 def test_all_are_registered():
     known = entry_module.queries()
     assert set(QUERIES) | {"pipeline"} <= set(known)
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
