@@ -1,45 +1,44 @@
 """Mixing sources to target weights by proportionate-fair scheduling of blocks.
 
 A source with the weight w of a total W gets its block j released at floor(j * W / w) and due at
-ceil((j + 1) * W / w), in whole-number arithmetic on the exact weights. Of the released blocks, the
-one due first takes the next slot. Every block runs inside its window, so no source is ever a whole
-block before or behind its target. One task draws the blocks of all sources from two heaps, a step
-for each block of text and a place for each source; neither weights nor sources are rounded or capped.
-
-``shares`` and ``period_table`` are the older form on whole shares of a short period, which the SQL of
-``op9_pfair_mixing`` is defined on; ``schedule(whole_shares=True)`` lays that period out over all blocks.
+ceil((j + 1) * W / w), in whole numbers: weights are read to 2**-40 of the largest. Of the released blocks, the
+one due first takes the next slot, then the one whose source comes first by name. Every block runs inside its window, so no source is ever a whole
+block before or behind its target. There is no period, and neither shares nor sources are capped.
+
+Time is cut into ranges that are scheduled apart from each other, since the state at a border
+follows from the releases alone. With J(u) blocks released before u, h(u) = J(u) - u and m(t) the least h up to t,
+h(t) - m(t) blocks are waiting at t. They are among the blocks whose window spans the border, one
+of each source at most. Of those released by r, no more than the least h between r and t, less m(t), can be waiting, and
+earliest deadline first leaves the latest deadlines waiting that these bounds allow. A range then takes what waits
+and what it releases, by deadline, each into its first free slot. The result is that of one queue
+over all of time. A range has as many blocks as slots and sources, so no task grows with the data.
 
 Blocks are equal masses of text in a fixed random order of the source's rows. All of it is
 DataFrame functions. Defined results:
 
 * a row's mass is its number of characters and one; NULL text counts as empty;
 * a NULL source counts as the source named by the empty text; a source without a target, or with
-  a target of NULL, zero, less or no number, gets 1/``LARGEST_SHARE`` of the largest target (whole shares: the smallest, 1);
+  a target of NULL, zero, less or no number, gets 1/64 of the largest target;
 * rows of a source are ordered by the MD5 of their key, then that of their text, NULL as empty;
   rows alike in both are alike in their place but for the mass before them;
 * a row longer than a block takes the time of all the blocks that it fills;
-* no row is dropped: slots of a source that has run out stay empty, the others keep their order;
-* an empty table gives an empty result.
+* no row is dropped: slots of a source that has run out stay empty if nothing else is released;
+* an empty table gives an empty result; other input columns ride along whatever their names.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-from fractions import Fraction
-from heapq import heappop, heappush
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratiform.llm.base import filled, stored
 
 BLOCK_CHARS = 1 << 16  # of one block
-LARGEST_SHARE = 64  # of the source with the largest target
-LONGEST_PERIOD = 1 << 14  # slots of one period; more sources must be grouped before
+UNKNOWN = 64  # a source without a target gets this part of the largest
+UNITS = 1 << 40  # the largest weight as a whole number
+RANGE_SLOTS = 1 << 12  # slots of a range, if there are not more sources
+BLOCKS_A_TASK = 1 << 16  # listed together
 ROWS_A_CHUNK = 4096  # aimed at, for running sums
-TURNS_A_BATCH = 10_000  # blocks that the scheduling task sends on at a time
 
 
 def _mass(text: str) -> Column:
@@ -52,92 +51,94 @@ def tempered(docs: DataFrame, source: str = "source", text: str = "text") -> Dat
     return mass.select("source", F.sqrt(F.col("mass").cast("double")).alias("weight"))
 
 
-def shares(docs: DataFrame, targets: DataFrame, source: str = "source") -> DataFrame:
-    """Whole ``share`` of each ``source`` of ``docs``: the largest target gets ``LARGEST_SHARE``."""
-    present = docs.select(filled(source).alias("source")).distinct()
-    top = targets.agg(F.max("weight").alias("top"))
-    wanted = F.floor(F.col("weight") * LARGEST_SHARE / F.col("top")).cast("long")
-    by_source = targets.groupBy(filled("source").alias("source")).agg(F.max("weight").alias("weight"))
-    # top is one row; present and targets have a row per source
-    scaled = by_source.join(top, F.lit(True)).select("source", F.greatest(F.lit(1), F.coalesce(wanted, F.lit(1))).alias("share"))
-    return present.join(scaled, "source", "left").select("source", F.coalesce("share", F.lit(1)).cast("long").alias("share"))
+def whole_weights(sources: DataFrame) -> DataFrame:
+    """``sources`` with ``units``, their ``weight`` as a whole number, at least 1."""
+    weight = F.col("weight")
+    good = weight.isNotNull() & ~F.isnan(weight) & (weight > 0) & (weight < float("inf"))
+    known = sources.withColumn("weight", F.when(good, weight))
+    top = known.agg(F.max("weight")).scalar()
+    units = F.floor(F.col("weight") / top * F.lit(float(UNITS)))
+    return known.withColumn("units", F.greatest(F.lit(1), F.when(top.isNull(), UNITS).otherwise(F.coalesce(units, F.lit(UNITS // UNKNOWN)))).cast("long"))
+
+
+def windows(sources: DataFrame) -> DataFrame:
+    """Every block of ``source``, ``units``, ``blocks`` with its ``release`` and ``due``; long lists are dealt out in parts."""
+    total = sources.where("blocks > 0").agg(F.sum(F.col("units").cast("decimal(20,0)")).cast("decimal(20,0)")).scalar()
+    parts = sources.where("blocks > 0").select("source", "units", "blocks", total.alias("total"), F.explode(F.expr(f"sequence(0L, (blocks - 1) DIV {BLOCKS_A_TASK})")).alias("part"))
+    first = f"part * {BLOCKS_A_TASK}"
+    each = parts.repartition("source", "part").withColumn("block", F.explode(F.expr(f"sequence({first}, least(blocks, {first} + {BLOCKS_A_TASK}) - 1)")))
+    return each.select(
+        F.col("source").alias("source_name"), "block",
+        F.expr("CAST(block AS decimal(17,0)) * total DIV units").alias("release"), F.expr("(CAST(block + 1 AS decimal(17,0)) * total + units - 1) DIV units").alias("due"),
+    )
 
 
-def period_table(share: DataFrame) -> DataFrame:
-    """One period: ``source``, ``share``, ``period``, ``j`` (its block), ``slot``, ``release``, ``due``.
+def _borders(released: DataFrame, spanned: DataFrame, slots: int) -> DataFrame:
+    """``range``, ``h``, ``least`` (m) and ``low``, the least h up to the next border, where a range begins.
 
-    Earliest-deadline-first over the slots of the period, folded in one expression: the state is
-    how many blocks each source has had. Its size is that of the shares, never of the data.
-    """
-    period = share.agg(F.sum("share")).first()[0] or 0
-    if period > LONGEST_PERIOD:
-        raise ValueError(f"a period of {period} slots is longer than {LONGEST_PERIOD}: group small sources first")
-    listed = share.agg(F.array_sort(F.collect_list(F.struct("source", "share"))).alias("s")).withColumn("p", F.lit(int(period)).cast("long"))
-    picked = """
-        array_min(transform(s, (x, i) -> CASE WHEN state.done[i] * p DIV x.share <= t
-            THEN named_struct('due', ((state.done[i] + 1) * p + x.share - 1) DIV x.share, 'i', i)
-            ELSE named_struct('due', 9223372036854775807, 'i', i) END))"""
-    step = f"""
-        transform(array({picked}), best -> named_struct(
-            'done', transform(state.done, (n, i) -> IF(i = best.i, n + 1, n)),
-            'out', concat(state.out, array(named_struct('i', best.i, 'j', state.done[best.i])))))[0]"""
-    folded = f"""
-        aggregate(sequence(0L, p - 1), named_struct('done', transform(s, x -> 0L),
-            'out', CAST(array() AS array<struct<i:int,j:bigint>>)), (state, t) -> {step}, state -> state.out)"""
-    slots = listed.where("p > 0").select("s", "p", F.posexplode(F.expr(folded)).alias("slot", "run"))
-    chosen = slots.select(F.expr("s[run.i].source").alias("source"), F.expr("s[run.i].share").alias("share"), F.col("p").alias("period"), F.col("run.j").alias("j"), F.col("slot").cast("long").alias("slot"))
-    return chosen.withColumn("release", F.expr("j * period DIV share")).withColumn("due", F.expr("((j + 1) * period + share - 1) DIV share"))
-
-
-def turns(sources: list[tuple[str, float | None, int]]) -> Iterator[tuple[str, int, int, int, int]]:
-    """Earliest deadline first over (source, weight, blocks): source, ``block``, ``slot``, ``release``, ``due`` in the order of slots.
-
-    Blocks of a source that has run out are not drawn; if nothing is released, slots stay empty.
+    A row for each range, so the running sum is over T / slots rows.
     """
-    good = [Fraction(w) for _, w, _ in sources if w is not None and 0 < w < math.inf]
-    least = max(good, default=Fraction(1)) / LARGEST_SHARE
-    listed = sorted((s, Fraction(w) if w is not None and 0 < w < math.inf else least, n) for s, w, n in sources if n > 0)
-    scale = math.lcm(*(w.denominator for _, w, _ in listed))
-    weights = [int(w * scale) for _, w, _ in listed]
-    total, waiting, ready, slot = sum(weights), [(0, i, 0) for i in range(len(listed))], [], 0
-    while waiting or ready:
-        if not ready:
-            slot = max(slot, waiting[0][0])
-        while waiting and waiting[0][0] <= slot:
-            release, i, j = heappop(waiting)
-            heappush(ready, (-(-(j + 1) * total // weights[i]), i, j, release))
-        due, i, j, release = heappop(ready)
-        yield listed[i][0], j, slot, release, due
-        slot += 1
-        if j + 1 < listed[i][2]:
-            heappush(waiting, ((j + 1) * total // weights[i], i, j + 1))
-
-
-def turn_table(sources: DataFrame) -> DataFrame:
-    """``turns`` of ``source``, ``weight``, ``blocks`` as rows, numbered by ``turn``."""
-
-    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        listed = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns))]
-        rows, sent = [], 0
-        for row in turns(listed):
-            rows.append((*row, sent + len(rows)))
-            if len(rows) == TURNS_A_BATCH:
-                yield batch(rows)
-                sent, rows = sent + len(rows), []
-        yield batch(rows)
-
-    def batch(rows: list[tuple]) -> pa.RecordBatch:
-        columns = list(zip(*rows)) or [()] * 6
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.string(), *[pa.int64()] * 5])], ["source_name", "block", "slot", "release", "due", "turn"])
-
-    return sources.select("source", "weight", "blocks").repartition(1).mapInArrow(draw, "source_name string, block bigint, slot bigint, release bigint, due bigint, turn bigint")
+    in_range = released.groupBy("range").agg(F.count("*").alias("n"), F.min("above").alias("low"))
+    listed = in_range.unionByName(spanned.select("range", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("low")))
+    each = listed.groupBy("range").agg(F.sum("n").alias("n"), F.min("low").alias("low"))
+    before = Window.partitionBy(F.lit(0)).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    h = F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("range") * slots
+    at = each.withColumn("h", h).select("range", "h", (F.col("h") + F.least("low", F.col("n") - slots)).alias("low"))
+    return at.withColumn("least", F.least(F.lit(0), F.col("h"), F.coalesce(F.min("low").over(before), F.lit(0))))
+
+
+_WAITING = """
+    aggregate(listed, named_struct('room', transform(listed, x -> named_struct('release', x.release, 'left', x.most)), 'out', filter(listed, x -> false)),
+        (state, x) -> IF(exists(state.room, q -> q.release >= x.release AND q.left < 1), state, named_struct(
+            'room', transform(state.room, q -> named_struct('release', q.release, 'left', IF(q.release >= x.release, q.left - 1, q.left))),
+            'out', concat(state.out, array(x)))),
+        state -> state.out)"""
+
+_SLOTS = """
+    aggregate(listed, named_struct('busy', CAST(array() AS array<struct<a:bigint,b:bigint>>), 'out', CAST(array() AS array<struct<slot:bigint,i:int>>)),
+        (state, x) -> transform(array(greatest(x.release, {begin})), at -> transform(array(coalesce(get(filter(state.busy, v -> v.a <= at AND at < v.b), 0).b, at)), slot ->
+            named_struct(
+                'busy', concat(filter(state.busy, v -> v.b <> slot AND v.a <> slot + 1), array(named_struct(
+                    'a', coalesce(get(filter(state.busy, v -> v.b = slot), 0).a, slot), 'b', coalesce(get(filter(state.busy, v -> v.a = slot + 1), 0).b, slot + 1)))),
+                'out', concat(state.out, array(named_struct('slot', slot, 'i', size(state.out))))))[0])[0],
+        state -> filter(array_sort(state.out), x -> x.slot < {begin} + {slots}))"""
+
+
+def turn_table(sources: DataFrame, range_slots: int | None = None) -> DataFrame:
+    """Earliest deadline first over ``source``, ``weight``, ``blocks``: ``source_name``, ``block``, ``slot``, ``release``, ``due`` and ``turn``, the number of blocks before by slot."""
+    known = stored(whole_weights(sources).select("source", "units", F.col("blocks").cast("long").alias("blocks")), "sources")
+    slots = range_slots or max(RANGE_SLOTS, 1 << known.count().bit_length())
+    by_release = Window.partitionBy("range").orderBy("release")
+    later = Window.partitionBy("range").orderBy(F.desc("release")).rangeBetween(Window.unboundedPreceding, -1)
+    listed = windows(known).withColumn("range", F.expr(f"release DIV {slots}"))
+    # above: h at the release, rest: the least h behind it up to the border, both less h where the range begins
+    released = listed.withColumn("above", (F.rank().over(by_release) - 1 - (F.col("release") - F.col("range") * slots)).cast("long"))
+    released = stored(released.withColumn("rest", F.least(F.min("above").over(later), F.count("*").over(Window.partitionBy("range")) - slots)), "windows")
+    last = F.expr(f"(due - 1) DIV {slots}")
+    spanning = released.where(last > F.col("range")).withColumn("border", F.explode(F.sequence(F.col("range") + 1, last)))
+    borders = stored(_borders(released, spanning.select(F.col("border").alias("range")).distinct(), slots), "borders")
+    behind = borders.select((F.col("range") + 1).alias("border"), F.col("h").alias("h_before"), "low")
+    here = borders.where("h > least").select(F.col("range").alias("border"), "h", "least")
+    since = F.when(F.col("border") == F.col("range") + 1, F.col("h_before") + F.col("rest")).otherwise(F.col("low"))
+    so_far = F.min("since").over(Window.partitionBy("source_name", "block").orderBy("border"))
+    bounded = spanning.join(behind, "border").withColumn("since", since).withColumn("so_far", so_far).join(here, "border")
+    one = F.struct("due", "source_name", "block", "release", (F.least("h", "so_far") - F.col("least")).alias("most"))
+    waiting = bounded.groupBy("border").agg(F.sort_array(F.collect_list(one), asc=False).alias("listed"))
+    waiting = waiting.select(F.col("border").alias("range"), F.inline(F.expr(_WAITING)))
+    columns = ["range", "source_name", "block", "release", "due"]
+    together = released.select(*columns).unionByName(waiting.select(*columns)).groupBy("range").agg(F.array_sort(F.collect_list(F.struct("due", "source_name", "block", "release"))).alias("listed"))
+    began = borders.select("range", (F.col("range") * slots + F.col("least")).alias("done"))
+    begin = f"`range` * {slots}"
+    placed = together.join(began, "range").withColumn("taken", F.expr(_SLOTS.format(begin=begin, slots=slots)))
+    each = placed.select("listed", "done", F.posexplode("taken").alias("n", "at")).select("done", "n", "at.slot", F.expr("listed[at.i]").alias("x"))
+    return each.select("x.source_name", "x.block", "slot", "x.release", "x.due", (F.col("done") + F.col("n")).alias("turn"))
 
 
 def schedule(
     docs: DataFrame, targets: DataFrame | None = None, key: str = "doc_id", source: str = "source", text: str = "text",
-    block_chars: int = BLOCK_CHARS, columns: list[str] | None = None, whole_shares: bool = False,
+    block_chars: int = BLOCK_CHARS, columns: list[str] | None = None,
 ) -> DataFrame:
-    """All rows as ``row`` (a struct of ``columns``, by default all) with ``source_name``, ``block``, ``slot``, ``release``, ``due``, ``start`` and, but for ``whole_shares``, ``turn``.
+    """All rows as ``row`` (a struct of ``columns``, by default all) with ``source_name``, ``block``, ``slot``, ``release``, ``due``, ``start`` and ``turn``.
 
     Sorted by (``slot``, ``start``) the rows are the mixture; ``start`` is the mass of the source
     before a row, ``turn`` counts the blocks of all sources by slot. Running sums go in two steps, chunks of a source and rows of a chunk, so that no
@@ -153,8 +154,6 @@ def schedule(
     base = sums.select("source_name", "chunk", F.coalesce(F.sum("chunk_mass").over(before), F.lit(0)).alias("base"))
     inside = Window.partitionBy("source_name", "chunk").orderBy("place", "tie").rowsBetween(Window.unboundedPreceding, -1)
     start = F.col("base") + F.coalesce(F.sum("mass").over(inside), F.lit(0))
-    if whole_shares:
-        return _on_whole_shares(docs, targets, source, text, rows.join(base, ["source_name", "chunk"]).withColumn("start", start), block_chars)
     base = stored(base.join(sums, ["source_name", "chunk"]).select("source_name", "chunk", "base", "chunk_mass"), "chunks")
     masses = base.groupBy(F.col("source_name").alias("source")).agg(F.sum("chunk_mass").alias("mass"))
     if targets is None:
@@ -171,21 +170,6 @@ def schedule(
     return found.select("row", "source_name", "block", "start", "at.slot", "at.release", "at.due", "at.turn")
 
 
-def _on_whole_shares(docs: DataFrame, targets: DataFrame | None, source: str, text: str, placed: DataFrame, block_chars: int) -> DataFrame:
-    """``placed`` rows by the period of whole shares, laid out by arithmetic."""
-    period = stored(period_table(stored(shares(docs, tempered(docs, source, text) if targets is None else targets, source), "shares")), "period")
-    blocks = placed.withColumn("block", F.expr(f"start DIV {block_chars}"))
-    by_source = period.groupBy("source", "share", "period").agg(F.map_from_entries(F.collect_list(F.struct("j", "slot"))).alias("slots"))
-    joined = blocks.join(by_source, blocks.source_name == by_source.source)
-    cycle = "block DIV share * period"
-    return joined.select(
-        "row", "source_name", "block", "start",
-        F.expr(f"{cycle} + slots[block % share]").alias("slot"),
-        F.expr(f"{cycle} + block % share * period DIV share").alias("release"),
-        F.expr(f"{cycle} + ((block % share + 1) * period + share - 1) DIV share").alias("due"),
-    )
-
-
 def mixed(docs: DataFrame, targets: DataFrame | None = None, **columns: str) -> DataFrame:
     """All rows of ``docs`` in the order of the mixture: ranges of slots, sorted, one after the other.
 

@@ -8,7 +8,7 @@ repetitions. Spark then numbers the pieces of each length and looks up their pla
 the same that packing piece by piece over the whole corpus would give.
 
 Defined results: NULL text is an empty document, which is its end token alone; repeated rows are
-documents of their own; sequences of a mixture follow its order, within a stretch by the mean place of their pieces; pieces longer than a sequence do not exist, since longer documents are cut
+documents of their own; sequences of an ordered table follow its order, within a stretch by the mean place of their pieces; pieces longer than a sequence do not exist, since longer documents are cut
 into whole sequences with the shorter piece first; an empty table gives no pieces; other input columns do not matter, whatever
 their names.
 """
@@ -21,7 +21,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratiform.llm import mixing
@@ -30,7 +31,8 @@ from stratiform.llm.encoding import BYTE_BPE, encode
 
 LENGTH = 2048  # tokens of a sequence
 END = 0  # the id after each document
-STRETCH = 64  # blocks of a mixture that are packed together
+STRETCH = 1 << 20  # tokens in a row that are packed together
+ROWS_A_GROUP = 4096  # and blocks of a part, for running sums
 
 
 def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, vocabulary: str = BYTE_BPE, end: int = END, with_ids: bool = False, along: tuple[str, ...] = ()) -> DataFrame:
@@ -181,7 +183,7 @@ def packed(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int
 
 def laid_out(table: pa.Table, length: int) -> pa.Table:
     """Pieces of one stretch with ``sequence_id`` (from 0) and ``offset``, sequences in the order of the mixture."""
-    table = table.sort_by([(c, "ascending") for c in ("turn", "before", "ids_crc32", "piece")])
+    table = table.sort_by([(c, "ascending") for c in ("position", "ids_crc32", "piece")])
     sizes = table.column("length").to_numpy()
     by_size = np.argsort(sizes, kind="stable")
     counts = np.bincount(sizes, minlength=length + 1)
@@ -194,28 +196,66 @@ def laid_out(table: pa.Table, length: int) -> pa.Table:
     return table.append_column("sequence_id", pa.array(rank[sequence])).append_column("offset", pa.array(offset))
 
 
-def packed_mixture(
-    docs: DataFrame, targets: DataFrame | None = None, key: str = "doc_id", source: str = "source", text: str = "text", length: int = LENGTH,
-    vocabulary: str = BYTE_BPE, end: int = END, block_chars: int = mixing.BLOCK_CHARS, stretch: int = STRETCH,
+def packed_in_order(
+    placed: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, vocabulary: str = BYTE_BPE, end: int = END, stretch: int = STRETCH,
 ) -> DataFrame:
-    """All documents cut and packed so that ``sequence_id`` follows the mixture of their sources.
+    """Rows ordered by (``part``, ``group``, ``place``) cut and packed so that ``sequence_id`` follows that order.
 
-    Places in the mixture come from its schedule, since files keep no order once they are read. Each
-    ``stretch`` of blocks is packed by itself in one task, from its lengths alone, and stretches follow each other.
+    Each ``stretch`` of tokens is packed by itself in one task, from its lengths alone, and stretches
+    follow each other. Running sums go over parts, over groups of a part and over rows of a group.
     """
-    placed = mixing.schedule(docs, targets, key, source, text, block_chars, columns=[key, text])
-    placed = placed.select(F.col(f"row.`{key}`").alias(key), F.col(f"row.`{text}`").alias(text), "turn", F.col("start").alias("before"))
-    cut = pieces(placed, key, text, length, vocabulary, end, along=("turn", "before")).withColumn("stretch", F.expr(f"turn DIV {stretch}"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema) + ", sequence_id bigint, offset bigint"
-    laid = stored(cut.groupBy("stretch").applyInArrow(lambda table: laid_out(table, length), schema), "stretches")
+    order = ("part", "group", "place")
+    cut = stored(pieces(placed.select(key, text, *order), key, text, length, vocabulary, end, along=order), "pieces")
+
+    def before(column: str, window: Window) -> Column:
+        return F.coalesce(F.sum(column).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    groups = cut.groupBy("part", "group").agg(F.sum("length").alias("tokens"))
+    # as many rows as there are parts
+    parts = groups.groupBy("part").agg(F.sum("tokens").alias("tokens")).select("part", before("tokens", Window.partitionBy(F.lit(0)).orderBy("part")).alias("first"))
+    firsts = groups.join(parts, "part").select("part", "group", (F.col("first") + before("tokens", Window.partitionBy("part").orderBy("group"))).alias("first"))
+    inside = Window.partitionBy("part", "group").orderBy("place", "piece", "ids_crc32")
+    found = cut.withColumn("since", before("length", inside)).join(firsts, ["part", "group"]).withColumn("position", F.col("first") + F.col("since"))
+    found = found.drop(*order, "first", "since").withColumn("stretch", F.expr(f"position DIV {stretch}"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema) + ", sequence_id bigint, offset bigint"
+    laid = stored(found.groupBy("stretch").applyInArrow(lambda table: laid_out(table, length), schema), "stretches")
     counts = laid.groupBy("stretch").agg((F.max("sequence_id") + 1).alias("n"))
     # as many rows as there are stretches
-    earlier = Window.partitionBy(F.lit(0)).orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
-    first = counts.select("stretch", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first"))
-    kept = [c for c in cut.columns if c not in ("turn", "before", "stretch")]
+    first = counts.select("stretch", before("n", Window.partitionBy(F.lit(0)).orderBy("stretch")).alias("first"))
+    kept = [c for c in found.columns if c not in ("position", "stretch")]
     return laid.join(first, "stretch").select(*kept, (F.col("first") + F.col("sequence_id")).alias("sequence_id"), "offset")
 
 
+def in_file_order(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with ``part``, ``group``, ``place``: files by the number in their names, then rows as they lie in their file.
+
+    Parquet keeps the order in which rows were written, and readers can tell it wherever they cut the files. A
+    table that does not come from files is written first, one file after the other by its partitions.
+    """
+    def seen(df: DataFrame) -> DataFrame:
+        where = df.metadataColumn("_metadata")
+        return df.select(key, text, where["file_path"].alias("file"), where["row_index"].alias("place"))
+
+    try:
+        rows = seen(docs)
+    except AnalysisException:
+        rows = seen(stored(docs.select(key, text), "ordered"))
+    number = F.regexp_extract(F.element_at(F.split("file", "/"), -1), r"^part-(\d+)", 1).try_cast("bigint")
+    # as many rows as there are files
+    files = rows.select("file").distinct().select("file", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(number.asc_nulls_first(), "file")).cast("long").alias("part"))
+    return rows.join(files, "file").select(key, text, "part", F.expr(f"place DIV {ROWS_A_GROUP}").alias("group"), "place")
+
+
+def packed_mixture(
+    docs: DataFrame, targets: DataFrame | None = None, key: str = "doc_id", source: str = "source", text: str = "text", length: int = LENGTH,
+    vocabulary: str = BYTE_BPE, end: int = END, block_chars: int = mixing.BLOCK_CHARS, stretch: int = STRETCH,
+) -> DataFrame:
+    """All documents mixed and packed, without storing the mixture between."""
+    placed = mixing.schedule(docs, targets, key, source, text, block_chars, columns=[key, text])
+    ordered = placed.select(F.col(f"row.`{key}`").alias(key), F.col(f"row.`{text}`").alias(text), F.expr(f"turn DIV {ROWS_A_GROUP}").alias("part"), F.col("turn").alias("group"), F.col("start").alias("place"))
+    return packed_in_order(ordered, key, text, length, vocabulary, end, stretch)
+
+
 def sequences(placed: DataFrame) -> DataFrame:
     """Whole sequences from placed pieces with ``ids``: ``sequence_id``, ``length``, ``ids``.
 

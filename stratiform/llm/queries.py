@@ -171,32 +171,32 @@ WITH RECURSIVE rows_ AS (
     SELECT doc_id, coalesce(source, '') AS source, length(coalesce(text, '')) + 1 AS mass,
            md5(coalesce(CAST(doc_id AS varchar), '')) AS place, md5(coalesce(text, '')) AS tie
     FROM documents),
-targets AS (SELECT source, sqrt(CAST(sum(mass) AS double)) AS weight FROM rows_ GROUP BY source),
-shares AS (
-    SELECT source, greatest(1, CAST(floor(weight * {mixing.LARGEST_SHARE} / (SELECT max(weight) FROM targets)) AS bigint)) AS share FROM targets),
-setup AS (SELECT CAST(sum(share) AS bigint) AS p, list(share ORDER BY source) AS s, list(source ORDER BY source) AS names FROM shares),
+targets AS (SELECT source, CAST(sum(mass) AS bigint) AS mass, sqrt(CAST(sum(mass) AS double)) AS weight FROM rows_ GROUP BY source),
+weights AS (
+    SELECT source, (mass + {mixing.BLOCK_CHARS - 1}) // {mixing.BLOCK_CHARS} AS n,
+           greatest(1, CAST(floor(weight / (SELECT max(weight) FROM targets) * {float(mixing.UNITS)}::double) AS hugeint)) AS w FROM targets),
+setup AS (SELECT CAST(sum(w) AS hugeint) AS p, list(w ORDER BY source) AS s, list(n ORDER BY source) AS n, list(source ORDER BY source) AS names FROM weights),
+finish AS (SELECT max((n * p + w - 1) // w) AS last FROM weights, (SELECT p FROM setup)),
 edf AS (
-    SELECT CAST(-1 AS bigint) AS slot, list_transform(s, lambda x: CAST(0 AS bigint)) AS done, CAST(0 AS bigint) AS i FROM setup
+    SELECT CAST(-1 AS bigint) AS slot, list_transform(s, lambda x: CAST(0 AS hugeint)) AS done, CAST(0 AS bigint) AS i FROM setup
     UNION ALL
     SELECT t, list_transform(range(1, len(done) + 1), lambda k: done[k] + CASE WHEN k = pick THEN 1 ELSE 0 END), pick
-    FROM (SELECT slot + 1 AS t, done, list_min(list_transform(range(1, len(s) + 1), lambda k:
-              CASE WHEN done[k] * p // s[k] <= slot + 1 THEN ((done[k] + 1) * p + s[k] - 1) // s[k] ELSE 1000000000 END * 100000 + k)) % 100000 AS pick
-          FROM edf, setup WHERE slot + 1 < p)),
-period AS (SELECT names[i] AS source, slot, row_number() OVER (PARTITION BY i ORDER BY slot) - 1 AS j FROM edf, setup WHERE slot >= 0),
+    FROM (SELECT t, done, CASE WHEN best < 1000000000000000000000 THEN CAST(best % 100000 AS bigint) ELSE 0 END AS pick
+          FROM (SELECT slot + 1 AS t, done, list_min(list_transform(range(1, len(s) + 1), lambda k:
+                    CASE WHEN done[k] < n[k] AND done[k] * p // s[k] <= slot + 1 THEN ((done[k] + 1) * p + s[k] - 1) // s[k] ELSE 10000000000000000 END * 100000 + k)) AS best
+                FROM edf, setup, finish WHERE slot + 1 < last))),
+turns AS (SELECT names[i] AS source, slot, row_number() OVER (PARTITION BY i ORDER BY slot) - 1 AS block FROM edf, setup WHERE i > 0),
 started AS (
-    SELECT *, coalesce(sum(mass) OVER (PARTITION BY source ORDER BY place, tie ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM rows_),
-blocks AS (SELECT *, CAST(start // {mixing.BLOCK_CHARS} AS bigint) AS block FROM started)
-SELECT b.doc_id, b.source, b.block, CAST(b.start AS bigint) AS start,
-       CAST(block // share * p + period.slot AS bigint) AS slot,
-       CAST(block // share * p + block % share * p // share AS bigint) AS release,
-       CAST(block // share * p + ((block % share + 1) * p + share - 1) // share AS bigint) AS due
-FROM blocks b JOIN shares USING (source) JOIN period ON period.source = b.source AND j = block % share CROSS JOIN setup"""
+    SELECT *, coalesce(sum(mass) OVER (PARTITION BY source ORDER BY place, tie ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM rows_)
+SELECT doc_id, source, turns.block, CAST(start AS bigint) AS start, turns.slot,
+       CAST(turns.block * p // w AS bigint) AS release, CAST(((turns.block + 1) * p + w - 1) // w AS bigint) AS due
+FROM started JOIN weights USING (source) JOIN turns USING (source), setup WHERE turns.block = start // {mixing.BLOCK_CHARS}"""
 
 
 @query("op9_pfair_mixing", "documents", sql=_MIX_SQL)
 def pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with its block and slot in the mixture of sources, targets by the root of their size, as whole shares like its SQL."""
-    placed = mixing.schedule(table(spark, sf_dir, "documents"), columns=["doc_id"], whole_shares=True)
+    """Every document with its block and slot in the mixture of sources, targets by the root of their size."""
+    placed = mixing.schedule(table(spark, sf_dir, "documents"), columns=["doc_id"])
     return placed.select("row.doc_id", F.col("source_name").alias("source"), "block", "start", "slot", "release", "due")
 
 

@@ -2,6 +2,9 @@
 
 import gzip
 import hashlib
+import heapq
+import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -102,7 +105,7 @@ def test_packed_sequences_follow_the_mixture(llm, tmp_path):
     small = {n for n, s, _ in texts if s == "small"}
     stages = dict(corpus_pipeline.STAGES)
     whole = stages["packing"](llm, stages["mixing"](llm, docs, ""), "")
-    for placed in (whole, packing.packed_mixture(docs, block_chars=10_000, stretch=8)):
+    for placed in (whole, packing.packed_mixture(docs, block_chars=10_000, stretch=40_000)):
         rows = placed.collect()
         by_sequence = defaultdict(list)
         for r in rows:
@@ -188,46 +191,107 @@ def test_mixing(awkward):
     assert Counter((r.row.doc_id, r.row.text) for r in placed) == Counter(TEXTS)
     assert all(r.release <= r.slot < r.due and r.block == r.start // 50 for r in placed)
     assert mixing.mixed(awkward).columns == awkward.columns
-    targets = awkward.sparkSession.createDataFrame([("s0", 3.0), ("s0", None), ("s1", -1.0)], "source string, weight double")
-    shares = {r.source: r.share for r in mixing.shares(awkward, targets).collect()}
-    assert shares == {"": 1, "s0": 64, "s1": 1}
+    rows = [("a", 4.0), ("b", None), ("c", -1.0), ("d", float("inf")), ("e", float("nan")), ("f", 1.0), ("g", 1e-30)]
+    units = {r.source: r.units for r in mixing.whole_weights(awkward.sparkSession.createDataFrame(rows, "source string, weight double")).collect()}
+    assert units == {"a": 1 << 40, "f": 1 << 38, "g": 1, **dict.fromkeys("bcde", 1 << 34)}
+    none = mixing.whole_weights(awkward.sparkSession.createDataFrame([("a", None), ("b", 0.0)], "source string, weight double")).collect()
+    assert len({r.units for r in none}) == 1
+
+
+def queue(sources):
+    """Earliest deadline first over (source, weight, blocks), one slot after the other from two heaps."""
+    top = max(w for _, w, _ in sources)
+    units = {s: max(1, math.floor(w / top * 2**40)) for s, w, _ in sources}
+    blocks = {s: n for s, _, n in sources}
+    total = sum(units[s] for s, n in blocks.items() if n)
+    waiting, ready, slot, out = sorted((0, s, 0) for s, n in blocks.items() if n), [], 0, []
+    while waiting or ready:
+        if not ready:
+            slot = max(slot, waiting[0][0])
+        while waiting and waiting[0][0] <= slot:
+            release, s, j = heapq.heappop(waiting)
+            heapq.heappush(ready, (-(-(j + 1) * total // units[s]), s, j, release))
+        due, s, j, release = heapq.heappop(ready)
+        out.append((s, j, slot, release, due, len(out)))
+        slot += 1
+        if j + 1 < blocks[s]:
+            heapq.heappush(waiting, ((j + 1) * total // units[s], s, j + 1))
+    return out
+
+
+@pytest.mark.parametrize(("seed", "n", "slots"), [(1, 1, 3), (2, 2, 1), (3, 7, 8), (4, 20, 16), (5, 60, 5), (6, 60, 64)])
+def test_ranges_of_time_give_what_one_queue_gives(llm, seed, n, slots):
+    """Ranges scheduled apart, with sources that run out, idle slots and blocks that wait over many borders."""
+    rng = random.Random(seed)
+    sources = [(f"s{i}", rng.choice([1.0, rng.random() * 10, 0.01, rng.random()]), rng.choice([0, 1, 5, 40, 150])) for i in range(n)] + [("z", 2.0, 90)]
+    rows = mixing.turn_table(llm.createDataFrame(sources, "source string, weight double, blocks bigint"), slots).collect()
+    assert sorted(map(tuple, rows)) == sorted(queue(sources))
 
 
 def test_mixing_meets_its_targets_in_every_prefix(llm):
     docs = llm.range(3000).selectExpr("id AS doc_id", "CASE WHEN id % 3 = 0 THEN 'big' ELSE concat('s', id % 4) END AS source", "repeat('x', 9) AS text")
-    targets = llm.createDataFrame([("big", 4.0), ("s0", 2.0), ("s1", 1.0), ("s2", 1.0), ("s3", 1.0)], "source string, weight double")
-    rows = mixing.schedule(docs, targets, block_chars=100).groupBy("slot", "source_name").count().orderBy("slot").collect()
+    share = {"big": 0.437, "s0": 0.2, "s1": 0.011, "s2": 0.1, "s3": 0.252}  # no whole shares of 64
+    rows = mixing.schedule(docs, llm.createDataFrame(list(share.items()), "source string, weight double"), block_chars=100).groupBy("slot", "source_name").count().orderBy("slot").collect()
     assert len({r.slot for r in rows}) == len(rows)  # one block at a time
-    share = {"big": 64, "s0": 32, "s1": 16, "s2": 16, "s3": 16}
     had, slot = Counter(), 0
     for r in rows:
         assert r.slot == slot  # until a source runs out
         had[r.source_name] += 1
         slot += 1
-        assert all(abs(had[s] - slot * w / 144) < 1 for s, w in share.items())
+        assert all(abs(had[s] - slot * w) < 1 + 1e-9 for s, w in share.items())
         if slot == 150:
             break
 
 
 def test_mixing_keeps_targets_that_no_share_divides(llm):
-    """Weights as they are: a hot source, one of 1.99/64 of it, a tiny one, and more sources than a period of whole shares has slots."""
-    weights = {"hot": 1.0, "odd": 1.99 / 64, "tiny": 1e-5, **{f"s{n}": 2e-3 for n in range(1000)}}
+    """Weights as they are: a hot source, one of 1.99/64 of it, a tiny one, and many more; within a block of the target in every prefix, over several ranges."""
+    weights = {"hot": 1.0, "odd": 1.99 / 64, "tiny": 1e-5, **{f"s{n}": 2e-3 for n in range(300)}}
     total = sum(weights.values())
-    had, last = Counter(), -1
-    for source, block, slot, release, due in mixing.turns([(s, w, 2000) for s, w in weights.items()]):
-        assert slot == last + 1 and release <= slot < due and block == had[source]
-        had[source] += 1
-        last = slot
-        if slot % 500 == 0:
-            assert all(abs(had[s] - (slot + 1) * w / total) < 1 + 1e-9 for s, w in weights.items())
-        if slot == 5000:
-            break
-    many = list(mixing.turns([(f"s{n}", 1.0, 1) for n in range(mixing.LONGEST_PERIOD + 1)]))
-    assert [t[2] for t in many] == list(range(mixing.LONGEST_PERIOD + 1))
-    docs = llm.range(2000).selectExpr("id AS doc_id", "IF(id % 2 = 0, 'a', 'b') AS source", "repeat('x', 9) AS text")
-    targets = llm.createDataFrame([("a", 1.0), ("b", 1.99 / 64)], "source string, weight double")
-    rows = mixing.schedule(docs, targets, block_chars=10).where("slot < 640").collect()
-    assert abs(sum(r.source_name == "b" for r in rows) - 640 * 1.99 / 65.99) < 1
+    blocks = [(s, w, 2 + int(9000 * w / total)) for s, w in weights.items()]
+    rows = mixing.turn_table(llm.createDataFrame(blocks, "source string, weight double, blocks bigint")).where("slot < 9000").orderBy("slot").collect()
+    had = Counter()
+    for n, r in enumerate(rows):
+        assert r.slot == r.turn == n and r.release <= n < r.due and r.block == had[r.source_name]
+        had[r.source_name] += 1
+        if n % 500 == 0:
+            assert all(abs(had[s] - (n + 1) * w / total) < 1 + 1e-6 for s, w in weights.items())
+    assert len(rows) == 9000
+
+
+def test_twenty_thousand_sources_are_mixed(llm):
+    sources = llm.range(20_000).selectExpr("concat('s', id) AS source", "1.0D + id % 3 AS weight", "1L + id % 2 AS blocks")
+    rows = mixing.turn_table(sources).collect()
+    assert len(rows) == 30_000 == len({r.slot for r in rows}) and all(r.release <= r.slot < r.due for r in rows)
+
+
+def test_leaving_the_mixture_out_or_changing_it_changes_the_sequences(llm, tmp_path):
+    """Packing follows the files that the mixing stage wrote, and other targets give other sequences."""
+    texts = [(n, "big" if n % 5 else "small", " ".join(f"w{n * 31 % 977}x{i * n % 89}" for i in range(100 + n * 37 % 900))) for n in range(400)]
+    llm.createDataFrame(texts, "doc_id bigint, source string, text string").write.parquet(f"{tmp_path}/docs")
+    docs, stages = llm.read.parquet(f"{tmp_path}/docs"), dict(corpus_pipeline.STAGES)
+    targets = llm.createDataFrame([("big", 1.0), ("small", 9.0)], "source string, weight double")
+    found = {}
+    for name, ordered in (("mixed", stages["mixing"](llm, docs, "")), ("other", mixing.mixed(docs, targets)), ("none", docs)):
+        ordered.write.parquet(f"{tmp_path}/{name}")
+        rows = stages["packing"](llm, llm.read.parquet(f"{tmp_path}/{name}"), "").collect()
+        found[name] = {(r.doc_id, r.piece): r.sequence_id for r in rows}
+    first = {name: sum(1 for (i, _), s in placed.items() if s < 20 and i % 5 == 0) for name, placed in found.items()}
+    assert found["mixed"] != found["none"] and found["mixed"] != found["other"] and first["other"] > first["mixed"] > first["none"]
+
+
+def test_sequences_follow_the_rows_of_the_files(llm, tmp_path):
+    """Files are cut for reading; rows keep their places, files go by number and not by name."""
+    rows = llm.range(3000, numPartitions=1).selectExpr("id AS doc_id", "repeat(concat('w', id, ' '), 30) AS text")
+    rows.where("doc_id < 2000").write.parquet(f"{tmp_path}/a")
+    rows.where("doc_id >= 2000").write.parquet(f"{tmp_path}/b")
+    (tmp_path / "all").mkdir()
+    for folder_, number in (("a", "99999"), ("b", "100000")):
+        file = next((tmp_path / folder_).glob("*.parquet"))
+        (tmp_path / "all" / f"part-{number}-x.parquet").write_bytes(file.read_bytes())
+    placed = packing.in_file_order(llm.read.parquet(f"{tmp_path}/all")).orderBy("part", "group", "place").select("doc_id").collect()
+    assert [r.doc_id for r in placed] == list(range(3000))
+    by_sequence = packing.packed_in_order(packing.in_file_order(llm.read.parquet(f"{tmp_path}/all")), stretch=4096).groupBy("sequence_id").agg(F.min("doc_id"), F.max("doc_id")).orderBy("sequence_id").collect()
+    assert all(a[1] < b[2] and b[2] - b[1] < 200 for a, b in zip(by_sequence, by_sequence[1:]))
 
 
 def test_training_order(awkward, folder):

@@ -160,23 +160,3 @@ def test_borders_and_signs_of_any_length_are_decoded():
         assert decoder.text(written).rstrip("!") == meant
         assert set(meant.rstrip(".,").split()) <= decoder.words(written)
     assert decoder.text("i d i o t  " * 5000).split() == ["idiot"] * 5000
-
-
-def test_period_keeps_every_source_within_a_block(llm):
-    share = llm.createDataFrame([("a", 7), ("b", 1), ("c", 3), ("d", 1)], "source string, share bigint")
-    rows = mixing.period_table(share).orderBy("slot").collect()
-    period = sum(s for _, s in (("a", 7), ("b", 1), ("c", 3), ("d", 1)))
-    assert [r.slot for r in rows] == list(range(period))
-    had = Counter()
-    for r in rows:
-        assert r.release <= r.slot < r.due
-        assert (r.release, r.due) == (r.j * period // r.share, ceil((r.j + 1) * period / r.share))
-        had[r.source] += 1
-        for source, s in (("a", 7), ("b", 1), ("c", 3), ("d", 1)):
-            assert abs(had[source] - (r.slot + 1) * s / period) < 1
-
-
-def test_too_many_sources_are_refused(llm):
-    share = llm.range(mixing.LONGEST_PERIOD + 1).selectExpr("CAST(id AS string) AS source", "1L AS share")
-    with pytest.raises(ValueError, match="longer than"):
-        mixing.period_table(share)
