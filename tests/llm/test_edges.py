@@ -273,10 +273,12 @@ def test_leaving_the_mixture_out_or_changing_it_changes_the_sequences(llm, tmp_p
     found = {}
     for name, ordered in (("mixed", stages["mixing"](llm, docs, "")), ("other", mixing.mixed(docs, targets)), ("none", docs)):
         ordered.write.parquet(f"{tmp_path}/{name}")
-        rows = stages["packing"](llm, llm.read.parquet(f"{tmp_path}/{name}"), "").collect()
-        found[name] = {(r.doc_id, r.piece): r.sequence_id for r in rows}
-    first = {name: sum(1 for (i, _), s in placed.items() if s < 20 and i % 5 == 0) for name, placed in found.items()}
-    assert found["mixed"] != found["none"] and found["mixed"] != found["other"] and first["other"] > first["mixed"] > first["none"]
+        written = llm.read.parquet(f"{tmp_path}/{name}")
+        found[name] = {(r.doc_id, r.piece): r.sequence_id for r in stages["packing"](llm, written, "").collect()}
+        close = packing.packed_in_order(packing.in_file_order(written), stretch=40_000).where("sequence_id < 150 AND doc_id % 5 = 0")
+        found[f"small in {name}"] = close.agg(F.sum("length")).first()[0]
+    assert found["mixed"] != found["none"] and found["mixed"] != found["other"]
+    assert found["small in other"] > 1.3 * found["small in mixed"] and found["small in mixed"] > 1.2 * found["small in none"]
 
 
 def test_sequences_follow_the_rows_of_the_files(llm, tmp_path):

@@ -2,7 +2,6 @@
 
 import random
 from collections import Counter
-from math import ceil
 
 import numpy as np
 import public_tokenizers
