@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime
 from typing import Iterable, Mapping
 
@@ -72,5 +73,14 @@ def watermark(value: object, dtype: str = "timestamp") -> Column:
     """
     if isinstance(value, datetime) and value.tzinfo is None and dtype == "timestamp_ntz":
         return F.lit(value.isoformat()).cast(dtype)
+    if isinstance(value, Typed):
+        return value.column.cast(dtype)
     c = value if isinstance(value, Column) else F.lit(value)
     return c.cast("timestamp").cast(dtype)
+
+
+@dataclass(frozen=True)
+class Typed:
+    """A value that already has the type of the column it is compared with, or its zoned or zone-less twin."""
+
+    column: Column

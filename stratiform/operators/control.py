@@ -117,7 +117,8 @@ def contract_rows(documents: DataFrame) -> DataFrame:
 
 
 # Watermark state: entity_key, current_watermark, last_row_count, last_successful_run_id,
-# last_successful_ts, is_reprocessing, reprocess_request_id, updated_ts.
+# last_successful_ts, is_reprocessing, reprocess_request_id, updated_ts and, for watermarks of any
+# type, current_mark.
 
 
 def watermarks(state: DataFrame, entities: DataFrame) -> DataFrame:
@@ -136,16 +137,19 @@ def advance(state: DataFrame, results: DataFrame, run_id: str, as_of: Column | N
     """Record successful loads (entity_key, current_watermark, last_row_count) and clear reprocess flags.
 
     A watermark never moves back, except that a finished reprocess may leave it where it ended.
+    ``current_mark`` (see ``functions.marks``) moves along if state and results have it.
     """
     now = F.current_timestamp() if as_of is None else as_of
+    held = [c for c in ("current_watermark", "current_mark") if c in state.columns and c in results.columns]
     before = state.select(
-        "entity_key", F.col("current_watermark").alias("_old"), F.col("is_reprocessing").alias("_again")
+        "entity_key", *[F.col(c).alias(f"_old_{c}") for c in held], F.col("is_reprocessing").alias("_again")
     )
     moved = results.join(before, "entity_key", "left").select(
         "entity_key",
-        F.when(F.col("_again"), F.coalesce("current_watermark", "_old"))
-        .otherwise(F.greatest("current_watermark", "_old"))
-        .alias("current_watermark"),
+        *[
+            F.when(F.col("_again"), F.coalesce(c, f"_old_{c}")).otherwise(F.greatest(c, f"_old_{c}")).alias(c)
+            for c in held
+        ],
         "last_row_count",
         F.lit(run_id).alias("last_successful_run_id"),
         now.alias("last_successful_ts"),
@@ -157,12 +161,17 @@ def advance(state: DataFrame, results: DataFrame, run_id: str, as_of: Column | N
 
 
 def rewind(state: DataFrame, requests: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """Set requested entities (entity_key, request_id, from_watermark) back and flag them as reprocessing."""
+    """Set requested entities (entity_key, request_id, from_watermark) back and flag them as reprocessing.
+
+    A start that is no time, as that of an entity with another kind of watermark, goes back to the
+    beginning; a mark is forgotten until the run has set it again.
+    """
     now = F.current_timestamp() if as_of is None else as_of
     dtype = state.schema["current_watermark"].dataType
     source = requests.select(
         "entity_key",
-        F.coalesce(F.col("from_watermark").cast(dtype), F.lit(BEGINNING).cast(dtype)).alias("current_watermark"),
+        F.coalesce(F.col("from_watermark").try_cast(dtype), F.lit(BEGINNING).cast(dtype)).alias("current_watermark"),
+        *([F.lit(None).cast("string").alias("current_mark")] if "current_mark" in state.columns else []),
         F.lit(True).alias("is_reprocessing"),
         F.col("request_id").alias("reprocess_request_id"),
         now.alias("updated_ts"),

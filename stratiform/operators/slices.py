@@ -4,15 +4,33 @@ from __future__ import annotations
 
 from typing import Any, Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from stratiform.functions.values import watermark
+from stratiform.functions.values import Typed, watermark
 from stratiform.spec import Request
 
+_TIMES = (T.TimestampType, T.TimestampNTZType, T.DateType)
 
-def _typed(df: DataFrame, column: str, value: Any):
-    return watermark(value, df.schema[column].dataType.simpleString())
+
+def _typed(df: DataFrame, column: str, value: Any) -> Column:
+    dtype = df.schema[column].dataType
+    if isinstance(dtype, _TIMES):
+        return watermark(value, dtype.simpleString())
+    value = value.column if isinstance(value, Typed) else value
+    return (value if isinstance(value, Column) else F.lit(value)).cast(dtype)
+
+
+def arrivals(df: DataFrame, column: str, last: Any) -> dict[str, Column]:
+    """Counts of rows by how their time stands to the last watermark: ``n_late`` before it, ``n_tied`` at it, ``n_untimed`` without one."""
+    if column not in df.columns:
+        return {"n_late": F.lit(0).cast("bigint"), "n_tied": F.lit(0).cast("bigint"), "n_untimed": F.count("*")}
+    untimed = F.count_if(F.col(column).isNull())
+    if last is None:
+        return {"n_late": F.lit(0).cast("bigint"), "n_tied": F.lit(0).cast("bigint"), "n_untimed": untimed}
+    bound = _typed(df, column, last)
+    return {"n_late": F.count_if(F.col(column) < bound), "n_tied": F.count_if(F.col(column) == bound), "n_untimed": untimed}
 
 
 def incremental(df: DataFrame, column: str, last: Any, inclusive: bool = False) -> DataFrame:

@@ -14,7 +14,7 @@ from stratiform.plans.catalogue.registry import AS_OF, as_of, lineitem, query, t
 from stratiform.plans.refresh import REQUEST_SCHEMA, Lake, refresh_entity
 from stratiform.plans.silver import read_silver, run_silver, silver_refresh
 from stratiform.session import scratch_dir
-from stratiform.sources import tables
+from stratiform.sources import commits, tables
 from stratiform.spec import Column_, Contract, Entity, Policy, Request, Rule
 
 _MARK = "2024-01-20T00:00:00Z"
@@ -321,6 +321,75 @@ def reprocess_job(spark, d):
     return tables.current(spark, lake.table(entity, "silver")).drop("_silver_processed_ts")
 
 
+_DAY = "date_trunc('day', ts)"
+_ARRIVED = f"""
+    first_commit AS (SELECT * REPLACE (CAST({_DAY} AS TIMESTAMP) AS ts), 0 AS c FROM events WHERE ts <= {_MARK_SQL} AND event_id % 5 <> 0),
+    later AS (
+        SELECT * REPLACE (CAST({_DAY} AS TIMESTAMP) AS ts), CASE WHEN ts > {_MARK_SQL} AND event_id % 3 <> 0 THEN 2 ELSE 1 END AS c
+        FROM events WHERE ts > {_MARK_SQL} OR event_id % 5 = 0
+        UNION ALL SELECT * REPLACE (CAST(NULL AS TIMESTAMP) AS ts, value + 1000 AS value), 1 FROM events WHERE event_id % 7 = 0
+        UNION ALL SELECT * REPLACE (CAST(NULL AS TIMESTAMP) AS ts, user_id + 100000000 AS user_id), 2 FROM events WHERE event_id % 11 = 0)"""
+
+
+def _arrivals(spark, d):
+    """A lake with a first commit of events by day, refreshed, and then two commits with late rows, ties and rows without a time, refreshed at once."""
+    events, day, late = table(spark, d, "events"), F.date_trunc("day", "ts").cast("timestamp_ntz"), F.lit(_MARK[:-1]).cast("timestamp_ntz")
+    new, held = F.col("t") > late, F.col("event_id") % 5 == 0
+    timed = events.withColumns({"t": F.col("ts"), "ts": day})
+    untimed = events.withColumn("ts", F.lit(None).cast("timestamp_ntz"))
+    lake, entity = Lake(scratch_dir(spark, "lake")), Entity("users", ("user_id",), "ts")
+    base = f"{lake.root}/bronze/users"
+    commits.append_commit(timed.filter(~new & ~held).select(events.columns), base)
+    refresh_entity(spark, lake, entity, commits.Commits(base), "run-1", as_of=as_of())
+    one = timed.filter((~new & held) | (new & (F.col("event_id") % 3 == 0))).select(events.columns)
+    strays = untimed.filter("event_id % 7 = 0").withColumn("value", F.col("value") + 1000)
+    two = timed.filter(new & (F.col("event_id") % 3 != 0)).select(events.columns)
+    strangers = untimed.filter("event_id % 11 = 0").withColumn("user_id", F.col("user_id") + 100_000_000)
+    commits.append_commit(one.unionByName(strays), base)
+    commits.append_commit(two.unionByName(strangers), base)
+    report = refresh_entity(spark, lake, entity, commits.Commits(base), "run-2", as_of=as_of())
+    return tables.current(spark, lake.table(entity, "silver")).drop("_silver_processed_ts"), report
+
+
+@query(
+    "silver_job_late",
+    f"""WITH {_ARRIVED}, everything AS (SELECT * FROM first_commit UNION ALL SELECT * FROM later)
+        SELECT event_id, ts, user_id, event_type, value, props FROM everything
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, c DESC, event_id DESC) = 1""",
+)
+def silver_job_late(spark, d):
+    """The newest row of each user over all commits, of equal times the one that came last, although two runs saw them apart."""
+    return _arrivals(spark, d)[0]
+
+
+@query(
+    "silver_job_late_counts",
+    f"""WITH {_ARRIVED}, mark AS (SELECT max(ts) AS m FROM first_commit)
+        SELECT count(*) AS n_read, count(*) FILTER (ts < m) AS n_late, count(*) FILTER (ts = m) AS n_tied, count(*) FILTER (ts IS NULL) AS n_untimed,
+               count(DISTINCT user_id) AS n_clean, count(*) - count(DISTINCT user_id) AS n_duplicates FROM later, mark""",
+)
+def silver_job_late_counts(spark, d):
+    """What the second run says about the rows that a watermark would have passed over."""
+    counts = _arrivals(spark, d)[1]["counts"]
+    names = ["n_read", "n_late", "n_tied", "n_untimed", "n_clean", "n_duplicates"]
+    return spark.createDataFrame([tuple(counts[n] for n in names)], ", ".join(f"{n} bigint" for n in names))
+
+
+@query(
+    "refresh_int_watermark",
+    """SELECT event_id, ts, user_id, event_type, value + CASE WHEN event_id > (SELECT max(event_id) // 2 FROM events) THEN 1 ELSE 0 END AS value,
+              props FROM events""",
+)
+def refresh_int_watermark(spark, d):
+    """An entity whose watermark is a whole number: the second run reads only what lies above the first one's."""
+    events = table(spark, d, "events")
+    half = events.agg(F.floor(F.max("event_id") / 2)).scalar()
+    lake, entity = Lake(scratch_dir(spark, "lake")), Entity("events", ("event_id",), "event_id")
+    refresh_entity(spark, lake, entity, events.filter(F.col("event_id") <= half), "run-1", as_of=as_of())
+    refresh_entity(spark, lake, entity, events.withColumn("value", F.col("value") + 1), "run-2", as_of=as_of())
+    return tables.current(spark, lake.table(entity, "silver")).drop("_silver_processed_ts")
+
+
 @query(
     "silver_refresh_quarantine",
     f"""SELECT * REPLACE (sha256(l_returnflag) AS l_returnflag, repeat('*', length(l_linestatus)) AS l_linestatus),

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 from typing import Any, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from stratiform.functions import lineage
+from stratiform.functions import lineage, marks
 from stratiform.functions.checks import all_not_null
 from stratiform.functions.protect import protect
 from stratiform.operators import contract, quality, slices
@@ -16,6 +18,7 @@ from stratiform.operators.dedupe import latest_per_key
 from stratiform.operators.keyed import not_older, upsert
 from stratiform.session import discard, materialize, scanned_bytes, scratch_dir, size_shuffles
 from stratiform.sources import tables
+from stratiform.sources.commits import COMMIT, GENERATION
 from stratiform.spec import Entity, Request, Rule
 
 
@@ -37,7 +40,8 @@ def refined(piece: DataFrame, entity: Entity) -> DataFrame:
     if missing:
         raise ValueError(f"key columns missing from {entity.key}: {missing}")
     by = [entity.watermark_column] if entity.watermark_column in piece.columns else []
-    latest = latest_per_key(piece.filter(all_not_null(keys)), keys, by)
+    arrived = [c for c in (GENERATION, COMMIT) if c in piece.columns]  # of equal times, the later commit is newer
+    latest = latest_per_key(piece.filter(all_not_null(keys)), keys, [*by, *arrived]).drop(*arrived)
     return contract.conform(latest, entity.contract) if entity.contract else latest
 
 
@@ -92,11 +96,12 @@ class QualityFailure(RuntimeError):
 
 
 def _current_only(
-    changed: DataFrame, silver: DataFrame | None, entity: Entity, request: Request | None
+    changed: DataFrame, silver: DataFrame | None, entity: Entity, request: Request | None, by_arrival: bool = False
 ) -> DataFrame:
-    """A reprocessed window may hold rows older than what silver has for the key; those stay out."""
+    """A reprocessed window, and what has arrived, may hold rows older than what silver has for the key; those stay out."""
     mark = entity.watermark_column
-    if silver is None or request is None or request.mode != "window" or mark not in silver.columns:
+    old_rows = by_arrival if request is None else request.mode == "window"
+    if silver is None or not old_rows or mark not in silver.columns or mark not in changed.columns:
         return changed
     return not_older(changed, silver, entity.primary_key, mark)
 
@@ -131,9 +136,14 @@ def run_silver(
     key_set: DataFrame | None = None,
     encryption_keys: Mapping[str, str] | None = None,
     as_of: Column | None = None,
+    by_arrival: bool = False,
 ) -> dict[str, Any]:
     """Run a refresh as a job: stage the evaluated rows once, gate, publish, report.
 
+    ``by_arrival`` takes all of ``bronze``, which then holds the new commits only, whatever the times in
+    it: rows before the last watermark, at it and without a time are counted and compared
+    with silver key by key. A key keeps its newest row, of equal times the one that arrived last.
+
     Quarantine gets one version per run; silver keeps its newest two. The stage goes even if the gate fails. Violations are counted in the tasks that write the staged table, so the slice is evaluated
     once and every later step starts from files that survive lost executors. What was read is
     counted by a scan of key and watermark columns: counters ahead of a shuffle could count a
@@ -141,13 +151,15 @@ def run_silver(
     quarantined + dropped + clean.
     """
     keys = list(entity.primary_key)
-    piece = slices.for_run(bronze, entity.watermark_column, last, request, key_set, keys)
+    by_arrival = by_arrival and request is None
+    piece = bronze if by_arrival else slices.for_run(bronze, entity.watermark_column, last, request, key_set, keys)
     size_shuffles(spark, scanned_bytes(piece))
-    has_mark = entity.watermark_column in piece.columns
+    how = slices.arrivals(piece, entity.watermark_column, last) if by_arrival else {}
     read = piece.agg(
         F.count("*").alias("n_read"),
         F.count_if(~all_not_null(keys)).alias("n_key_missing"),
-        (F.max(entity.watermark_column) if has_mark else F.max(F.lit(None).cast("string"))).alias("mark"),
+        *[c.alias(n) for n, c in how.items()],
+        *_newest(piece, entity.watermark_column),
     ).first()
     prepared, rules, helpers = quality.with_helpers(refined(piece, entity), entity.rules, keys)
     rows, violations = quality.observe(prepared, rules, keys, as_of)
@@ -167,7 +179,7 @@ def run_silver(
         if blocked:
             raise QualityFailure(f"{entity.key}: {blocked}")
         staged = spark.read.parquet(stage)
-        changed = _current_only(quality.clean_rows(staged), read_silver(spark, entity, base), entity, request)
+        changed = _current_only(quality.clean_rows(staged), read_silver(spark, entity, base), entity, request, by_arrival)
         _merge(spark, changed, entity, base)
         tables.publish(quality.quarantined_rows(staged), quarantine_base)
     finally:
@@ -178,4 +190,22 @@ def run_silver(
     counts["n_duplicates"] = counts["n_read"] - counts["n_key_missing"] - sum(
         counts[k] for k in ("n_clean", "n_dropped", "n_quarantined")
     )
-    return {"counts": counts, "violations": failed, "watermark": counts.pop("mark")}
+    mark, shown = counts.pop("mark"), counts.pop("shown")
+    return {"counts": counts, "violations": failed, "watermark": _shown(shown), "mark": mark}
+
+
+def _newest(piece: DataFrame, column: str) -> list[Column]:
+    """The largest watermark as its mark and to be shown; times leave Spark as text, so no zone of the driver moves them."""
+    if column not in piece.columns:
+        return [F.lit(None).cast("string").alias("mark"), F.lit(None).cast("string").alias("shown")]
+    dtype, top = piece.schema[column].dataType, F.max(column)
+    zoned = isinstance(dtype, (T.TimestampType, T.TimestampNTZType))
+    return [marks.mark(top, dtype).alias("mark"), (top.cast("timestamp_ntz").cast("string") if zoned else top).alias("shown")]
+
+
+def _shown(value: Any) -> Any:
+    """A time as a datetime if Python has it."""
+    try:
+        return datetime.fromisoformat(value) if isinstance(value, str) else value
+    except ValueError:
+        return value

@@ -1,0 +1,235 @@
+"""Marks of any ordered type, commits and their ledger, and silver runs by arrival."""
+
+import os
+import time
+from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from stratiform.functions import marks
+from stratiform.operators import keyed
+from stratiform.plans.refresh import REQUEST_SCHEMA, STATE_SCHEMA, Lake, refresh_entity
+from stratiform.sources import commits, tables
+from stratiform.sources.commits import Commits, Position
+from stratiform.spec import Entity
+
+T0 = datetime(2024, 1, 1)
+ENTITY = Entity("things", ("id",), "t")
+
+# Values of each type in their order.
+ORDERED = {
+    "tinyint": ["-128", "0", "127"],
+    "int": ["-2147483648", "-10", "-9", "0", "7", "2147483647"],
+    "bigint": ["-9223372036854775808", "-1", "0", "10", "9223372036854775807"],
+    "decimal(10,3)": ["-12.345", "-0.001", "0", "0.5", "9999999.999"],
+    "decimal(38,0)": ["-99999999999999999999999999999999999999", "-10", "9", "99999999999999999999999999999999999999"],
+    "decimal(5,5)": ["-0.1", "0.00001", "0.9"],
+    "double": ["'-Infinity'", "-1.5e300D", "-1.0D", "-2e-320D", "0.0D", "2e-320D", "1.0D", "1.1D", "'Infinity'"],
+    "float": ["-1.5D", "0.25D", "3e38D"],
+    "date": ["'0001-01-01'", "'1969-12-31'", "'1970-01-01'", "'2024-02-29'", "'9999-12-31'"],
+    "timestamp": ["'0001-01-01 00:00:00.000001Z'", "'1969-12-31 23:59:59.999999Z'", "'2024-01-01 12:34:56.789012Z'", "'9999-12-31 00:00:00Z'"],
+    "timestamp_ntz": ["'0001-01-01 00:00:00.000001'", "'1969-12-31 23:59:59.999999'", "'2024-03-31 02:34:56.789012'", "'9999-12-31 00:00:00'"],
+    "string": ["''", "'a'", "'ab'", "'b'", "'é'"],
+}
+
+
+@pytest.mark.parametrize("name", ORDERED)
+def test_marks_sort_like_their_values_and_come_back(spark, name):
+    df = spark.sql(" UNION ALL ".join(f"SELECT {i} AS i, CAST({v} AS {name}) AS v" for i, v in enumerate(ORDERED[name])))
+    dtype = df.schema["v"].dataType
+    found = [r["m"] for r in df.select("i", marks.mark(F.col("v"), dtype).alias("m")).orderBy("i").collect()]
+    assert found == sorted(set(found))
+    for i, mark in enumerate(found):
+        assert [r["i"] for r in df.filter(F.col("v") == marks.value(mark, dtype)).select("i").collect()] == [i]
+    assert df.select(marks.mark(F.lit(None).cast(dtype), dtype)).first()[0] is None
+
+
+def test_marks_of_another_kind_are_refused(spark):
+    one = spark.sql("SELECT 1 AS i, TIMESTAMP_NTZ '2024-01-01 10:00:00' AS z, map(1, 2) AS m")
+    whole = one.select(marks.mark(F.col("i"), one.schema["i"].dataType)).first()[0]
+    with pytest.raises(ValueError, match="is no"):
+        marks.value(whole, one.schema["z"].dataType)
+    with pytest.raises(ValueError, match="no watermark"):
+        marks.kind(one.schema["m"].dataType)
+
+
+def test_a_mark_is_pushed_to_the_scan(spark, folder):
+    spark.range(100).write.parquet(f"{folder}/t")
+    df = spark.read.parquet(f"{folder}/t")
+    plan = df.filter(F.col("id") > marks.value("i10000000000000000042", df.schema["id"].dataType))._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(id,42)" in plan
+
+
+def test_commits_are_read_after_a_position(spark, folder, rows_of):
+    base = f"{folder}/b"
+    assert commits.positions(spark, base) == [] and commits.read_after(spark, base) is None and commits.newest(spark, base) is None
+    first = commits.append_commit(spark.range(3), base)
+    second = commits.append_commit(spark.range(3, 5).withColumn("x", F.lit("new")), base)
+    assert (first, second) == (Position(0, 0), Position(0, 1))
+    assert rows_of(commits.read_after(spark, base), "id", "x", "_commit") == [(0, None, 0), (1, None, 0), (2, None, 0), (3, "new", 1), (4, "new", 1)]
+    after = commits.read_after(spark, base, first)
+    assert rows_of(after, "id") == [(3,), (4,)] and all("_commit=1" in f for f in after.inputFiles())
+    assert commits.read_after(spark, base, second) is None
+    assert rows_of(commits.ledger(spark, base), "generation", "commit", "n_rows") == [(0, 0, 3), (0, 1, 2)]
+    third = commits.append_commit(spark.range(9), base, generation=1)
+    assert third == Position(1, 0) and commits.append_commit(spark.range(1), base) == Position(1, 1)
+    assert commits.read_after(spark, base, second, third).count() == 9
+
+
+def test_a_replayed_commit_is_the_same_commit(spark, folder):
+    base, at = f"{folder}/b", Position(0, 4)
+    assert commits.append_commit(spark.range(3), base, at) == commits.append_commit(spark.range(99), base, at) == at
+    assert commits.read_after(spark, base).count() == 3
+
+
+def test_commits_of_several_writers_all_stay(spark, folder):
+    base = f"{folder}/b"
+    with ThreadPoolExecutor(4) as pool:
+        got = list(pool.map(lambda n: commits.append_commit(spark.range(n + 1), base), range(6)))
+    assert sorted(p.commit for p in got) == list(range(6))
+    assert commits.read_after(spark, base).count() == 21
+
+
+def test_an_unfinished_commit_holds_readers_back_and_is_passed_over_when_stale(spark, folder):
+    base = f"{folder}/b"
+    commits.append_commit(spark.range(3), base)
+    commits._create(spark, f"{base}/{Position(0, 1).entry}").close()
+    commits.append_commit(spark.range(5), base)
+    assert commits.positions(spark, base) == [Position(0, 0)]
+    os.utime(f"{base}/{Position(0, 1).entry}", (time.time() - 3600,) * 2)
+    assert commits.positions(spark, base) == [Position(0, 0), Position(0, 2)]
+    commits.append_commit(spark.range(7), base, Position(0, 1))  # its own replay fills it
+    assert commits.read_after(spark, base).count() == 15
+
+
+def test_a_stream_commits_its_batches_once(spark, folder):
+    landing, base, checkpoint = f"{folder}/in", f"{folder}/b", f"{folder}/cp"
+    for n in range(3):
+        spark.range(n * 10, n * 10 + 4).coalesce(1).write.mode("append").parquet(landing)
+    stream = spark.readStream.schema("id bigint").option("maxFilesPerTrigger", "1").parquet(landing)
+    commits.commit_stream(stream, base, checkpoint)
+    assert len(commits.positions(spark, base)) == 3
+    spark.range(100, 101).write.mode("append").parquet(landing)
+    commits.commit_stream(spark.readStream.schema("id bigint").parquet(landing), base, checkpoint)
+    new = commits.read_after(spark, base, Position(0, 2))
+    assert [r["id"] for r in new.collect()] == [100] and commits.read_after(spark, base).count() == 13
+
+
+def bronze(spark, *rows):
+    listed = [(i, None if h is None else T0 + timedelta(hours=h), v) for i, h, v in rows]
+    return spark.createDataFrame(listed, "id int, t timestamp_ntz, v int")
+
+
+def silver(spark, lake):
+    return sorted((r["id"], r["v"]) for r in tables.current(spark, lake.table(ENTITY, "silver")).collect())
+
+
+def arrivals(rows):
+    """Newest row of each key: the later time, then the later commit; no time is older than any."""
+    best = {}
+    for n, (i, h, v) in enumerate(rows):
+        rank = (-1 if h is None else h, n)
+        if i not in best or rank >= best[i][0]:
+            best[i] = (rank, v)
+    return sorted((i, v) for i, (_, v) in best.items())
+
+
+COMMITS = [
+    [(1, 5, 1), (2, 5, 2), (3, 1, 3), (8, None, 80)],
+    [(1, 5, 11), (3, 0, 33), (4, 2, 4), (5, None, 5), (2, 9, 22), (8, 3, 81)],
+    [(5, None, 55), (4, None, 44), (6, 9, 6), (3, 1, 333)],
+]
+
+
+@pytest.mark.parametrize("runs", [(1, 1, 1), (2, 1), (1, 2), (3,)])
+def test_no_row_is_passed_over_however_commits_fall_into_runs(spark, folder, runs):
+    lake, base, done, reports = Lake(folder), f"{folder}/b", 0, []
+    for n in runs:
+        for rows in COMMITS[done : done + n]:
+            commits.append_commit(bronze(spark, *rows), base)
+        done += n
+        reports.append(refresh_entity(spark, lake, ENTITY, Commits(base), f"r{done}")["counts"])
+    assert silver(spark, lake) == arrivals([r for rows in COMMITS for r in rows])
+    assert sum(c["n_read"] for c in reports) == sum(map(len, COMMITS))
+    if runs == (1, 1, 1):
+        assert [(c["n_late"], c["n_tied"], c["n_untimed"]) for c in reports] == [(0, 0, 1), (3, 1, 1), (1, 1, 2)]
+
+
+def test_a_run_without_new_commits_reads_nothing_and_changes_nothing(spark, folder):
+    lake, base = Lake(folder), f"{folder}/b"
+    assert refresh_entity(spark, lake, ENTITY, Commits(base), "r0")["counts"] == {"n_read": 0}
+    commits.append_commit(bronze(spark, (1, 5, 1)), base)
+    refresh_entity(spark, lake, ENTITY, Commits(base), "r1")
+    assert refresh_entity(spark, lake, ENTITY, Commits(base), "r2")["counts"] == {"n_read": 0}
+    assert silver(spark, lake) == [(1, 1)] and tables.current(spark, lake.state).first()["current_watermark"] == T0 + timedelta(hours=5)
+
+
+def test_a_second_run_reads_no_old_file(spark, folder):
+    lake, base = Lake(folder), f"{folder}/b"
+    old = commits.append_commit(bronze(spark, (1, 5, 1)), base)
+    refresh_entity(spark, lake, ENTITY, Commits(base), "r1")
+    commits.append_commit(bronze(spark, (2, 1, 2)), base)
+    for file in commits.read_after(spark, base, None, old).inputFiles():
+        os.remove(file.removeprefix("file://"))  # a run that reads it would fail
+    refresh_entity(spark, lake, ENTITY, Commits(base), "r2")
+    assert silver(spark, lake) == [(1, 1), (2, 2)]
+
+
+def test_a_broken_run_consumes_nothing(spark, folder):
+    lake, base = Lake(folder), f"{folder}/b"
+    commits.append_commit(bronze(spark, (1, 5, 1)), base)
+    with pytest.raises(ValueError, match="key columns"):
+        refresh_entity(spark, lake, Entity("things", ("nope",), "t"), Commits(base), "r1")
+    assert refresh_entity(spark, lake, ENTITY, Commits(base), "r2")["counts"]["n_read"] == 1
+
+
+@pytest.mark.parametrize(("mode", "read", "after"), [("full", 2, 1), ("window", 1, 2)])
+def test_requests_read_the_newest_generation_and_only_a_full_one_consumes(spark, folder, mode, read, after):
+    lake, base = Lake(folder), f"{folder}/b"
+    commits.append_commit(bronze(spark, (1, 5, 1), (2, 6, 2), (9, 0, 9)), base)
+    refresh_entity(spark, lake, ENTITY, Commits(base), "r1")
+    commits.append_commit(bronze(spark, (1, 5, 10), (2, 6, 20)), base, generation=1)
+    asked = spark.createDataFrame([("q", ["things"], mode, None, T0 + timedelta(hours=5), "approved", T0)], "request_id string, requested_entities array<string>, reprocess_mode string, from_watermark timestamp_ntz, to_watermark timestamp_ntz, status string, created_ts timestamp_ntz")
+    tables.publish(keyed.append(spark.createDataFrame([], REQUEST_SCHEMA), asked), lake.requests)
+    assert refresh_entity(spark, lake, ENTITY, Commits(base), "r2")["counts"]["n_read"] == read
+    commits.append_commit(bronze(spark, (3, 7, 3)), base)
+    expected = {"full": 1, "window": 3}[mode]
+    assert refresh_entity(spark, lake, ENTITY, Commits(base), "r3")["counts"]["n_read"] == expected
+    assert silver(spark, lake) == [(1, 10), (2, 20), (3, 3), (9, 9)]
+
+
+@pytest.mark.parametrize("dtype", ["bigint", "decimal(12,2)", "date", "string", "timestamp", "double"])
+def test_watermarks_of_any_type_move(spark, folder, dtype):
+    entity, lake = Entity("things", ("id",), "m"), Lake(folder)
+    value = {"date": "date_add(DATE '1999-12-30', CAST(id AS int))", "timestamp": "timestamp_seconds(id * 3600)", "string": "concat('k', lpad(id, 5, '0'))"}.get(dtype, "id - 3")
+    rows = spark.range(8).selectExpr("id", f"CAST({value} AS {dtype}) AS m", "id AS v")
+    first = refresh_entity(spark, lake, entity, rows.filter("id < 5"), "r1")
+    second = refresh_entity(spark, lake, entity, rows.withColumn("v", F.col("v") + 100), "r2")
+    assert first["counts"]["n_read"] == 5 and second["counts"]["n_read"] == 3
+    assert refresh_entity(spark, lake, entity, rows, "r3")["counts"]["n_read"] == 0
+    got = tables.current(spark, lake.table(entity, "silver")).collect()
+    assert sorted((r["id"], r["v"]) for r in got) == [(i, i + 100 * (i >= 5)) for i in range(8)]
+
+
+@pytest.mark.parametrize("dtype", ["timestamp", "timestamp_ntz"])
+def test_the_zone_of_the_driver_does_not_move_a_watermark(spark, folder, dtype):
+    entity, lake, before = Entity("things", ("id",), "m"), Lake(folder), os.environ.get("TZ")
+    rows = spark.range(48).selectExpr("id", f"CAST(timestamp_seconds(1711800000 + id * 1800) AS {dtype}) AS m")
+    try:
+        for zone, upto, read in (("Asia/Tokyo", 20, 20), ("America/New_York", 21, 1), ("Europe/Berlin", 48, 27), ("UTC", 48, 0)):
+            os.environ["TZ"] = zone
+            time.tzset()
+            assert refresh_entity(spark, lake, entity, rows.filter(F.col("id") < upto), zone)["counts"]["n_read"] == read
+    finally:
+        os.environ.pop("TZ") if before is None else os.environ.update(TZ=before)
+        time.tzset()
+
+
+def test_state_written_before_there_were_marks_goes_on(spark, folder):
+    lake = Lake(folder)
+    old = spark.createDataFrame([("things", T0, 1, "r0", T0, False, None, T0)], STATE_SCHEMA.removesuffix(", current_mark string"))
+    tables.publish(old, lake.state)
+    assert refresh_entity(spark, lake, ENTITY, bronze(spark, (1, 0, 1), (2, 1, 2)), "r1")["counts"]["n_read"] == 1
+    assert tables.current(spark, lake.state).first()["current_mark"].startswith("z1")
