@@ -37,9 +37,14 @@ def allowed_values(column: str, values: Iterable[Any]) -> Column:
     return F.col(column).isNull() | F.col(column).isin(list(values))
 
 
+def expanded(sql: str, keys: Iterable[str] = ()) -> str:
+    """The text with the key columns for ``{primary_key_columns}``."""
+    return sql.replace("{primary_key_columns}", ", ".join(f"`{k}`" for k in keys))
+
+
 def expression(sql: str, keys: Iterable[str] = ()) -> Column:
     """A SQL predicate; ``{primary_key_columns}`` expands to the key columns."""
-    return F.expr(sql.replace("{primary_key_columns}", ", ".join(f"`{k}`" for k in keys)))
+    return F.expr(expanded(sql, keys))
 
 
 def key_present(keys: Iterable[str]) -> Column:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, replace
 from functools import reduce
-from typing import Iterable, Sequence
+from typing import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
@@ -113,17 +114,31 @@ def apply_rules(
     return Outcome(clean_rows(results), quarantined_rows(results), metrics(rows, rules, keys, as_of))
 
 
+def looks_at_other_rows(rule: Rule) -> bool:
+    """Whether a row's result depends on the rows beside it."""
+    return rule.check == "unique" or (rule.expression is not None and has_window(rule.expression))
+
+
 def with_helpers(
-    df: DataFrame, rules: Sequence[Rule], keys: Sequence[str] = ()
+    df: DataFrame, rules: Sequence[Rule], keys: Sequence[str] = (), only: Callable[[Rule], bool] = lambda rule: True
 ) -> tuple[DataFrame, list[Rule], list[str]]:
     """Add the columns that table-level rules need; returns rows, rules that use them, and their names.
 
     A ``unique`` rule looks at ``columns``, by default the primary key. An ``exists`` rule names
-    its ``column``, the ``reference`` DataFrame and the ``reference_column``.
+    its ``column``, the ``reference`` DataFrame and the ``reference_column``. An expression may
+    hold window functions (see ``with_windows``). ``only`` picks rules; others stay as they are.
     """
     prepared, helpers = [], []
     for number, rule in enumerate(rules):
         helper = f"_rule_{number}"
+        if not only(rule):
+            prepared.append(rule)
+            continue
+        if rule.expression is not None and has_window(rule.expression):
+            df, text, made = with_windows(df, checks.expanded(rule.expression, keys), helper)
+            prepared.append(replace(rule, expression=text))
+            helpers += made
+            continue
         if rule.check == "unique" and "helper" not in rule.params:
             df = with_key_count(df, list(rule.params.get("columns") or keys), helper)
             rule = replace(rule, params={"helper": helper})
@@ -139,12 +154,67 @@ def with_helpers(
     return df, prepared, helpers
 
 
+_QUOTED = r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\""
+# An aggregate over whole groups: no order, no frame, nothing nested.
+_OVER_GROUP = re.compile(
+    rf"{_QUOTED}|\b(?P<call>(?:count|sum|min|max|avg)\s*\([^()']*\))\s*over\s*\(\s*partition\s+by\s+"
+    r"(?P<by>(?:(?!\b(?:order\s+by|rows|range)\b)[^()'])+)\)",
+    re.IGNORECASE,
+)
+_OVER = re.compile(rf"{_QUOTED}|(?P<over>\bover\s*\()", re.IGNORECASE)
+
+
+def has_window(sql: str) -> bool:
+    """Whether an expression holds window functions, outside of quoted text."""
+    return any(m["over"] for m in _OVER.finditer(sql))
+
+
+def with_windows(df: DataFrame, sql: str, out: str) -> tuple[DataFrame, str, list[str]]:
+    """Rows with helper columns for the window functions of an expression, what is left of it, and their names.
+
+    Filters and aggregates cannot hold window functions. An aggregate over whole groups becomes a partial
+    aggregation that is joined back, so a hot group is neither sorted nor gathered in one task; a count of
+    rows joins back repeated groups only. Windows with an order are left to Spark: the whole
+    expression becomes a column.
+    """
+    helpers: list[str] = []
+
+    def taken(m: re.Match) -> str:
+        nonlocal df
+        if not m["call"]:
+            return m[0]
+        by, name = [b.strip() for b in m["by"].split(",")], f"{out}_{len(helpers)}"
+        whole_rows = re.fullmatch(r"count\s*\(\s*[*1]\s*\)", m["call"], re.IGNORECASE)
+        df = with_key_count(df, by, name) if whole_rows and all(_column(df, b) for b in by) else with_group_value(df, by, m["call"], name)
+        helpers.append(name)
+        return f"`{name}`"
+
+    left = _OVER_GROUP.sub(taken, sql)
+    if has_window(left):
+        df, left = df.withColumn(out, F.expr(left)), f"`{out}`"
+        helpers.append(out)
+    return df, left, helpers
+
+
+def _column(df: DataFrame, text: str) -> bool:
+    return text.strip("`") in df.columns
+
+
+def with_group_value(df: DataFrame, by: Sequence[str], aggregate: str, out: str) -> DataFrame:
+    """An aggregate (SQL text) over the group that ``by`` (SQL texts) put a row in; NULL is a group."""
+    keys = [f"{out}_by_{n}" for n in range(len(by))]
+    groups = df.groupBy(*[F.expr(b).alias(k) for b, k in zip(by, keys)]).agg(F.expr(aggregate).alias(out))
+    same = reduce(lambda a, b: a & b, [F.expr(b).eqNullSafe(F.col(k)) for b, k in zip(by, keys)])
+    return df.join(groups, same, "left").drop(*keys)
+
+
 def with_key_count(df: DataFrame, keys: Sequence[str], out: str = "_key_count") -> DataFrame:
     """How often the row's key occurs.
 
     Counted by a partial aggregation and joined back for repeated keys only: a clean table joins
     with nothing, and a hot key is split by AQE because the counted side has one row per key.
     """
+    keys = [k.strip("`") for k in keys]
     repeated = df.groupBy(*keys).agg(F.count("*").alias(out)).filter(F.col(out) > 1)
     marked = repeated.select(*[F.col(k).alias(f"_k_{k}") for k in keys], out)
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])

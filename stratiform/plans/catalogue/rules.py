@@ -212,6 +212,36 @@ def dq_table_rules(spark, d):
     return outcome.quarantine.withColumn("failed_rules", F.array_join("failed_rules", ","))
 
 
+_WINDOWED = [
+    Rule("silver_unique_business_key", "COUNT(*) OVER (PARTITION BY {primary_key_columns}) = 1", action="quarantine"),
+    Rule("no_whale", "l_extendedprice < 0.95 * SUM(l_extendedprice) OVER (PARTITION BY l_orderkey) OR count(1) over (partition by l_orderkey) = 1", action="drop"),
+    Rule("order_bounded", "max(l_quantity) OVER (PARTITION BY l_orderkey, l_returnflag) <= 50", action="fail"),
+    Rule("not_a_jump", "l_quantity <= 40 + coalesce(lag(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey), 50)", action="quarantine"),
+    Rule("note", "l_returnflag <> 'over (partition by)'", action="drop"),
+]
+
+
+@query(
+    "dq_window_expression",
+    """WITH t AS (SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_quantity, l_returnflag FROM lineitem WHERE l_linenumber <= 6
+                  UNION ALL SELECT l_orderkey, l_linenumber, l_partkey + 1, l_extendedprice, l_quantity, l_returnflag FROM lineitem WHERE l_linenumber = 2 AND l_orderkey % 7 = 0),
+            w AS (SELECT *, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) = 1 AS single,
+                         l_extendedprice < 0.95 * sum(l_extendedprice) OVER (PARTITION BY l_orderkey) OR count(*) OVER (PARTITION BY l_orderkey) = 1 AS no_whale,
+                         l_quantity <= 40 + coalesce(lag(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey), 50) AS no_jump FROM t)
+       SELECT l_orderkey, l_linenumber, l_partkey, l_quantity,
+              concat_ws(',', CASE WHEN NOT single THEN 'silver_unique_business_key' END, CASE WHEN NOT no_jump THEN 'not_a_jump' END) AS failed_rules
+       FROM w WHERE no_whale""",
+)
+def dq_window_expression(spark, d):
+    """Rules with window functions that fail, drop and quarantine, the default rule of a unique key among them."""
+    columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity", "l_returnflag"]
+    items = table(spark, d, "lineitem").select(columns)
+    again = items.filter("l_linenumber = 2 AND l_orderkey % 7 = 0").withColumn("l_partkey", F.col("l_partkey") + 1)
+    outcome = quality.apply_rules(items.filter("l_linenumber <= 6").unionByName(again), _WINDOWED, ["l_orderkey", "l_linenumber"])
+    rows = outcome.quarantine.unionByName(outcome.clean.withColumn("failed_rules", F.array().cast("array<string>")))
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", F.array_join("failed_rules", ",").alias("failed_rules"))
+
+
 @query(
     "volume_floor_checks",
     """SELECT * FROM (SELECT 'customer' AS table_name, count(*) AS n_rows, CAST(100 AS BIGINT) AS min_rows, count(*) >= 100 AS is_ok FROM customer

@@ -33,16 +33,24 @@ class Refresh:
     watermark: DataFrame
 
 
-def refined(piece: DataFrame, entity: Entity) -> DataFrame:
-    """Rows with a complete key, latest per key, conformed to the contract."""
+def refined(piece: DataFrame, entity: Entity) -> tuple[DataFrame, list[Rule], list[str]]:
+    """Rows with a complete key, conformed to the contract, latest per key; the rules as they are to be evaluated, and their helper columns.
+
+    Rules that look at other rows, such as a unique key, see the rows before the dedupe, which would hide what they ask for.
+    """
     keys = list(entity.primary_key)
     missing = [k for k in keys if k not in piece.columns]
     if missing:
         raise ValueError(f"key columns missing from {entity.key}: {missing}")
     by = [entity.watermark_column] if entity.watermark_column in piece.columns else []
     arrived = [c for c in (GENERATION, COMMIT) if c in piece.columns]  # of equal times, the later commit is newer
-    latest = latest_per_key(piece.filter(all_not_null(keys)), keys, [*by, *arrived]).drop(*arrived)
-    return contract.conform(latest, entity.contract) if entity.contract else latest
+    rest = [c for c in piece.columns if c not in (*keys, *by, *arrived)]
+    keyed_rows = piece.filter(all_not_null(keys))
+    conformed = contract.conform(keyed_rows, entity.contract) if entity.contract else keyed_rows
+    rows, rules, early = quality.with_helpers(conformed, entity.rules, keys, quality.looks_at_other_rows)
+    latest = latest_per_key(rows, keys, [*by, *arrived], rest).drop(*arrived)
+    rows, rules, late = quality.with_helpers(latest, rules, keys)
+    return rows, rules, [*early, *late]
 
 
 def _evaluated(
@@ -75,7 +83,7 @@ def silver_refresh(
     """
     keys = list(entity.primary_key)
     piece = slices.for_run(bronze, entity.watermark_column, last, request, key_set, keys)
-    rows, rules, helpers = quality.with_helpers(refined(piece, entity), entity.rules, keys)
+    rows, rules, helpers = refined(piece, entity)
     passed = quality.gate(rows, rules, keys, as_of)
     results = _evaluated(passed, entity, rules, helpers, encryption_keys, as_of)
     if stage:
@@ -161,7 +169,7 @@ def run_silver(
         *[c.alias(n) for n, c in how.items()],
         *_newest(piece, entity.watermark_column),
     ).first()
-    prepared, rules, helpers = quality.with_helpers(refined(piece, entity), entity.rules, keys)
+    prepared, rules, helpers = refined(piece, entity)
     rows, violations = quality.observe(prepared, rules, keys, as_of)
     outcomes = Observation()
     clean, dropped = F.size(quality.FAILED) == 0, F.col(quality.DROPPED)

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from stratiform.functions import marks
 from stratiform.operators import keyed
 from stratiform.plans.refresh import REQUEST_SCHEMA, STATE_SCHEMA, Lake, refresh_entity
+from stratiform.plans.silver import QualityFailure
 from stratiform.sources import commits, tables
 from stratiform.sources.commits import Commits, Position
-from stratiform.spec import Entity
+from stratiform.spec import Entity, Rule
 
 T0 = datetime(2024, 1, 1)
 ENTITY = Entity("things", ("id",), "t")
@@ -180,8 +181,8 @@ def test_a_second_run_reads_no_old_file(spark, folder):
 def test_a_broken_run_consumes_nothing(spark, folder):
     lake, base = Lake(folder), f"{folder}/b"
     commits.append_commit(bronze(spark, (1, 5, 1)), base)
-    with pytest.raises(ValueError, match="key columns"):
-        refresh_entity(spark, lake, Entity("things", ("nope",), "t"), Commits(base), "r1")
+    with pytest.raises(QualityFailure):
+        refresh_entity(spark, lake, Entity("things", ("id",), "t", rules=(Rule("none", "v > 9"),)), Commits(base), "r1")
     assert refresh_entity(spark, lake, ENTITY, Commits(base), "r2")["counts"]["n_read"] == 1
 
 
