@@ -63,6 +63,7 @@ def exists(column: str, helper: str = "_reference_found") -> Column:
 
 LIBRARY: dict[str, Callable[..., Column]] = {
     "not_null": not_null,
+    "key_present": key_present,
     "freshness": freshness,
     "no_future": no_future,
     "allowed_values": allowed_values,

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from stratiform.functions import lineage, values
 from stratiform.operators import control, dedupe, keyed
+from stratiform.plans import metadata
 from stratiform.plans.catalogue.registry import AS_OF, as_of, query, table
 from stratiform.session import scratch_dir
 from stratiform.sources import tables
@@ -512,3 +513,57 @@ def contract_rows(spark, d):
         F.concat(F.lit("part-"), F.col("p_partkey")).alias("entity_key"), document.alias("contract_json")
     )
     return control.contract_rows(part).drop("contract_json")
+
+
+_DECLARED = """
+WITH e AS (
+    SELECT s_suppkey AS k, 'e' || s_suppkey AS entity_key, 's' || s_nationkey % 3 AS subject, CASE WHEN s_suppkey % 3 = 0 THEN 'id' ELSE 'id,line' END AS key_columns,
+           CASE WHEN s_suppkey % 4 = 0 THEN '_source_extract_ts' ELSE 'ts' END AS watermark_column, s_nationkey % 5 = 0 AS restricted
+    FROM supplier WHERE s_suppkey % 10 <> 0),
+own AS (
+    SELECT k, CASE k % 3 WHEN 0 THEN 'positive:quarantine:v > 0;' WHEN 1 THEN 'positive:quarantine:v > 0;positive.library:quarantine:no_future;'
+                         ELSE 'positive:warn:no_future;' END AS rules FROM e WHERE k % 2 = 0)
+SELECT entity_key, subject, key_columns, watermark_column, restricted,
+       CASE WHEN k % 7 = 0 THEN 'dev' ELSE 'all' END AS environment, CASE WHEN k % 7 = 0 THEN 7 ELSE 1 END AS batch_files,
+       coalesce(rules, '') || 'silver_not_null_business_keys:fail:' || CASE WHEN k % 3 = 0 THEN '`id` IS NOT NULL' ELSE '`id` IS NOT NULL AND `line` IS NOT NULL' END
+       || ';silver_not_null_business_keys.library:fail:key_present;silver_unique_business_key:fail:COUNT(*) OVER (PARTITION BY {primary_key_columns}) = 1' AS rules,
+       CASE WHEN k % 4 = 1 THEN 'card:encrypt,mail:hash' ELSE '' END AS policies, CASE WHEN k % 5 = 1 THEN 2 END AS contract_version
+FROM e LEFT JOIN own USING (k)"""
+
+
+@query("entity_from_control", _DECLARED)
+def entity_from_control(spark, d):
+    """Entities with their rules, policies and contracts as control rows declare them, written down again."""
+    s = table(spark, d, "supplier").select(F.col("s_suppkey").alias("k"), F.concat(F.lit("e"), "s_suppkey").alias("entity_key"), "s_nationkey")
+    key_columns = F.when(F.col("k") % 3 == 0, '["id"]').when(F.col("k") % 3 == 1, '["id", "line"]').otherwise(" id , line ")
+    listed = s.select(
+        "entity_key", F.concat(F.lit("s"), F.col("s_nationkey") % 3).alias("subject_area_key"), key_columns.alias("primary_key_columns"),
+        F.when(F.col("k") % 4 != 0, "ts").alias("watermark_column"), (F.col("s_nationkey") % 5 == 0).alias("restricted"), (F.col("k") % 10 != 0).alias("is_active"),
+    )
+    configs = s.select("entity_key", F.lit("all").alias("environment"), F.lit('{"files": 1}').alias("auto_loader_options"))
+    configs = configs.unionByName(s.filter("k % 7 = 0").select("entity_key", F.lit("dev").alias("environment"), F.lit('{"files": 7}').alias("auto_loader_options")))
+    configs = configs.unionByName(s.select("entity_key", F.lit("prod").alias("environment"), F.lit('{"files": 9}').alias("auto_loader_options")))
+    method = F.when(F.col("k") % 3 == 0, "native_lakeflow").when(F.col("k") % 3 == 1, "both").otherwise("external_library")
+    own = s.filter("k % 2 = 0").select(
+        F.concat("entity_key", F.lit("_r")).alias("rule_id"), "entity_key", F.lit("silver").alias("layer"), F.lit("positive").alias("rule_name"), method.alias("enforcement_method"),
+        F.lit("v > 0").alias("expression"), F.lit("best_practices.no_future_dates").alias("library_reference"), F.lit('{"date_col": "d"}').alias("parameters"),
+        F.when(F.col("k") % 3 != 2, "quarantine").alias("action_on_failure"), F.lit(False).alias("is_default"), F.lit(True).alias("is_active"),
+    )
+    shared = [
+        ("g_1", None, "silver", "silver_not_null_business_keys", "both", "col IS NOT NULL", "best_practices.not_null", "fail", True, True),
+        ("g_2", "", "silver", "silver_unique_business_key", "native_lakeflow", "COUNT(*) OVER (PARTITION BY {primary_key_columns}) = 1", None, "fail", True, True),
+        ("g_3", None, "silver", "retired", "native_lakeflow", "v < 5", None, "fail", True, False), ("g_4", None, "gold", "elsewhere", "native_lakeflow", "v < 5", None, "fail", True, True),
+    ]
+    names = "rule_id string, entity_key string, layer string, rule_name string, enforcement_method string, expression string, library_reference string, action_on_failure string, is_default boolean, is_active boolean"
+    rules = own.unionByName(spark.createDataFrame(shared, names), allowMissingColumns=True)
+    kinds = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(p).alias("policy_type"), F.lit(a).alias("is_active")) for c, p, a in (("mail", "hash", True), ("card", "encrypt", True), ("old", "mask", False))]))
+    policies = s.filter("k % 4 = 1").select("entity_key", kinds.alias("p")).select("entity_key", "p.*")
+    documents = s.filter("k % 5 = 1").select("entity_key", F.explode(F.array(F.lit(1), F.lit(2))).alias("version"))
+    documents = documents.withColumn("contract_json", F.concat(F.lit('{"version": '), "version", F.lit(', "columns": [{"name": "id", "type": "bigint", "primary_key": true}]}')))
+    found = metadata.declared(metadata.ControlTables(listed, configs, rules, policies, documents), "dev")
+    rows = [
+        (e.key, x.subject, ",".join(e.primary_key), e.watermark_column, e.restricted, x.config.get("environment"), x.config["auto_loader_options"]["files"],
+         ";".join(f"{r.name}:{r.effect}:{r.expression or r.check}" for r in e.rules), ",".join(f"{p.column}:{p.kind}" for p in e.policies), e.contract and e.contract.version)
+        for x in found for e in [x.entity]
+    ]
+    return spark.createDataFrame(rows, "entity_key string, subject string, key_columns string, watermark_column string, restricted boolean, environment string, batch_files int, rules string, policies string, contract_version int")
