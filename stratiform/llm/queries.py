@@ -23,12 +23,13 @@ def _id_sql(kind: str, parts: str) -> str:
 
 _SHOWN_SQL = r"regexp_replace(regexp_replace(payload, '{0}', ' ', 'g'), '[\x20\x09-\x0D]+', ' ', 'g')".replace("{0}", warc.HIDDEN)
 _SHOWN_SQL = f"regexp_replace(regexp_replace({_SHOWN_SQL}, '{warc.BLOCK}', chr(10), 'g'), '{warc.TAG}', '', 'g')"
+_TITLE_SQL = r"regexp_replace(regexp_extract(payload, '(?is)<title\b[^>]*>(.*?)</title\s*>', 1), '[\x20\x09-\x0D]+', ' ', 'g')"
 _RESPONSE_SQL = _id_sql("response", "coalesce(CAST(page_id AS varchar), '') || '|' || coalesce(url, '') || '|' || coalesce(html, '')")
 _WARC_SQL = rf"""
 WITH source AS (SELECT page_id, url, coalesce(html, '') AS payload, {_RESPONSE_SQL} AS refers_to, 'sha256:' || sha256(coalesce(html, '')) AS source_digest FROM pages),
 lines AS (
     SELECT *, {_replaced(_SHOWN_SQL, {**warc.NAMED, "amp": "&"})} AS t,
-           nullif(trim(regexp_replace(regexp_extract(payload, '(?is)<title\b[^>]*>(.*?)</title\s*>', 1), '[\x20\x09-\x0D]+', ' ', 'g')), '') AS title,
+           nullif(trim({_replaced(_TITLE_SQL, {**warc.NAMED, "amp": "&"})}), '') AS title,
            nullif(regexp_extract(payload, '(?is)<html\b[^>]*\blang="?([A-Za-z-]+)', 1), '') AS lang,
            len(regexp_extract_all(payload, '(?is)<a\b[^>]*\bhref=')) AS links, chr(13) || chr(10) AS n FROM source),
 ids AS (

@@ -3,13 +3,13 @@
 Both derived records name the response they come from (``WARC-Refers-To``) and keep its target and
 date. The conversion is the visible text. The metadata record carries the response's own
 headers and digests and points at the conversion (``WARC-Concurrent-To``). All of it works
-on single rows, character references in Arrow batches and the rest as DataFrame functions: nothing is shuffled,
+on single rows, pages in Arrow batches and the rest as DataFrame functions; nothing is shuffled,
 and a lost task is simply run again.
 
 Defined results: a NULL payload is empty and gives an empty conversion; NULL targets, dates and headers leave their lines
 out; record ids are made from the source's id, so the same response always gets the same derivatives and repeated rows
-give repeated records; broken markup stays as text where no tag can be read; every name of HTML5 is decoded once, a number of no character is U+FFFD, and
-&nbsp; is a space; the metadata's title stays as written, as in the SQL; an empty table gives no records.
+give repeated records, and nothing is ordered, so ties do not matter; very long pages, of unclosed tags too, are read whole in time linear in their length; broken markup stays as text where no tag can be read; every name of HTML5 is decoded once, in text and titles, a number of no character is U+FFFD, and
+&nbsp; is a space; extra columns are left behind whatever their names; an empty table gives no records.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from stratiform.llm.base import filled
 
@@ -73,19 +73,74 @@ def unescaped(text: str | None) -> str | None:
     return _REFERENCE.sub(lambda m: character(m[0]), text) if text and "&" in text else text
 
 
-@F.arrow_udf(StringType())
-def _unescaped(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    for batch in batches:
-        yield pa.array([unescaped(t) for t in batch.to_pylist()], pa.string())
+_OPEN = re.compile(r"<(!--|(?:head|script|style|noscript|template)\b)", re.I | re.A)
+_CLOSE = {"!--": re.compile("-->")} | {n: re.compile(rf"</{n}\s*>", re.I | re.A) for n in ("head", "script", "style", "noscript", "template")}
+_BLOCK, _TAG, _SPACE = re.compile(BLOCK, re.A), re.compile(TAG, re.A), re.compile(r"[\x20\x09-\x0D]+")
+_LINES, _SPACES = re.compile(r" *\n[ \n]*"), re.compile(" +")
+_TITLE, _TITLE_END = re.compile(r"<title\b[^>]*>", re.I | re.A), re.compile(r"</title\s*>", re.I | re.A)
+_HTML, _LANG = re.compile(r"<html\b[^>]*", re.I | re.A), re.compile(r".*\blang=\"?([A-Za-z-]+)", re.I | re.A | re.S)
+_LINK, _TARGET = re.compile(r"<a\b[^>]*", re.I | re.A), re.compile(r"\bhref=", re.I | re.A)
+
 
+def shown(html: str) -> str:
+    """A page without comments and elements that are not shown, each a space.
 
-def visible_text(html: Column) -> Column:
+    A kind whose end is missing from some place on has none behind it either, so each is looked for in vain once at most.
+    """
+    parts, at, lost = [], 0, set()
+    found = _OPEN.search(html)
+    while found:
+        kind = found[1].lower()
+        end = None if kind in lost else _CLOSE[kind].search(html, found.end())
+        if end:
+            parts += (html[at : found.start()], " ")
+            at = end.end()
+            found = _OPEN.search(html, at)
+        else:
+            lost.add(kind)
+            found = _OPEN.search(html, found.end())
+    return "".join((*parts, html[at:]))
+
+
+def plain_text(html: str) -> str:
     """The text of a page: a line for each block, runs of white space as one space, no empty lines."""
-    text = F.regexp_replace(F.regexp_replace(html, HIDDEN, " "), r"[\x20\x09-\x0D]+", " ")
-    text = F.regexp_replace(F.regexp_replace(text, BLOCK, "\n"), TAG, "")
-    text = _unescaped(text)
-    text = F.regexp_replace(text, r" *\n[ \n]*", "\n")
-    return F.regexp_replace(F.regexp_replace(text, " +", " "), r"^[ \n]+|[ \n]+$", "")
+    text = shown(html)
+    # no tag ends behind the last ">", where each start would be followed to the end of the page
+    last = text.rfind(">") + 1
+    head, tail = _SPACE.sub(" ", text[:last]), _SPACE.sub(" ", text[last:])
+    text = unescaped(_TAG.sub("", _BLOCK.sub("\n", head)) + tail)
+    return _LINES.sub("\n", _SPACES.sub(" ", text)).strip(" \n")
+
+
+def title(html: str) -> str | None:
+    """The first title, its white space and character references as in the text; None if it is empty."""
+    last = html.rfind(">") + 1
+    begin = _TITLE.search(html, 0, last)
+    end = begin and _TITLE_END.search(html, begin.end())
+    return unescaped(_SPACE.sub(" ", html[begin.end() : end.start()])).strip(" ") or None if end else None
+
+
+def language(html: str) -> str | None:
+    for tag in _HTML.finditer(html):
+        if found := _LANG.match(html, tag.start() + 5, tag.end()):
+            return found[1]
+    return None
+
+
+def outlinks(html: str) -> int:
+    return sum(1 for tag in _LINK.finditer(html) if _TARGET.search(html, tag.start(), tag.end()))
+
+
+PAGE = StructType([StructField("plain", StringType()), StructField("title", StringType()), StructField("language", StringType()), StructField("outlinks", LongType())])
+
+
+@F.arrow_udf(PAGE)
+def read_page(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Text, title, language and number of links of pages, each read in time linear in its length."""
+    for batch in batches:
+        pages = batch.to_pylist()
+        read = [[f(p) for p in pages] for f in (plain_text, title, language, outlinks)]
+        yield pa.StructArray.from_arrays([pa.array(v, pa.int64() if f.name == "outlinks" else pa.string()) for v, f in zip(read, PAGE)], [f.name for f in PAGE])
 
 
 def responses(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -109,20 +164,20 @@ def derivatives(records: DataFrame) -> DataFrame:
     ``source_key``, ``target_uri`` and ``source_digest`` come along; ``headers`` are the lines of the WARC header.
     """
     payload, own = filled("payload"), F.col("record_id")
-    conversion = records.select("*", visible_text(payload).alias("plain"), record_id("conversion", own).alias("conversion_id"), record_id("metadata", own).alias("metadata_id"))
+    known = [F.col(c) for c in ("source_key", "record_id", "target_uri", "date", "http_headers", "payload", "payload_digest")]
+    conversion = records.select(*known, read_page(payload).alias("page"), record_id("conversion", own).alias("conversion_id"), record_id("metadata", own).alias("metadata_id"))
     source_lines = F.regexp_replace(F.col("http_headers"), r"(?m)^", "source-header: ")
-    title = F.regexp_replace(F.regexp_extract(payload, r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1), r"[\x20\x09-\x0D]+", " ")
     fields = _lines(
         ("source-payload-digest", F.col("payload_digest")),
         ("source-payload-length", F.octet_length(payload).cast("string")),
         ("conversion-record-id", F.col("conversion_id")),
-        ("title", F.nullif(F.trim(title), F.lit(""))),
-        ("language", F.nullif(F.regexp_extract(payload, r"(?is)<html\b[^>]*\blang=\"?([A-Za-z-]+)", 1), F.lit(""))),
-        ("outlinks", F.size(F.regexp_extract_all(payload, F.lit(r"(?is)<a\b[^>]*\bhref="), F.lit(0))).cast("string")),
+        ("title", F.col("page.title")),
+        ("language", F.col("page.language")),
+        ("outlinks", F.col("page.outlinks").cast("string")),
     )
     metadata = F.concat(F.concat_ws(CRLF, source_lines, fields), F.lit(CRLF))
     kinds = F.array(
-        F.struct(F.lit("conversion").alias("kind"), F.col("conversion_id").alias("id"), F.col("plain").alias("block"), F.lit("text/plain; charset=utf-8").alias("type"), F.lit(None).cast("string").alias("beside")),
+        F.struct(F.lit("conversion").alias("kind"), F.col("conversion_id").alias("id"), F.col("page.plain").alias("block"), F.lit("text/plain; charset=utf-8").alias("type"), F.lit(None).cast("string").alias("beside")),
         F.struct(F.lit("metadata").alias("kind"), F.col("metadata_id").alias("id"), metadata.alias("block"), F.lit("application/warc-fields").alias("type"), F.col("conversion_id").alias("beside")),
     )
     each = conversion.select("source_key", "target_uri", "date", F.col("record_id").alias("refers_to"), F.col("payload_digest").alias("source_digest"), F.explode(kinds).alias("r"))

@@ -1,6 +1,8 @@
 """The parts of the operators, against slow and plain versions."""
 
 import random
+import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -11,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from stratiform.llm import encoding, minhash, mixing, order, packing, substrings, toxicity, words
+from stratiform.llm import encoding, minhash, order, packing, substrings, toxicity, warc, words
 from stratiform.llm.transducer import MARK, transducer
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -159,3 +161,31 @@ def test_borders_and_signs_of_any_length_are_decoded():
         assert decoder.text(written).rstrip("!") == meant
         assert set(meant.rstrip(".,").split()) <= decoder.words(written)
     assert decoder.text("i d i o t  " * 5000).split() == ["idiot"] * 5000
+
+
+MARKUP = ["<", ">", "<p>", "</p>", "<b>", "<!--", "-->", "<head>", "<header x>", "</head >", "<script src=a>", "</script>", "<STYLE>", "</style", "<title>", "</title>", "&amp;", "&nbsp;", " ", "\n\t", "x", "<a href=", "<a ", "<html lang=", "lang=", '"en-US"', "href=", "é", "</"]
+
+
+def by_regular_expressions(page):
+    """The chain of replacements that the SQL is made of."""
+    text = re.sub(warc.HIDDEN, " ", page, flags=re.A)
+    text = re.sub(warc.TAG, "", re.sub(warc.BLOCK, "\n", re.sub(r"[\x20\x09-\x0D]+", " ", text), flags=re.A))
+    text = re.sub(" +", " ", re.sub(r" *\n[ \n]*", "\n", warc.unescaped(text)))
+    found = re.search(r"(?is)<title\b[^>]*>(.*?)</title\s*>", page, re.A)
+    title = warc.unescaped(re.sub(r"[\x20\x09-\x0D]+", " ", found[1])).strip(" ") if found else ""
+    lang = re.search(r"(?is)<html\b[^>]*\blang=\"?([A-Za-z-]+)", page, re.A)
+    return re.sub(r"^[ \n]+|[ \n]+$", "", text), title or None, lang and lang[1], len(re.findall(r"(?is)<a\b[^>]*\bhref=", page, re.A))
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(st.sampled_from(MARKUP), max_size=30).map("".join))
+def test_pages_are_read_as_by_regular_expressions(page):
+    assert (warc.plain_text(page), warc.title(page), warc.language(page), warc.outlinks(page)) == by_regular_expressions(page)
+
+
+@pytest.mark.parametrize("part", ["<!-- ", "<script>", "<style ", "<a href=", "<title>", "<title ", "<html lang=", "<p ", "&nbsp;", " \n", "<head>x", "</", "<!-- <script> <style> <head> <template> "])
+def test_very_long_pages_are_read_in_linear_time(part):
+    page, began = part * (5_000_000 // len(part)), time.perf_counter()
+    for read in (warc.plain_text, warc.title, warc.language, warc.outlinks):
+        read(page)
+    assert time.perf_counter() - began < 20
