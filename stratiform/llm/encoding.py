@@ -20,7 +20,7 @@ from tokenizers import Tokenizer
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 SAFE_RUN = 100_000  # white space in a row that tiktoken takes; it fails from about 1,000,000
-_LONG_RUN = re.compile(rf"\s{{{SAFE_RUN}}}")
+_LONG_RUN = re.compile(rf"(?<!\s)\s{{{SAFE_RUN}}}")  # tried at the first character of a run alone
 
 
 def _byte_of() -> dict[str, int]:

@@ -189,3 +189,9 @@ def test_very_long_pages_are_read_in_linear_time(part):
     for read in (warc.plain_text, warc.title, warc.language, warc.outlinks):
         read(page)
     assert time.perf_counter() - began < 20
+
+
+def test_long_white_space_does_not_stall_the_search():
+    text, began = (" " * 99_999 + "x") * 20, time.perf_counter()
+    assert not encoding._LONG_RUN.search(text) and encoding._LONG_RUN.search(text + "\n" * 100_000)
+    assert time.perf_counter() - began < 1
