@@ -60,10 +60,16 @@ def _hashes(data: bytes) -> np.ndarray:
     inside = np.concatenate(([False], ~_SPACE[raw], [False]))
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edges[::2], edges[1::2]
-    if len(raw) > BLOCK:
-        return np.array([int.from_bytes(hashlib.blake2b(data[a:b], digest_size=8).digest(), "little") for a, b in zip(starts, ends)], np.uint64)
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_OF_BYTE[raw] * _UP[: len(raw)], dtype=np.uint64)))
-    return mix((sums[ends] - sums[starts]) * _DOWN[starts] + (ends - starts).astype(np.uint64))
+    # by the word's own length alone, so that it has one hash wherever it stands
+    long_ = np.flatnonzero(ends - starts >= BLOCK // 4)
+    if len(raw) > BLOCK:  # one word, with white space before it
+        out = np.zeros(len(starts), np.uint64)
+    else:
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_OF_BYTE[raw] * _UP[: len(raw)], dtype=np.uint64)))
+        out = mix((sums[ends] - sums[starts]) * _DOWN[starts] + (ends - starts).astype(np.uint64))
+    for i in long_:
+        out[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]], digest_size=8).digest(), "little")
+    return out
 
 
 def word_hashes(data: bytes) -> np.ndarray:

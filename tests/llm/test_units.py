@@ -195,3 +195,14 @@ def test_long_white_space_does_not_stall_the_search():
     text, began = (" " * 99_999 + "x") * 20, time.perf_counter()
     assert not encoding._LONG_RUN.search(text) and encoding._LONG_RUN.search(text + "\n" * 100_000)
     assert time.perf_counter() - began < 1
+
+
+@pytest.mark.parametrize("size", [words.BLOCK // 4 - 1, words.BLOCK // 4, words.BLOCK - 1, words.BLOCK, words.BLOCK + 1, 3 * words.BLOCK])
+@pytest.mark.parametrize("before", ["", " ", "a ", "  \n" * 40_000, "abc " * 70_000])
+def test_a_word_has_one_hash_wherever_it_stands(size, before):
+    word = b"w" * size
+    alone = words.word_hashes(word)
+    assert len(alone) == 1
+    for text in (before.encode() + word, before.encode() + word + b" after", before.encode() + word + b" " + word):
+        found = words.word_hashes(text)
+        assert len(found) == len(text.split()) and found[len(before.split())] == alone[0]
