@@ -423,3 +423,11 @@ def test_pipeline_against_plain_versions(llm):
     assert sorted(rows) == sorted(near.collect()) and [slots[r.doc_id] for r in rows] == sorted(slots.values())
     packed = pack(llm, mixed, sf_dir).collect()
     assert sum(r.length for r in packed) == sum(len(encode(r.text, BYTE_BPE)) + 1 for r in rows)
+
+
+def test_the_labelled_sample_is_bounded_in_rows(llm):
+    """Two labelled keys with thousands of different texts each, and a limit of two."""
+    docs = llm.range(6000).selectExpr("id % 3 AS doc_id", "concat('text ', id) AS text")
+    labels = llm.createDataFrame([(0, 1), (1, 0), (2, 1)], "doc_id bigint, toxic int")
+    rows = toxicity._sampled(docs, labels, "doc_id", "text", 2).collect()
+    assert len(rows) == 2 and rows == toxicity._sampled(docs.repartition(7), labels, "doc_id", "text", 2).collect()
