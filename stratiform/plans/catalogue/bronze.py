@@ -9,7 +9,7 @@ from stratiform.functions import lineage
 from stratiform.operators import contract
 from stratiform.plans.catalogue.registry import AS_OF, as_of, land, query, table
 from stratiform.session import scratch_dir
-from stratiform.sources import landing
+from stratiform.sources import commits, landing
 from stratiform.spec import Column_, Contract
 from stratiform.streaming import ingest
 
@@ -179,6 +179,53 @@ def schema_evolution_add_columns(spark, d):
     return ingest.read_bronze(spark, target).select(*events.columns)
 
 
+_NESTED = "event_id bigint, buyer struct<name: string, age: int>, lines array<struct<qty: int>>, tags map<string, bigint>"
+
+
+@query(
+    "bronze_rescue_nested",
+    """SELECT event_id, 'u' || user_id AS name, CASE WHEN event_type <> 'click' THEN CAST(user_id % 90 AS INTEGER) END AS age, 1 AS first_qty,
+              CASE WHEN event_type <> 'error' THEN 2 END AS second_qty, user_id AS tag_a, CASE WHEN event_type <> 'view' THEN event_id END AS tag_b,
+              CASE event_type WHEN 'click' THEN '{"buyer":{"age":"old"}}' WHEN 'error' THEN '{"lines":{"1":{"qty":"two"}}}'
+                              WHEN 'view' THEN '{"tags":{"b":[' || event_id || ',1.5]}}' WHEN 'signup' THEN '{"buyer":{"x":{"y":"z"}},"more":true}' END AS _rescued_data
+       FROM events""",
+)
+def bronze_rescue_nested(spark, d):
+    """Misfits and unknown fields inside structs, arrays and maps, each rescued where it was; the rest is typed."""
+    kind, user, event = F.col("event_type"), F.col("user_id").cast("string"), F.col("event_id").cast("string")
+    sent = F.concat(
+        F.lit('{"event_id": '), event, F.lit(', "buyer": {"name": "u'), user, F.lit('", "age": '), F.when(kind == "click", '"old"').otherwise((F.col("user_id") % 90).cast("string")),
+        F.when(kind == "signup", ', "x": {"y": "z"}').otherwise(""), F.lit('}, "lines": [{"qty": 1}, {"qty": '), F.when(kind == "error", '"two"').otherwise("2"), F.lit('}], "tags": {"a": '), user,
+        F.lit(', "b": '), F.when(kind == "view", F.concat(F.lit("["), event, F.lit(", 1.5]"))).otherwise(event), F.lit("}"), F.when(kind == "signup", ', "more": true').otherwise(""), F.lit("}"),
+    )
+    read = landing.with_rescued_nested(table(spark, d, "events").select(sent.alias("sent")), "sent", T.StructType.fromDDL(_NESTED))
+    return read.select("event_id", "buyer.name", "buyer.age", F.col("lines")[0]["qty"].alias("first_qty"), F.col("lines")[1]["qty"].alias("second_qty"), F.col("tags")["a"].alias("tag_a"), F.col("tags")["b"].alias("tag_b"), "_rescued_data")
+
+
+@query(
+    "schema_evolution_conflict",
+    f"""SELECT event_id, CASE WHEN late AND event_type = 'error' THEN NULL ELSE user_id END AS user_id, CASE WHEN late THEN value END AS value,
+               CASE WHEN late THEN CASE WHEN event_type = 'click' THEN 'true' ELSE CAST(user_id AS VARCHAR) END END AS flag,
+               CASE WHEN late AND event_type = 'error' THEN '{{"user_id":"u' || user_id || '"}}' END AS _rescued_data
+        FROM (SELECT *, ts >= TIMESTAMP '{_SPLIT}' AS late FROM events)""",
+)
+def schema_evolution_conflict(spark, d):
+    """Two runs: files of the second bring new fields, one of them of two types, and text where a stored number is."""
+    events = table(spark, d, "events")
+    early, late = events.filter(F.col("ts") < F.lit(_SPLIT)), events.filter(F.col("ts") >= F.lit(_SPLIT))
+    base, landed = scratch_dir(spark, "bronze-evolving"), land(early.select("event_id", "user_id"), "events")
+    ingest.ingest_commits(spark, landed, f"{base}/table", f"{base}/checkpoint", "app", "events")
+    odd = F.col("event_type") == "error"
+    clicks = late.filter("event_type = 'click'").select("event_id", "user_id", "value", F.lit(True).alias("flag"))
+    land(clicks, "events", path=landed)
+    land(late.filter("event_type = 'error'").select("event_id", F.concat(F.lit("u"), "user_id").alias("user_id"), "value", F.col("user_id").alias("flag")), "events", path=landed)
+    land(late.filter(~odd & (F.col("event_type") != "click")).select("event_id", "user_id", "value", F.col("user_id").alias("flag")), "events", path=landed)
+    found = ingest.ingest_commits(spark, landed, f"{base}/table", f"{base}/checkpoint", "app", "events")
+    if found.conflicts != ["user_id"]:
+        raise ValueError(f"conflicts {found.conflicts}")
+    return commits.read_after(spark, f"{base}/table").select("event_id", "user_id", "value", "flag", "_rescued_data")
+
+
 @query(
     "schema_preserve_dropped",
     f"""SELECT event_id, ts, user_id, event_type, value,

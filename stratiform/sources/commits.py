@@ -159,6 +159,12 @@ def commit_stream(stream: DataFrame, base: str, checkpoint: str, generation: int
     return query
 
 
+def schema(spark: SparkSession, base: str) -> StructType | None:
+    """The schema of the newest commit; None without one."""
+    last = newest(spark, base)
+    return StructType.fromJson(json.loads(_read(spark, f"{base}/{last.entry}"))["schema"]) if last else None
+
+
 def read_after(spark: SparkSession, base: str, after: Position | None = None, upto: Position | None = None) -> DataFrame | None:
     """Rows of the commits after a position, with ``_generation`` and ``_commit``; None if there are none.
 
@@ -168,6 +174,6 @@ def read_after(spark: SparkSession, base: str, after: Position | None = None, up
     found = [p for p in positions(spark, base, after) if upto is None or p <= upto]
     if not found:
         return None
-    schema = StructType.fromJson(json.loads(_read(spark, f"{base}/{found[-1].entry}"))["schema"])
-    named = StructType([*schema.fields, StructField(GENERATION, LongType()), StructField(COMMIT, LongType())])
+    columns = StructType.fromJson(json.loads(_read(spark, f"{base}/{found[-1].entry}"))["schema"])
+    named = StructType([*columns.fields, StructField(GENERATION, LongType()), StructField(COMMIT, LongType())])
     return spark.read.option("basePath", base).schema(named).parquet(*(f"{base}/{p.folder}" for p in found))

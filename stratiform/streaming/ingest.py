@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
 from typing import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,11 +11,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from stratiform.functions import lineage
-from stratiform.sources.evolve import widen
-from stratiform.sources.landing import infer_schema, options, with_rescued
+from stratiform.sources import commits
+from stratiform.sources.evolve import evolved, of_variants, widen
+from stratiform.sources.landing import infer_schema, options, with_rescued, with_rescued_nested
 
 
 _LINE = "_line"
+RESCUED = "_rescued_data"
 
 
 def file_stream(
@@ -106,23 +109,79 @@ def ingest_evolving(
     source: str,
     entity: str,
     fmt: str = "json",
-    sample: float = 1.0,
     since: str | None = None,
     **kwargs,
 ) -> tuple[T.StructType, list[str]]:
     """Widen the stored schema by columns found in the landing folder, then ingest with it.
 
-    Only files modified after ``since`` are looked at, if given, and only a ``sample`` of their
-    rows. Returns the schema to store for the next run and the columns whose type conflicts. Rows
-    written before keep NULL in added columns; read the table with ``read_bronze``.
+    Only files modified after ``since`` are looked at, if given. Returns the schema to store for the
+    next run and the columns whose type conflicts; JSON values that do not fit are rescued. Rows
+    written before keep NULL in added columns; read the table with ``read_bronze``. ``ingest_commits`` does without looking at
+    the folder beforehand.
     """
+    kwargs.setdefault("rescue", fmt == "json")
     newer = {"modifiedAfter": since} if since else {}
-    found = infer_schema(spark, landing, fmt, sample, {**(kwargs.get("extra") or {}), **newer})
+    found = infer_schema(spark, landing, fmt, extra={**(kwargs.get("extra") or {}), **newer})
     schema, conflicts = widen(stored, found)
     ingest(spark, landing, table, checkpoint, schema, source, entity, fmt, **kwargs)
     return schema, conflicts
 
 
+@dataclass
+class Evolution:
+    """What a run has found: the schema of the payload and the fields, by path, whose types conflict with it."""
+
+    schema: T.StructType
+    conflicts: list[str] = field(default_factory=list)
+
+
+def ingest_commits(
+    spark: SparkSession,
+    landing: str,
+    base: str,
+    checkpoint: str,
+    source: str,
+    entity: str,
+    start: T.StructType | None = None,
+    generation: int = 0,
+    run_id: str = "unknown",
+    as_of: Column | None = None,
+    max_files: int | None = None,
+    archive: str | None = None,
+    max_bytes: int | None = None,
+) -> Evolution:
+    """One triggered run of JSON lines into a table of commits (see ``sources.commits``), whose schema grows with what arrives.
+
+    The types in a micro-batch are aggregated over its own new files, in the run itself, so nothing is
+    inferred beforehand and no old file is read. New fields are added, in structs too; values that conflict with a
+    stored type, at any depth, and lines that are no JSON object go to ``_rescued_data``. New fields of several types become text. The
+    ledger holds the schema, ``start`` is that of a table without commits.
+    """
+    line = T.StructType([T.StructField("value", T.StringType())])
+    stream = file_stream(spark, landing, line, "text", max_files, archive, max_bytes=max_bytes)
+    lines = lineage.from_files(stream, source, entity, run_id=run_id, as_of=as_of).withColumnRenamed("value", _LINE).filter(F.trim(_LINE) != "")
+    technical = {*(c for c in lines.columns if c != _LINE), RESCUED}
+    found = Evolution(_payload(spark, base, technical, start))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        at = commits.Position(generation, batch_id)
+        objects = batch.select(F.try_parse_json(_LINE).alias("v")).filter(F.try_variant_get("v", F.lit("$"), "map<string,variant>").isNotNull())
+        types = objects.agg(F.schema_of_variant_agg("v")).first()[0]
+        found.schema, conflicts = evolved(found.schema, of_variants(types))
+        found.conflicts += [c for c in conflicts if c not in found.conflicts]
+        commits.append_commit(with_rescued_nested(batch, _LINE, found.schema, RESCUED).drop(_LINE), base, at)
+
+    query = lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return found
+
+
+def _payload(spark: SparkSession, base: str, technical: set[str], start: T.StructType | None) -> T.StructType:
+    """The schema of the newest commit without what the ingest itself adds."""
+    known = commits.schema(spark, base)
+    return T.StructType([f for f in known if f.name not in technical]) if known else start or T.StructType()
+
+
 def read_bronze(spark: SparkSession, table: str) -> DataFrame:
     """The bronze snapshot with columns of all files; silver starts here, as a batch."""
     return spark.read.option("mergeSchema", "true").parquet(table)
