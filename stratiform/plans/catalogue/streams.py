@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from stratiform.plans.catalogue.registry import land, query, table
 from stratiform.session import scratch_dir
 from stratiform.sources import tables
-from stratiform.streaming import ingest
+from stratiform.streaming import ingest, once
 from stratiform.streaming.upsert import upsert_available
 
 
@@ -90,3 +90,33 @@ def stream_dedupe(spark, d):
     once = ingest.dedupe_within(stream, ["event_id"], "ts", "30 days")
     ingest.append_available(once, f"{base}/table", f"{base}/checkpoint")
     return spark.read.parquet(f"{base}/table")
+
+
+_SENT = """
+    SELECT event_id, user_id, ts, CASE WHEN event_id % 3 = 0 THEN 1 WHEN event_id % 17 = 0 THEN 1 ELSE 0 END AS run FROM events
+    UNION ALL SELECT event_id, user_id, ts, 1 FROM events WHERE event_id % 5 = 0
+    UNION ALL SELECT event_id, user_id, CAST(NULL AS TIMESTAMP), 1 FROM events WHERE event_id % 51 = 0"""
+
+
+@query(
+    "stream_dedupe_late",
+    f"""WITH sent AS ({_SENT}), newest AS (SELECT max(ts) AS m FROM sent WHERE run = 0),
+            nth AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY run, ts NULLS LAST, user_id) AS n FROM sent)
+       SELECT event_id, user_id, ts, CASE WHEN n > 1 THEN 'repeated' WHEN run = 1 AND (ts IS NULL OR ts < m - INTERVAL 10 DAY) THEN 'late' ELSE 'stored' END AS fate
+       FROM nth, newest""",
+)
+def stream_dedupe_late(spark, d):
+    """Two runs of a stream: repeats within and across them, and unique rows that come long after their time. No row goes missing."""
+    events = table(spark, d, "events").select("event_id", "user_id", "ts")
+    second = (F.col("event_id") % 3 == 0) | (F.col("event_id") % 17 == 0)
+    base = scratch_dir(spark, "once")
+    out = once.Once(f"{base}/tables")
+    again = events.filter("event_id % 5 = 0").unionByName(events.filter("event_id % 51 = 0").withColumn("ts", F.lit(None).cast("timestamp_ntz")))
+    landed = land(events.filter(~second), "once", "parquet")
+    for more in (None, events.filter(second).unionByName(again)):
+        if more is not None:
+            land(more, "once", "parquet", landed)
+        once.once_available(ingest.file_stream(spark, landed, events.schema, "parquet"), out, f"{base}/checkpoint", ["event_id"], "ts", "10 DAYS")
+    parts = [out.read(spark, fate).withColumn("fate", F.lit(fate)) for fate in once.FATES]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
