@@ -124,6 +124,46 @@ def scd2_apply(
     return closed.unionByName(kept).unionByName(fresh)
 
 
+SEEN = "seen"
+
+
+def scd2_splice(dim: DataFrame | None, incoming: DataFrame, key: str, tracked: Sequence[str], time: str, stage: bool = False) -> DataFrame:
+    """Dimension after rows of any age, any number of them per key: what ``scd2_build`` makes of all rows ever sent, in whatever batches they came.
+
+    Each version carries in ``seen`` the days on which its values were sent and the time of the last row
+    of each, since a late change may fall between two days of one version and cut it. Only keys that the rows name are taken apart:
+    days are merged, the last row of a day stands for it, equal neighbours become one version, and versions are
+    numbered anew. All other keys pass through; they are not shuffled while the named keys are few enough to broadcast. A key's group is
+    bounded by its days. ``None`` is a dimension without rows; ``stage`` writes the rows first, so that they are computed once.
+    """
+    sent = incoming.select(key, *tracked, F.col(time).alias("_at"), F.to_date(time).alias("_day"))
+    sent = latest_per_key(sent, [key, "_day"], ["_at"], tiebreak=list(tracked))
+    if stage:
+        sent = materialize(sent, "scd2-rows")
+    if dim is None:
+        return _versions(sent, key, tracked)
+    named = sent.select(F.col(key).alias("_named")).distinct()
+    same = F.col(key).eqNullSafe(F.col("_named"))
+    held = dim.join(named, same, "left_semi").select(key, *tracked, F.explode(SEEN).alias("_seen")).select(key, *tracked, "_seen.at", "_seen.day")
+    days = latest_per_key(held.toDF(key, *tracked, "_at", "_day").unionByName(sent), [key, "_day"], ["_at"], tiebreak=list(tracked))
+    spliced = _versions(days, key, tracked)
+    return dim.join(named, same, "left_anti").select(*spliced.columns).unionByName(spliced)
+
+
+def _versions(days: DataFrame, key: str, tracked: Sequence[str]) -> DataFrame:
+    """Versions with the days they were seen on, from one row for each key and day."""
+    by_day = Window.partitionBy(key).orderBy("_day")
+    hashed = days.withColumn("change_hash", change_hash(tracked))
+    opens = ~F.col("change_hash").eqNullSafe(F.lag("change_hash").over(by_day))
+    numbered = hashed.withColumn("_opens", opens).withColumn("version", F.sum(F.col("_opens").cast("int")).over(by_day).cast("int"))
+    seen = F.array_sort(F.collect_list(F.struct(F.col("_day").alias("day"), F.col("_at").alias("at")))).alias(SEEN)
+    groups = numbered.groupBy(key, "version").agg(*[F.first(c).alias(c) for c in tracked], F.first("change_hash").alias("change_hash"), F.min("_day").alias("effective_from"), seen)
+    following = F.lead("effective_from").over(Window.partitionBy(key).orderBy("version"))
+    return groups.select(
+        key, *tracked, "effective_from", F.date_sub(following, 1).alias("effective_to"), following.isNull().alias("is_current"), "version", "change_hash", SEEN
+    )
+
+
 def scd2_issues(dim: DataFrame, key: str) -> DataFrame:
     """Gaps and overlaps between neighbouring versions, and keys with several current versions."""
     by_start = Window.partitionBy(key).orderBy("effective_from", F.col("effective_to").asc_nulls_last())
