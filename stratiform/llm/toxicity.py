@@ -211,16 +211,19 @@ class Model:
 
 
 def _sampled(docs: DataFrame, labels: DataFrame, key: str, text: str, sample: int) -> DataFrame:
-    """``text_key``, ``text`` and ``toxic`` of at most ``sample`` labelled rows with different texts.
+    """``text_key``, ``text`` and ``toxic`` of at most ``sample`` different texts of at most ``sample`` labelled keys.
 
-    Of rows with one key the text with the least hash is taken, so a key that repeats does not enlarge the sample.
+    Of the texts of keys that repeat, those with the least hashes are taken.
     """
     known = labels.where(F.col(key).isNotNull() & F.col("toxic").isNotNull()).groupBy(F.col(key).alias("key")).agg(F.max("toxic").alias("toxic"))
     # written, so that its true size decides how it is joined
     picked = stored(known.orderBy(F.md5(F.col("key").cast("string"))).limit(sample), "sampled-labels")
     rows = docs.select(F.col(key).alias("key"), filled(text).alias("text")).join(picked, "key")
-    each = rows.groupBy("key").agg(F.min(F.struct(F.xxhash64("text").alias("text_key"), "text")).alias("r"), F.first("toxic").alias("toxic"))
-    return each.groupBy("r.text_key").agg(F.first("r.text").alias("text"), F.max("toxic").alias("toxic"))
+    texts = stored(rows.groupBy(F.xxhash64("text").alias("text_key")).agg(F.first("text").alias("text"), F.max("toxic").alias("toxic")), "sampled-texts")
+    if texts.count() <= sample:
+        return texts
+    last = texts.select("text_key").orderBy("text_key").limit(sample).agg(F.max("text_key")).first()[0]
+    return texts.where(F.col("text_key") <= last)
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Model:
