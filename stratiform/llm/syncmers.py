@@ -1,57 +1,78 @@
-"""Fingerprints of closed syncmers over the words of a text.
+"""Fingerprints of closed syncmers over the bytes of a text.
 
-A k-mer is ``k`` consecutive words. It is an anchor when the least hash of the runs of ``s`` words
+A k-mer is ``k`` consecutive UTF-8 bytes of the text with each run of white space as one space and
+none at its ends. It is an anchor when the least hash of the runs of ``s`` bytes
 inside it lies at its first or last place, ties included. Whether a k-mer is an anchor depends on
-its own words and nothing else, so an edit elsewhere in the text leaves it in place. A fingerprint
-is the 24-bit hashes of the anchors in the order of the text. All of it is DataFrame
-functions; a text is never taken apart into rows.
-
-Defined results: words are what lies between white space (space, tab to carriage return); NULL is
-the empty text; a text without words has the empty fingerprint; one with fewer than ``k`` words
-has one anchor, all of its words; two empty fingerprints are alike by 1, an empty and another by 0; rows
+its own bytes and nothing else, so an edit elsewhere in the text leaves it in place, and any ``2 * k - s - 1``
+bytes hold one, whatever the script and with or without spaces. A fingerprint
+is the 32-bit hashes of the anchors in the order of the text. All of it is DataFrame
+functions; a text is never taken apart into rows, and a very long one is looked at in blocks.
+
+Defined results: white space is space and tab to carriage return; NULL is
+the empty text; a text of white space has the empty fingerprint; one with fewer than ``k`` bytes
+has one anchor, all of it; two empty fingerprints are alike by 1, an empty and another by 0; rows
 with one key follow each other by the MD5 of their text and a NULL key comes last; a table of one
 row is followed by itself; an empty table gives an empty result; input columns ride along in ``row``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import and_
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratiform.llm.base import filled, partitions, stored
 
-K, S = 5, 2  # words of a k-mer and of the runs inside it
+K, S = 12, 4  # bytes of a k-mer and of the runs inside it
+BLOCK = 1 << 14  # k-mers of a text that are looked at together
 PARTS = 4  # ranges of keys for each shuffle partition
 
 
-def anchors(text: Column, k: int = K, s: int = S) -> Column:
-    """Hashes of the closed syncmers of a text, in order."""
-    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    hashed = F.transform(words, lambda w: F.xxhash64(w))
-    width = k - s + 1  # runs in a k-mer
+def _named(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _hashed(part: Column) -> Column:
+    return F.shiftright(F.xxhash64(part), 32).cast("int")
 
-    def chosen(h: Column) -> Column:
-        runs = F.transform(F.sequence(F.lit(0), F.size(h) - s), lambda i: F.xxhash64(*(h[i + n] for n in range(s))))
 
-        def of_runs(r: Column) -> Column:
-            def closed(i: Column) -> Column:
-                inner = F.array(*(F.lit(n) for n in range(1, width - 1)))
-                return F.forall(inner, lambda n: (r[i + n] >= r[i]) | (r[i + n] >= r[i + width - 1]))
+def _closed(block: Column, k: int, s: int) -> Column:
+    """Hashes of the closed syncmers of at least ``k`` bytes, in order."""
+    last = k - s  # place of the last run in a k-mer
 
-            places = F.filter(F.sequence(F.lit(0), F.size(r) - width), closed)
-            return F.transform(places, lambda i: F.xxhash64(*(h[i + n] for n in range(k))).bitwiseAND(0xFFFFFF).cast("int"))
+    def of_runs(r: Column) -> Column:
+        def closed(i: Column) -> Column:
+            inner = [(r[i + n] >= r[i]) | (r[i + n] >= r[i + last]) for n in range(1, last)]
+            return reduce(and_, inner, F.lit(True))
 
-        return F.transform(F.array(runs), of_runs)[0]
+        places = F.filter(F.sequence(F.lit(0), F.length(block) - k), closed)
+        return F.transform(places, lambda i: _hashed(F.substring(block, i + 1, k)))
 
-    whole = F.array(F.xxhash64(F.array_join(words, " ")).bitwiseAND(0xFFFFFF).cast("int"))
+    return _named(F.transform(F.sequence(F.lit(1), F.length(block) - s + 1), lambda i: F.xxhash64(F.substring(block, i, s))), of_runs)
+
+
+def anchors(text: Column, k: int = K, s: int = S) -> Column:
+    """Hashes of the closed syncmers of a text, in order."""
+    squeezed = F.trim(F.regexp_replace(text, r"[\x20\x09-\x0D]+", " ")).cast("binary")
     none = F.array().cast("array<int>")
-    return F.transform(F.array(hashed), lambda h: F.when(F.size(h) >= k, chosen(h)).when(F.size(h) > 0, whole).otherwise(none))[0]
+
+    def of_bytes(b: Column) -> Column:
+        # blocks overlap by k - 1 bytes, so each k-mer lies in one
+        firsts = F.sequence(F.lit(0), F.length(b) - k, F.lit(BLOCK))
+        blocks = F.flatten(F.transform(firsts, lambda first: _named(F.substring(b, first + 1, BLOCK + k - 1), lambda block: _closed(block, k, s))))
+        return F.when(F.length(b) >= k, blocks).when(F.length(b) > 0, F.array(_hashed(b))).otherwise(none)
+
+    return _named(squeezed, of_bytes)
 
 
 def written(marks: Column) -> Column:
-    """Anchors as text, six hexadecimal digits each."""
-    return F.array_join(F.transform(marks, lambda a: F.lower(F.lpad(F.hex(a), 6, "0"))), "")
+    """Anchors as text, eight hexadecimal digits each."""
+    return F.lower(F.array_join(F.transform(marks, lambda a: F.right(F.hex(a.cast("bigint") + (1 << 32)), F.lit(8))), ""))
 
 
 def likeness(a: Column, b: Column) -> Column:

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import re
 import zlib
 from collections import defaultdict
 
@@ -12,10 +13,11 @@ import pytest
 import sentencepiece
 import xxhash
 from oracle import compare, connect
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry_module
-from stratiform.llm import ORACLES, QUERIES
+from stratiform.llm import ORACLES, QUERIES, syncmers
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -66,24 +68,18 @@ def test_toxicity_holds_out_its_fold(llm):
     assert np.mean([(a > b) + 0.5 * (a == b) for a in good for b in bad]) > 0.9
 
 
-def _marks(text, k=5, s=2):
-    def longs(*values):
-        seed = 42
-        for v in values:
-            seed = xxhash.xxh64_intdigest(int(v).to_bytes(8, "little", signed=True), seed)
-        return seed - (1 << 64) if seed >> 63 else seed
-
-    def hashed(word):
-        h = xxhash.xxh64_intdigest(word, 42)
+def _marks(text, k=12, s=4):
+    def hashed(part):
+        h = xxhash.xxh64_intdigest(part, 42)
         return h - (1 << 64) if h >> 63 else h
 
-    words = (text or "").encode().split()
-    if len(words) < k:
-        return [hashed(b" ".join(words)) & 0xFFFFFF] if words else []
-    h = [hashed(w) for w in words]
-    runs = [longs(*h[i : i + s]) for i in range(len(h) - s + 1)]
+    data = re.sub(r"[ \t-\r]+", " ", text or "").strip(" ").encode()
+    if len(data) < k:
+        return [hashed(data) >> 32 & 0xFFFFFFFF] if data else []
+    runs = [hashed(data[i : i + s]) for i in range(len(data) - s + 1)]
     width = k - s + 1
-    return [longs(*h[i : i + k]) & 0xFFFFFF for i in range(len(h) - k + 1) if min(runs[i : i + width]) in (runs[i], runs[i + width - 1])]
+    closed = [i for i in range(len(data) - k + 1) if min(runs[i : i + width]) in (runs[i], runs[i + width - 1])]
+    return [hashed(data[i : i + k]) >> 32 & 0xFFFFFFFF for i in closed]
 
 
 def test_fingerprints_are_those_of_brute_force(llm, docs):
@@ -95,12 +91,32 @@ def test_fingerprints_are_those_of_brute_force(llm, docs):
         edited = text[: len(text) - half] + docs[j][:half]
         r = rows[i]
         assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
-        assert r.fingerprint == "".join(f"{m:06x}" for m in _marks(text))
-        assert r.edited_fingerprint == "".join(f"{m:06x}" for m in _marks(edited))
+        assert r.fingerprint == "".join(f"{m:08x}" for m in _marks(text))
+        assert r.edited_fingerprint == "".join(f"{m:08x}" for m in _marks(edited))
         assert r.near_edited == pytest.approx(like(set(_marks(text)), set(_marks(edited))))
         assert r.near_next == pytest.approx(like(set(_marks(text)), set(_marks(docs[j]))))
 
 
+def test_half_edited_texts_are_nearer_than_the_next(llm):
+    """Texts of 40 characters and more, with and without spaces, in several scripts."""
+    rows = QUERIES["op7_closed_syncmers"](llm, "/root/testdata/sf0.01").where("n_chars >= 40").collect()
+    assert np.mean([r.near_edited > r.near_next or r.near_next == 1 for r in rows]) > 0.99
+    unspaced = ["".join(chr(0x4E00 + (n * n * 31 + m * 977 + n * m * 7) % 5000) for n in range(40 + m)) for m in range(40)]
+    unspaced += ["".join(chr(97 + (n * n * 3 + m * 5 + n // 7 * m) % 26) for n in range(40 + m)) for m in range(40)]
+    pairs = llm.createDataFrame(list(zip(unspaced, unspaced[1:] + unspaced[:1])), "text string, next string")
+    edited = pairs.withColumn("edited", syncmers.half_edited(F.col("text"), F.col("next")))
+    marks = {c: syncmers.anchors(F.col(c)) for c in ("text", "next", "edited")}
+    near = edited.select(syncmers.likeness(marks["text"], marks["edited"]).alias("edited"), syncmers.likeness(marks["text"], marks["next"]).alias("next")).collect()
+    assert all(r.edited > r.next for r in near)
+
+
+def test_blocks_of_a_long_text_join(llm):
+    text = "".join(f"{n * n % 9973}-{n}" for n in range(8000))
+    assert len(text) > 4 * syncmers.BLOCK
+    found = llm.createDataFrame([(text,)], "text string").select(syncmers.written(syncmers.anchors(F.col("text")))).first()[0]
+    assert found == "".join(f"{m:08x}" for m in _marks(text))
+
+
 def test_token_counts_are_those_of_the_library(llm, docs):
     library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     for r in QUERIES["op10_transducer_token_counts"](llm, SF_DIR).collect():
