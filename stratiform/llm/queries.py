@@ -138,8 +138,11 @@ def training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 def closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and of the text half replaced by the next one, and how alike they are."""
     found = syncmers.with_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    edited = found.withColumn("edited", syncmers.half_edited(F.col("text"), F.col("next_text")))
-    marked = edited.withColumn("edited_marks", syncmers.anchors(F.col("edited")))
+    head, tail = syncmers.halves(F.col("text"), F.col("next_text"))
+    marked = found.withColumns({
+        "edited": F.concat(head, tail), "edited_marks": syncmers.joined_anchors(head, F.col("found"), tail, F.col("next_found")),
+        "marks": F.col("found.mark"), "next_marks": F.col("next_found.mark"),
+    })
     return marked.select(
         "row.doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
         syncmers.written(F.col("marks")).alias("fingerprint"), syncmers.written(F.col("edited_marks")).alias("edited_fingerprint"),

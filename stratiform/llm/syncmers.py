@@ -41,33 +41,77 @@ def _hashed(part: Column) -> Column:
     return F.shiftright(F.xxhash64(part), 32).cast("int")
 
 
-def _closed(block: Column, k: int, s: int) -> Column:
-    """Hashes of the closed syncmers of at least ``k`` bytes, in order."""
+def _squeezed(text: Column) -> Column:
+    return F.trim(F.regexp_replace(text, r"[\x20\x09-\x0D]+", " ")).cast("binary")
+
+
+def _closed(block: Column, first: Column, k: int, s: int) -> Column:
+    """Places and hashes of the closed syncmers of at least ``k`` bytes that begin at ``first``, in order."""
     last = k - s  # place of the last run in a k-mer
+    inner = last - 1  # runs between the first and the last
+
+    def least(h: Column, step: int) -> Column:
+        return F.zip_with(h, F.slice(h, step + 1, F.greatest(F.lit(0), F.size(h) - step)), lambda a, b: F.least(a, b))
+
+    def chosen(edges: Column, of_inner: Column, width: int) -> Column:
+        """K-mers whose edges are no larger than the least of ``width`` inner runs from either side."""
 
-    def of_runs(r: Column) -> Column:
         def closed(i: Column) -> Column:
-            inner = [(r[i + n] >= r[i]) | (r[i + n] >= r[i + last]) for n in range(1, last)]
-            return reduce(and_, inner, F.lit(True))
+            return reduce(and_, (of_inner[i + n] >= edges[i] for n in ([1, last - width] if inner else [])), F.lit(True))
 
         places = F.filter(F.sequence(F.lit(0), F.length(block) - k), closed)
-        return F.transform(places, lambda i: _hashed(F.substring(block, i + 1, k)))
+        return F.transform(places, lambda i: F.struct((first + i).alias("place"), _hashed(F.substring(block, i + 1, k)).alias("mark")))
 
-    return _named(F.transform(F.sequence(F.lit(1), F.length(block) - s + 1), lambda i: F.xxhash64(F.substring(block, i, s))), of_runs)
+    def widened(edges: Column, of_inner: Column, width: int) -> Column:
+        if 2 * width > inner:
+            return chosen(edges, of_inner, width)
+        return _named(least(of_inner, width), lambda wider: widened(edges, wider, 2 * width))
 
+    runs = F.transform(F.sequence(F.lit(1), F.length(block) - s + 1), lambda i: F.xxhash64(F.substring(block, i, s)))
+    return _named(runs, lambda r: _named(least(r, last), lambda edges: widened(edges, r, 1)))
 
-def anchors(text: Column, k: int = K, s: int = S) -> Column:
-    """Hashes of the closed syncmers of a text, in order."""
-    squeezed = F.trim(F.regexp_replace(text, r"[\x20\x09-\x0D]+", " ")).cast("binary")
-    none = F.array().cast("array<int>")
+
+def placed(text: Column, k: int = K, s: int = S) -> Column:
+    """The closed syncmers of a text, in order: ``place`` in its squeezed bytes and ``mark``, the hash."""
 
     def of_bytes(b: Column) -> Column:
         # blocks overlap by k - 1 bytes, so each k-mer lies in one
         firsts = F.sequence(F.lit(0), F.length(b) - k, F.lit(BLOCK))
-        blocks = F.flatten(F.transform(firsts, lambda first: _named(F.substring(b, first + 1, BLOCK + k - 1), lambda block: _closed(block, k, s))))
-        return F.when(F.length(b) >= k, blocks).when(F.length(b) > 0, F.array(_hashed(b))).otherwise(none)
+        blocks = F.flatten(F.transform(firsts, lambda first: _named(F.substring(b, first + 1, BLOCK + k - 1), lambda block: _closed(block, first, k, s))))
+        whole = F.array(F.struct(F.lit(0).alias("place"), _hashed(b).alias("mark")))
+        return F.when(F.length(b) >= k, blocks).when(F.length(b) > 0, whole).otherwise(F.array().cast("array<struct<place:int,mark:int>>"))
+
+    return _named(_squeezed(text), of_bytes)
+
+
+def anchors(text: Column, k: int = K, s: int = S) -> Column:
+    """Hashes of the closed syncmers of a text, in order."""
+    return placed(text, k, s)["mark"]
 
-    return _named(squeezed, of_bytes)
+
+def _ends_by(size: Column, k: int) -> Callable[[Column], Column]:
+    return lambda anchor: anchor["place"] <= size - k
+
+
+def joined_anchors(head: Column, of_head: Column, tail: Column, of_tail: Column, k: int = K, s: int = S) -> Column:
+    """``anchors`` of ``head`` and ``tail`` put together, where ``of_head`` and ``of_tail`` are ``placed`` of texts that begin with them.
+
+    A k-mer inside one part is an anchor of the whole if it is one of the part, so only those across the border are looked at.
+    """
+
+    def of_sizes(x: Column) -> Column:
+        whole, n_head, n_tail = x["whole"], x["n_head"], x["n_tail"]
+        start = F.greatest(F.lit(0), n_head - (k - 1))
+        stop = F.least(F.length(whole), F.length(whole) - n_tail + (k - 1))
+        across = F.when(stop - start >= k, _closed(F.substring(whole, start + 1, stop - start), start, k, s)["mark"]).otherwise(F.array().cast("array<int>"))
+        inside = [F.filter(found, _ends_by(n, k))["mark"] for found, n in ((of_head, n_head), (of_tail, n_tail))]
+        short = F.when(F.length(whole) > 0, F.array(_hashed(whole))).otherwise(F.array().cast("array<int>"))
+        return F.when(F.length(whole) >= k, F.concat(inside[0], across, inside[1])).otherwise(short)
+
+    sizes = F.struct(
+        _squeezed(F.concat(head, tail)).alias("whole"), F.length(_squeezed(head)).alias("n_head"), F.length(_squeezed(tail)).alias("n_tail"),
+    )
+    return _named(sizes, of_sizes)
 
 
 def written(marks: Column) -> Column:
@@ -92,7 +136,7 @@ def ranged(docs: DataFrame, key: str) -> DataFrame:
 
 
 def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = K, s: int = S) -> DataFrame:
-    """All rows as ``row`` (without the text) with ``text``, ``marks`` (anchors), ``next_text`` and ``next_marks``, those of the row with the next key.
+    """All rows as ``row`` (without the text) with ``text``, ``found`` (anchors with their places), ``next_text`` and ``next_found``, those of the row with the next key.
 
     Rows are shuffled once, by ranges of the key; the first row of each range also goes to the end
     of the range before. No range is larger than its share, and nothing is sorted in one task.
@@ -107,13 +151,18 @@ def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int =
     before = F.coalesce(F.lag("part").over(ring), F.max("part").over(ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
     guests = firsts.select("first.*", before.alias("part"), F.lit(True).alias("guest"))
     dealt = rows.unionByName(guests).repartition(partitions(docs.sparkSession), "part").sortWithinPartitions("part", "guest", "last", "key", "tie")
-    marked = dealt.withColumn("marks", anchors(F.col("text"), k, s))
+    marked = dealt.withColumn("found", placed(F.col("text"), k, s))
     following = Window.partitionBy("part").orderBy("guest", "last", "key", "tie")
-    paired = marked.withColumn("next", F.lead(F.struct("text", "marks")).over(following))
-    return paired.where("NOT guest").select("row", "text", "marks", F.col("next.text").alias("next_text"), F.col("next.marks").alias("next_marks"))
+    paired = marked.withColumn("next", F.lead(F.struct("text", "found")).over(following))
+    return paired.where("NOT guest").select("row", "text", "found", F.col("next.text").alias("next_text"), F.col("next.found").alias("next_found"))
+
+
+def halves(text: Column, following: Column) -> tuple[Column, Column]:
+    """The parts of the text whose second half is replaced by the beginning of another."""
+    half = F.floor(F.length(text) / 2).cast("int")
+    return F.left(text, F.length(text) - half), F.left(following, half)
 
 
 def half_edited(text: Column, following: Column) -> Column:
     """The text with its second half replaced by the beginning of another."""
-    half = F.floor(F.length(text) / 2).cast("int")
-    return F.concat(F.left(text, F.length(text) - half), F.left(following, half))
+    return F.concat(*halves(text, following))

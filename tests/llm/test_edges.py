@@ -148,10 +148,10 @@ def test_fingerprints(awkward):
     ordered = sorted(((i is None, i or 0, hashlib.md5((t or "").encode()).hexdigest()), t or "") for i, t in TEXTS)
     want = Counter((t, u) for (_, t), (_, u) in zip(ordered, ordered[1:] + ordered[:1]))
     assert Counter((r.text, r.next_text) for r in rows) == want
-    marks = {r.text: r.marks for r in rows}
+    marks = {r.text: r.found for r in rows}
     assert marks[""] == [] and marks[" \n\t "] == [] and len(marks["short"]) == 1
     assert marks[TEXTS[0][1]] == marks[TEXTS[1][1]] != []
-    assert all(r.next_marks == marks[r.next_text] for r in rows)
+    assert all(r.next_found == marks[r.next_text] for r in rows)
 
 
 def test_token_counts(awkward):

@@ -117,6 +117,15 @@ def test_blocks_of_a_long_text_join(llm):
     assert found == "".join(f"{m:08x}" for m in _marks(text))
 
 
+def test_anchors_of_joined_parts(llm):
+    """Parts that are empty, white space, shorter than a k-mer, or cut at white space."""
+    texts = ["", " ", "\t \n", "a", " abc", "abc ", "abcdefghijk", "abcdefghijkl", "  two words and some more \n", "日本語の文章はここに書きます", "one two three four five six", "x" * 40]
+    rows = llm.createDataFrame([(t, t[:n], u, u[:m]) for t in texts for u in texts for n in (0, 5, 12, 99) for m in (0, 6, 13, 99)], "a string, head string, b string, tail string")
+    joined = syncmers.joined_anchors(F.col("head"), syncmers.placed(F.col("a")), F.col("tail"), syncmers.placed(F.col("b")))
+    for r in rows.select("head", "tail", syncmers.written(joined).alias("found")).collect():
+        assert r.found == "".join(f"{m:08x}" for m in _marks(r.head + r.tail)), (r.head, r.tail)
+
+
 def test_token_counts_are_those_of_the_library(llm, docs):
     library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     for r in QUERIES["op10_transducer_token_counts"](llm, SF_DIR).collect():
