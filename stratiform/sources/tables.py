@@ -16,6 +16,10 @@ _VERSION = "version="
 _SCHEMA = "_schema.json"
 
 
+def version_path(base: str, version: int) -> str:
+    return f"{base}/{_VERSION}{version}"
+
+
 def versions(spark: SparkSession, base: str) -> list[int]:
     """Complete versions of a table, oldest first. Spark's ``_SUCCESS`` file marks a version complete."""
     fs, root = file_system(spark, base)
