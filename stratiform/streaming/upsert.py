@@ -69,9 +69,11 @@ def upsert_available(
             tables.publish(newest, base, version)
             return
         newest.persist()
-        tables.publish(upsert(before, not_older(newest, before, keys, by), keys, unique=True), base, version)
+        try:
+            tables.publish(upsert(before, not_older(newest, before, keys, by), keys, unique=True), base, version)
+        finally:
+            newest.unpersist()
         tables.expire(spark, base, keep)
-        newest.unpersist()
 
     def held() -> int:
         """The last batch in the versioned table."""
